@@ -193,7 +193,7 @@ MODEL.raw(
     FROM {events}
     """,
 )
-_CLOCK = "2024-01-15 12:00:00"
+_CLOCK = "2024-01-30 23:58:00"
 _WINDOW = 1800
 MODEL.raw(
     "_limited",
