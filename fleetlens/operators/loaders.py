@@ -27,6 +27,7 @@ from fleetlens.sources.payloads import (
     project_cast,
     text_fields,
 )
+from fleetlens.sources.store import TableStore
 
 # Stand-ins for account fields that are null in a document.
 ACCOUNT_DEFAULTS = {
@@ -489,7 +490,8 @@ class Loader:
 
     ``base`` holds the stored tables; a missing one counts as empty.  States are
     lazy and built on demand, parents before children.  ``settle`` may write a
-    state out and read it back so that children do not recompute it.
+    state out and read it back so that children do not recompute it.  With a
+    ``store`` the tables live there and only touched parts are rewritten.
     """
 
     def __init__(
@@ -498,15 +500,19 @@ class Loader:
         base: dict[str, DataFrame] | None = None,
         as_of="1970-01-01 00:00:00",
         settle: Callable[[str, DataFrame], DataFrame] | None = None,
+        store: TableStore | None = None,
     ):
         self.payloads = payloads
         self.spark = payloads.sparkSession
         self.base = {} if base is None else base
         self.as_of = as_of
+        self.store = store
         self._settle = settle or (lambda table, df: df)
         self._states: dict[str, DataFrame] = {}
 
     def stored(self, table: str) -> DataFrame:
+        if self.store is not None:
+            return self.store.read(table)
         return self.base[table] if table in self.base else empty_table(self.spark, table)
 
     def state(self, table: str) -> DataFrame:
@@ -516,14 +522,11 @@ class Loader:
 
     def _merge(self, table: str, updates: DataFrame, keys=None) -> DataFrame:
         spec = TABLES[table]
-        return upsert(
-            self.stored(table),
-            updates,
-            keys or spec.key,
-            "partial" if spec.partial else "full",
-            ORDER,
-            {**spec.defaults, "created_at": str(self.as_of), "updated_at": str(self.as_of)},
-        )
+        mode = "partial" if spec.partial else "full"
+        defaults = {**spec.defaults, "created_at": str(self.as_of), "updated_at": str(self.as_of)}
+        if self.store is not None:
+            return self.store.upsert(table, updates, mode, ORDER, defaults, keys)
+        return upsert(self.stored(table), updates, keys or spec.key, mode, ORDER, defaults)
 
     def _account_ids(self) -> DataFrame:
         return self.state("accounts").select(
@@ -540,7 +543,8 @@ class Loader:
             return rows.drop("_account", "_region").withColumn("id", row_id(table))
         if table == "log_messages":
             logs = self.stored("logs").join(self._account_ids(), "account_id")
-            rows = log_message_updates(self.payloads, self.as_of, logs if "logs" in self.base else None)
+            known = self.store is not None or "logs" in self.base
+            rows = log_message_updates(self.payloads, self.as_of, logs if known else None)
             parent = ("logs", "log_id", ("date_created",))
         elif table == "logs":
             rows, parent = log_updates(self.payloads, self.as_of), None
@@ -560,10 +564,10 @@ class Loader:
         return rows.select(*ORDER, *columns).withColumn("id", row_id(table))
 
     def _build(self, table: str) -> DataFrame:
-        if table == "products":
-            return self._products()
-        if table == "product_accounts":
-            return self._product_accounts()
+        if table in ("products", "product_accounts"):
+            state = self._products() if table == "products" else self._product_accounts()
+            # small tables that are rewritten whole, hence cut from what they were read from
+            return state if self.store is None else self.store.overwrite(table, materialize(state, table))
         return self._merge(table, self.updates(table))
 
     def _products(self) -> DataFrame:
@@ -603,14 +607,13 @@ class Loader:
 LOAD_ORDER = ("accounts", "products", "product_accounts", "logs", "log_messages", *LOADS)
 
 
-def load_tables(
-    payloads: DataFrame, base: dict[str, DataFrame], as_of, tables: tuple[str, ...] = LOAD_ORDER
-) -> dict[str, DataFrame]:
-    """New state of every table.
+def load_tables(payloads: DataFrame, store: TableStore, as_of, tables: tuple[str, ...] = LOAD_ORDER) -> Loader:
+    """Load a batch of valid documents into ``store``.
 
     The parsed documents are staged once as one Parquet column per section, so
-    a table's load reads only its section; each state is written once.
+    a table's load reads only its section.
     """
-    payloads = materialize(payloads, "payload-sections")
-    loader = Loader(payloads, base, as_of, settle=lambda table, df: materialize(df, f"state-{table}"))
-    return {table: loader.state(table) for table in tables}
+    loader = Loader(materialize(payloads, "payload-sections"), as_of=as_of, store=store)
+    for table in tables:
+        loader.state(table)
+    return loader

@@ -898,32 +898,28 @@ query(
     )
 )
 
-# Every line of every document is a log line; the words stand in for the severities.
-_MATCH = "DATA|SYSTEM"
+# Every line of every document is a log line; common words stand in for the severities.
+_MATCH = "The|Der|La"
 
 
 def log_lines(t):
     lines = t["documents"].select("doc_id", "source", F.explode(F.split("text", "\n", -1)).alias("message"))
-    # half of the lines shout, so that both cases of the filter occur
-    minute = F.col("doc_id") % 1440
+    midnight = F.unix_micros(F.lit("2024-01-30 00:00:00").cast("timestamp"))
     return lines.select(
         (F.col("doc_id") % 50).alias("account_id"),
         F.col("source").alias("log_group_name"),
-        F.when(F.col("doc_id") % 2 == 0, F.upper("message")).otherwise(F.col("message")).alias("message"),
-        F.timestamp_micros(
-            F.unix_micros(F.lit("2024-01-30 00:00:00").cast("timestamp")) + minute * F.lit(60_000_000)
-        ).alias("timestamp"),
+        "message",
+        F.timestamp_micros(midnight + F.col("doc_id") % 1440 * F.lit(60_000_000)).alias("timestamp"),
     )
 
 
 query(
     "C24_error_patterns",
     f"""
-    WITH lines AS (SELECT account_id, log_group_name, CASE WHEN even THEN upper(message) ELSE message END AS message,
-        timestamp FROM (SELECT doc_id % 50 AS account_id, source AS log_group_name, doc_id % 2 = 0 AS even,
-          unnest(string_split(text, chr(10))) AS message,
-          TIMESTAMP '2024-01-30 00:00:00' + CAST(doc_id % 1440 AS INT) * INTERVAL 1 MINUTE AS timestamp
-        FROM {{documents}})),
+    WITH lines AS (SELECT doc_id % 50 AS account_id, source AS log_group_name,
+        unnest(string_split(text, chr(10))) AS message,
+        TIMESTAMP '2024-01-30 00:00:00' + CAST(doc_id % 1440 AS INT) * INTERVAL 1 MINUTE AS timestamp
+      FROM {{documents}}),
     hits AS (SELECT *, regexp_extract(message, '((?:{_MATCH}).*)', 1) AS pattern FROM lines
       WHERE regexp_matches(message, '(?i)(?:{_MATCH})')
         AND timestamp BETWEEN TIMESTAMP '2024-01-30 00:00:00' AND TIMESTAMP '2024-01-30 20:00:00'),

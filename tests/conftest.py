@@ -4,10 +4,11 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
 def spark():
     from fleetlens.session import local_session
 
-    return local_session(8, 8, "fleetlens-tests")
+    return local_session(8, 4, "fleetlens-tests")
