@@ -114,6 +114,7 @@ class _Tables(dict):
 
     def __init__(self, lake: Lake):
         super().__init__()
+        self.sf_dir = lake.sf_dir
         self._lake = lake
 
     def __missing__(self, name: str) -> DataFrame:
@@ -121,8 +122,15 @@ class _Tables(dict):
         return self[name]
 
 
+_LAKES: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return _Tables(Lake(spark, sf_dir))
+    """Base tables over ``sf_dir``; their plans are analysed once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _LAKES:
+        _LAKES[key] = _Tables(Lake(spark, sf_dir))
+    return _LAKES[key]
 
 
 # ---------------------------------------------------------------------------

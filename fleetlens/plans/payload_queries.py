@@ -274,6 +274,8 @@ _SECTION = {
 def documents(t) -> DataFrame:
     """(file_path, value): JSON text built row by row; some documents are broken on purpose."""
     docs = t["_docs"]
+    # building and parsing the text is the heavy part: spread it over all cores, however the orders are stored
+    docs = docs.repartition(2 * docs.sparkSession.sparkContext.defaultParallelism, "k")
     # usage_types is a JSON list in half of the records, so it is spliced in as JSON
     parts = {
         name: F.to_json(F.expr(expr), {"ignoreNullFields": "false"}) for name, expr in _SECTION.items()
@@ -300,7 +302,7 @@ _STAGED: dict[tuple[str, str, str], DataFrame] = {}
 def _staged(t, label: str, build) -> DataFrame:
     """Landed once per session and folder, as a file drop would be; later queries only read it."""
     spark = t["orders"].sparkSession
-    key = (spark.sparkContext.applicationId, t["orders"].inputFiles()[0], label)
+    key = (spark.sparkContext.applicationId, t.sf_dir, label)
     if key not in _STAGED:
         _STAGED[key] = materialize(build(), label)
     return _STAGED[key]
@@ -337,6 +339,10 @@ class _Stored(dict):
         return self[name]
 
 
+#: Tables other loads look up; written once, as a load into a store does.
+_PARENTS = {"accounts", "products", "logs", *(spec.parent[0] for spec in loaders.LOADS.values() if spec.parent)}
+
+
 def loader(t) -> Loader:
     """The second batch loaded on top of the stored tables of the first."""
     first = Loader(valid(t, 0), {}, AS_OF, lambda table, df: _staged(t, f"stored-{table}", lambda: df))
@@ -344,7 +350,7 @@ def loader(t) -> Loader:
         valid(t, 1),
         _Stored(first),
         AS_OF,
-        lambda table, df: _staged(t, "accounts", lambda: df) if table == "accounts" else df,
+        lambda table, df: _staged(t, f"state-{table}", lambda: df) if table in _PARENTS else df,
     )
 
 

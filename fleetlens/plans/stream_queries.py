@@ -20,7 +20,7 @@ from fleetlens.streaming import metrics as M
 def event_stream(t) -> DataFrame:
     """The event table as a file stream with a zoned time."""
     spark, events = t["events"].sparkSession, t["events"]
-    path = t._lake.sf_dir + "/events.parque[t]"
+    path = t.sf_dir + "/events.parque[t]"
     stream = spark.readStream.schema(events.schema).parquet(path)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 

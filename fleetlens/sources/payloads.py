@@ -50,10 +50,11 @@ def parse_payloads(raw: DataFrame) -> DataFrame:
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Every pending document under ``path``; one row per file."""
     raw = (
-        spark.read.option("wholetext", True)
+        spark.read.format("text")
+        .option("wholetext", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
-        .text(path)
+        .load(path)
     )
     return parse_payloads(raw.select("value", F.col("_metadata.file_path").alias("file_path")))
 

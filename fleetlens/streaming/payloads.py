@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlens.operators.loaders import load_tables
+from fleetlens.operators.loaders import LOAD_ORDER, load_tables
 from fleetlens.sources.payloads import parse_payloads, validate_payloads
 from fleetlens.sources.store import TableStore
 
@@ -46,11 +46,11 @@ def stream_payloads(
     return writer.start()
 
 
-def table_sink(store: TableStore, as_of, rejected_path: str | None = None):
+def table_sink(store: TableStore, as_of, rejected_path: str | None = None, tables: tuple[str, ...] = LOAD_ORDER):
     """Handler that loads valid documents and keeps the rejected ones with their reason."""
 
     def handle(valid: DataFrame, rejected: DataFrame, batch_id: int) -> None:
-        load_tables(valid, store, as_of)
+        load_tables(valid, store, as_of, tables)
         if rejected_path:
             rejected.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
 

@@ -85,7 +85,7 @@ def main(argv):
         empty = " EMPTY" if n == 0 else ""
         print(f"{'ok ' if not problems else 'BAD'} {name} rows={n} {took:.2f}s{note}{empty} {problems or ''}", flush=True)
         bad += bool(problems)
-    print(f"bad={bad}")
+    print(f"bad={bad} in {sf_dir}")
     return bad
 
 

@@ -3,7 +3,6 @@
 import json
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.operators.loaders import Loader
@@ -99,15 +98,14 @@ def alarm(reason, **more):
                     service=[{"service": "S", "date_from": "2024-01-01", "date_to": "2024-01-02", "cost": 1.5, "usage_types": ["a", "b"]}])
 
 
-@pytest.mark.parametrize("archive", [False, True])
-def test_stream_into_store(spark, tmp_path, archive):
+def test_stream_into_store(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "tables"), 4)
     rejected = str(tmp_path / "rejected")
 
     def run():
         query = stream_payloads(
-            spark, str(tmp_path / "data"), str(tmp_path / "cp"), table_sink(store, AS_OF, rejected),
-            str(tmp_path / "archive") if archive else None,
+            spark, str(tmp_path / "data"), str(tmp_path / "cp"),
+            table_sink(store, AS_OF, rejected, ("accounts", "services", "alarms")), str(tmp_path / "archive"),
         )
         query.awaitTermination()
 
