@@ -43,20 +43,20 @@ def latest_report(cost_reports: DataFrame, *keys: str) -> DataFrame:
 
 
 def service_metrics(services: DataFrame) -> DataFrame:
-    """Per account: row and distinct-service counts, total cost and the sorted service list.
+    """Per account: distinct rows and services, total cost and the sorted service list.
 
-    Rows collapse to (account, service) on the map side.  ``id`` is the table's
-    primary key, so counting it counts distinct ids.
+    Cost and names collapse to (account, service) on the map side.  Distinct ids
+    are counted apart, spread by (account, id), so neither side gathers the rows
+    of a hot account in one task and no row is expanded.
     """
-    per_service = services.groupBy("account_id", "service").agg(
-        F.count("id").alias("n"), F.sum("cost").alias("cost")
-    )
-    return per_service.groupBy("account_id").agg(
-        F.sum("n").alias("service_count"),
+    per_service = services.groupBy("account_id", "service").agg(F.sum("cost").alias("cost"))
+    totals = per_service.groupBy("account_id").agg(
         F.count("service").alias("unique_services"),
         F.sum("cost").alias("total_service_cost"),
         F.nullif(F.array_join(F.array_sort(F.collect_list("service")), ", "), F.lit("")).alias("services_used"),
     )
+    ids = services.groupBy("account_id").agg(F.count_distinct("id").alias("service_count"))
+    return totals.join(ids, "account_id")
 
 
 def finding_totals(security: DataFrame) -> DataFrame:
