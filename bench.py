@@ -31,7 +31,7 @@ HEADLINE = (
     "C3_cost_report",
     "C7_finding_rollup",
     "C24_error_patterns",
-    "L4_load_services",
+    "S6_upsert_full",
     "T2_tumbling_metrics",
     "T6_alarm_transitions",
 )
