@@ -67,6 +67,14 @@ query("J2_account_dimension", "SELECT * FROM {_dim}")(
     lambda t: dims.account_dimension(t["accounts"], t["product_accounts"], t["products"])
 )
 
+# The join patterns by themselves: through a parent, and keeping unmatched facts.
+for _id, _name in (("J3_enrich_via_parent", "view_acct_serv_cost"), ("J4_enrich_left", "view_compute_optimizer")):
+
+    def _pattern(t, name=_name):
+        return enrich.enriched_view(name, t)
+
+    query(_id, enriched_sql(ENRICHED[_name]))(_pattern)
+
 query(
     "V1_view_accounts",
     f"SELECT {_ACCOUNTS}, d.account, d.account_category, d.account_partner, d.account_customer, d.account_full, "

@@ -73,6 +73,16 @@ def test_long_texts_are_cut(spark):
     assert len(log.message_summary) == 500
 
 
+def test_grouped_message(spark):
+    log = spark.createDataFrame([], "sent_at timestamp, status string")
+    limited = R.rate_limit(pending(spark, 12), log, at(0))
+    grouped = R.notification_message(limited, "https://d").filter("status = 'grouped'").first()
+    assert "⚠️ 2 Additional Alerts (Rate Limited)" in grouped.message and "<https://d|View Dashboard>" in grouped.message
+    assert "*2 additional alerts were grouped" in grouped.message
+    entry = R.notification_log(limited, T0).filter("status = 'grouped'").first()
+    assert (entry.alert_type, entry.alert_id, entry.message_summary) == ("grouped", "", "2 alerts grouped")
+
+
 def brute_limit(rows, n, seconds):
     """rows: (channel, time, id) -> {id: status}"""
     recent, out = {}, {}

@@ -36,7 +36,7 @@ def test_resource_fallback(spark, namespace, dims, want):
 
 
 RULES = """
-[{"namespace": "AWS/Lambda", "metrics": ".*", "FunctionName": ["internal.*", "clm-.*"]},
+[{"namespace": "AWS/Lambda", "metrics": ".*", "FunctionName": ["internal.*", "ops-.*"]},
  {"namespace": "AWS/.*", "metrics": ".*", "EmptyDimensions": true},
  {"namespace": "AWS/RDS", "metrics": "Read", "EngineName": ".*"}]
 """
@@ -47,7 +47,7 @@ RULES = """
     [
         ("AWS/Lambda", "Errors", [("FunctionName", "internal-a")], False),
         ("AWS/Lambda", "Errors", [("FunctionName", "my-internal")], True),  # anchored at the start
-        ("AWS/Lambda", "Errors", [("FunctionName", "x"), ("FunctionName", "clm-b")], False),
+        ("AWS/Lambda", "Errors", [("FunctionName", "x"), ("FunctionName", "ops-b")], False),
         ("AWS/EC2", "CPU", [], False),
         ("AWS/EC2", "CPU", None, False),
         ("CWAgent", "mem", [], True),
