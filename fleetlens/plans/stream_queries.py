@@ -305,12 +305,16 @@ def streamed_limit(t):
 
 @query("T5_stream_consecutive_failures", "SELECT canary_id FROM {_failing}")
 def streamed_failures(t):
+    spark = t["events"].sparkSession
+    path = shared_dir(spark, "stream-failures")
     runs = event_stream(t).select(
         F.col("user_id").alias("canary_id"),
+        F.col("event_id").alias("id"),
         F.col("ts").alias("run_at"),
         F.when(F.col("event_type").isin("error", "view"), "FAILED").otherwise("PASSED").alias("run_status"),
     )
-    return finished(A.stream_consecutive_failures(runs), "failures").select("canary_id")
+    A.stream_consecutive_failures(runs, path, f"{path}-checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/failing").select("canary_id")
 
 
 MODEL.raw(

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from fleetlens.functions.stitched import previous_row
 from fleetlens.operators.alerts import (
@@ -17,6 +16,7 @@ from fleetlens.operators.alerts import (
     WINDOW_SECONDS,
     apply_alarm_events,
     classify_severity,
+    consecutive_failures,
     parse_alarm_event,
 )
 from fleetlens.operators.upsert import merge_keyed
@@ -142,31 +142,34 @@ def stream_rate_limit(
 
 # T5 ------------------------------------------------------------------------
 
-_RING = "times array<timestamp>, statuses array<string>"
+def newest_runs(runs: DataFrame, n: int = 3) -> DataFrame:
+    """The newest ``n`` runs per canary; the rank filter also runs before the shuffle."""
+    newest = W.partitionBy("canary_id").orderBy(F.desc("run_at"), F.desc("id"))
+    return runs.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def stream_consecutive_failures(runs: DataFrame, n: int = 3) -> DataFrame:
-    """T5: canaries whose newest ``n`` runs all failed, per trigger.
+def stream_consecutive_failures(runs: DataFrame, path: str, checkpoint: str, n: int = 3) -> StreamingQuery:
+    """T5: per micro-batch, the canaries with new runs whose newest ``n`` runs all failed, into ``path/failing``.
 
-    The state is those ``n`` runs.  A micro-batch of a key is read in chunks and
-    only its newest ``n`` runs are kept, whatever its size.
+    The state is the ring of the newest ``n`` runs per canary, kept per batch id
+    so that a replay starts from the same point.  Each input partition sends at
+    most ``n`` rows of a canary, so a hot one does not gather in a task.
     """
+    spark = runs.sparkSession
 
-    def newest(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        ring = list(zip(*state.get)) if state.exists else []
-        for pdf in chunks:
-            ring += list(zip(pdf["run_at"], pdf["run_status"]))
-            ring = sorted(ring, key=lambda r: r[0])[-n:]
-        if ring:
-            times, statuses = zip(*ring)
-            state.update((list(times), list(statuses)))
-            if len(ring) == n and all(s == "FAILED" for s in statuses):
-                yield pd.DataFrame({"canary_id": [key[0]], "last_run_at": [times[-1]]})
-
-    keyed = runs.select("canary_id", "run_at", "run_status")
-    return keyed.groupBy("canary_id").applyInPandasWithState(
-        newest, "canary_id long, last_run_at timestamp", _RING, "append", GroupStateTimeout.NoTimeout
-    )
+    def each(batch: DataFrame, batch_id: int) -> None:
+        rows = newest_runs(batch.select("canary_id", "id", "run_at", "run_status"), n)
+        before = f"{path}/ring/batch={batch_id - 1}"
+        if _exists(spark, before):
+            rows = newest_runs(spark.read.parquet(before).unionByName(rows), n)
+        rows.write.mode("overwrite").parquet(f"{path}/ring/batch={batch_id}")
+        ring = spark.read.schema(rows.schema).parquet(f"{path}/ring/batch={batch_id}")
+        touched = batch.select("canary_id").distinct()
+        failing = consecutive_failures(ring, n).join(touched, "canary_id", "left_semi")
+        last = ring.groupBy("canary_id").agg(F.max("run_at").alias("last_run_at"))
+        failing.join(last, "canary_id").write.mode("overwrite").parquet(f"{path}/failing/batch={batch_id}")
+
+    return _start(runs, each, checkpoint)
 
 
 # T6 ------------------------------------------------------------------------

@@ -174,19 +174,12 @@ def test_stream_transitions(spark, tmp_path):
 
 
 def test_stream_failures_across_batches(spark, tmp_path):
-    rows = [(1, at(i), "FAILED" if i >= 2 else "PASSED") for i in range(6)] + [(2, at(i), "FAILED") for i in range(2)]
-    df = spark.createDataFrame(rows, "canary_id long, run_at timestamp, run_status string")
+    rows = [(1, i, at(i), "FAILED" if i >= 2 else "PASSED") for i in range(6)] + [(2, i, at(i), "FAILED") for i in range(2)]
+    df = spark.createDataFrame(rows, "canary_id long, id long, run_at timestamp, run_status string")
     stream = in_batches(spark, df, tmp_path, "run_at", 4)
-    out = str(tmp_path / "out")
-    running = (
-        A.stream_consecutive_failures(stream)
-        .writeStream.format("parquet")
-        .option("checkpointLocation", str(tmp_path / "cp"))
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    running.awaitTermination()
-    rows = spark.read.parquet(out).collect()
+    path = str(tmp_path / "out")
+    A.stream_consecutive_failures(stream, path, str(tmp_path / "cp")).awaitTermination()
+    rows = spark.read.parquet(f"{path}/failing").collect()
     assert {r.canary_id for r in rows} == {1} and max(r.last_run_at for r in rows) == at(5)
 
 
