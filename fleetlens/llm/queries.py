@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import exact, language, mixing, quality, secretscan, tokens
+from fleetlens.llm import exact, language, mixing, packing, quality, secretscan, tokens
 from fleetlens.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,11 @@ def op1(docs, read):
     return mixing.select_mix(docs)
 
 
+@query("op2_pack_sequences")
+def op2(docs, read):
+    return packing.pack(docs)
+
+
 @query("op3_count_tokens")
 def op3(docs, read):
     return tokens.count_tokens(docs)

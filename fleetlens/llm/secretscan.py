@@ -21,7 +21,9 @@ LEAST = {"assign": 6, "access": 20}
 LONG_HEX = re.compile("[0-9a-f]{24,}")
 
 #: Strings that the token-efficiency test looks at.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]*[0-9])(?=[A-Za-z0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
+CANDIDATE = re.compile("[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Both have to be in such a string.
+DIGIT, LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 #: Characters per token at or below which a string counts as random.
 RATIO = 2.0
 #: Lengths of hexadecimal digests (MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512).
@@ -51,7 +53,9 @@ def random_spans(text: str, ratio: float = RATIO, ranks: str = RANKS) -> list[tu
     enc = ranks_encoding(ranks)
     out = []
     for m in CANDIDATE.finditer(text):
-        if not known_string(m[0]) and len(m[0]) <= ratio * len(enc.encode_ordinary(m[0])):
+        if not (DIGIT.search(m[0]) and LETTER.search(m[0])) or known_string(m[0]):
+            continue
+        if len(m[0]) <= ratio * len(enc.encode_ordinary(m[0])):
             out.append((m.start(), 3, m.end()))
     return out
 
