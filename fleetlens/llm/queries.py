@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import exact, language, mixing, packing, quality, secretscan, tokens
+from fleetlens.llm import exact, jaccard, language, mixing, packing, quality, secretscan, tokens
 from fleetlens.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,8 @@ def op7(docs, read):
 @query("op9_quality_rank")
 def op9(docs, read):
     return quality.rank(docs, quality.fit(docs, read("labels")))
+
+
+@query("op6_ngram_jaccard")
+def op6(docs, read):
+    return jaccard.similar_groups(docs, width=3, percent=90)
