@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import exact, jaccard, language, mixing, packing, quality, secretscan, tokens
+from fleetlens.llm import exact, forest, jaccard, language, mixing, packing, quality, secretscan, tokens
 from fleetlens.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,8 @@ def op9(docs, read):
 @query("op6_ngram_jaccard")
 def op6(docs, read):
     return jaccard.similar_groups(docs, width=3, percent=90)
+
+
+@query("op8_embedding_forest", table="embeddings")
+def op8(vectors, read):
+    return forest.near_vectors(vectors)
