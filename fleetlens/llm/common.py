@@ -60,9 +60,11 @@ def held_out(id_col: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(value.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def few(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it is counted to hold at most ``limit`` rows."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def few(df: DataFrame, limit: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it holds at most ``limit`` rows, or ``weight`` in sum."""
+    if weight is None:
+        return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    return F.broadcast(df) if (df.agg(F.sum(weight)).first()[0] or 0) <= limit else df
 
 
 def buckets_for(docs: DataFrame, text_col: str = "text", bytes_each: int = 16 << 20) -> int:

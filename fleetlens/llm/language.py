@@ -154,7 +154,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     return predict(docs, learn(docs, ~held_out(id_col), id_col=id_col, **settings), id_col)
 
 
-def keep_known(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_known(docs: DataFrame, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose language is known with probability ``least``, with their columns."""
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, ~held_out(id_col), id_col=id_col, text_col=text_col))
     memo: dict[str, np.ndarray] = {}

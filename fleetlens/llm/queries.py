@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import exact, forest, jaccard, language, mixing, packing, quality, secretscan, tokens
+from fleetlens.llm import exact, forest, jaccard, language, mixing, packing, quality, repeats, secretscan, tokens
 from fleetlens.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +130,17 @@ def op6(docs, read):
 @query("op8_embedding_forest", table="embeddings")
 def op8(vectors, read):
     return forest.near_vectors(vectors)
+
+
+@query("op10_suffix_dedup")
+def op10(docs, read):
+    return repeats.remove_repeats(docs)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(prepare(spark), sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
