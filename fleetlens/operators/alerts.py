@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from fleetlens.functions.timecalc import as_timestamp
-from fleetlens.operators.upsert import merge_keyed
+from fleetlens.operators.upsert import merge_keyed, row_id
 
 # Fixed values.
 SEVERITY_ICONS = {"Critical": "🔴", "High": "🟠", "Medium": "🟡", "Low": "🔵"}
@@ -104,6 +104,8 @@ def apply_alarm_events(alarms: DataFrame, events: DataFrame, accounts: DataFrame
     """Alarms after the classified events; unknown accounts are ignored.
 
     An account number with several region rows gets the event on each of them.
+    An alarm first seen here gets the id a load of it would give, so that later
+    loads and their children find it.
     """
     ids = accounts.select(F.col("id").alias("account_id"), F.col("account_id").alias("account"))
     rows = events.join(ids, "account").select(
@@ -118,7 +120,8 @@ def apply_alarm_events(alarms: DataFrame, events: DataFrame, accounts: DataFrame
         F.coalesce("threshold", F.lit(0.0)).cast("decimal(20,6)").alias("threshold"),
         "severity",
         as_timestamp(as_of).alias("updated_at"),
-    )
+        as_timestamp(as_of).alias("created_at"),
+    ).withColumn("id", row_id("alarms"))
     missing = [c for c in alarms.columns if c not in rows.columns]
     rows = rows.withColumns({c: F.lit(None).cast(alarms.schema[c].dataType) for c in missing})
     return merge_keyed(alarms, rows, ("account_id", "alarm_arn"), EVENT_REPLACED, ("state_updated_at",))

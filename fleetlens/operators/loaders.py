@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from fleetlens.functions.casting import cast_text
 from fleetlens.functions.stitched import running_max
 from fleetlens.functions.timecalc import as_timestamp, minutes_between
-from fleetlens.operators.upsert import replace_links, upsert, upsert_stats
+from fleetlens.operators.upsert import row_id, replace_links, upsert, upsert_stats
 from fleetlens.schemas import TABLES
-from fleetlens.session import materialize
+from fleetlens.session import shared_dir
 from fleetlens.sources.payloads import (
     ORDER,
     explode_children,
@@ -28,6 +28,7 @@ from fleetlens.sources.payloads import (
     text_fields,
 )
 from fleetlens.sources.store import TableStore
+from fleetlens.sources.versions import remove
 
 # Stand-ins for account fields that are null in a document.
 ACCOUNT_DEFAULTS = {
@@ -480,11 +481,6 @@ def empty_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[table].schema)
 
 
-def row_id(table: str):
-    """Id of a new row, derived from its natural key."""
-    return F.xxhash64(F.lit(table), *[F.col(k) for k in TABLES[table].key])
-
-
 class Loader:
     """New table states after a batch of documents.
 
@@ -501,12 +497,14 @@ class Loader:
         as_of="1970-01-01 00:00:00",
         settle: Callable[[str, DataFrame], DataFrame] | None = None,
         store: TableStore | None = None,
+        batch: tuple[str, int] | None = None,
     ):
         self.payloads = payloads
         self.spark = payloads.sparkSession
         self.base = {} if base is None else base
         self.as_of = as_of
         self.store = store
+        self.batch = batch
         self._settle = settle or (lambda table, df: df)
         self._states: dict[str, DataFrame] = {}
 
@@ -525,7 +523,7 @@ class Loader:
         mode = "partial" if spec.partial else "full"
         defaults = {**spec.defaults, "created_at": str(self.as_of), "updated_at": str(self.as_of)}
         if self.store is not None:
-            return self.store.upsert(table, updates, mode, ORDER, defaults, keys)
+            return self.store.upsert(table, updates, mode, ORDER, defaults, keys, self.batch)
         return upsert(self.stored(table), updates, keys or spec.key, mode, ORDER, defaults)
 
     def _account_ids(self) -> DataFrame:
@@ -566,8 +564,8 @@ class Loader:
     def _build(self, table: str) -> DataFrame:
         if table in ("products", "product_accounts"):
             state = self._products() if table == "products" else self._product_accounts()
-            # small tables that are rewritten whole, hence cut from what they were read from
-            return state if self.store is None else self.store.overwrite(table, materialize(state, table))
+            # small tables that are replaced whole
+            return state if self.store is None else self.store.overwrite(table, state)
         return self._merge(table, self.updates(table))
 
     def _products(self) -> DataFrame:
@@ -607,13 +605,21 @@ class Loader:
 LOAD_ORDER = ("accounts", "products", "product_accounts", "logs", "log_messages", *LOADS)
 
 
-def load_tables(payloads: DataFrame, store: TableStore, as_of, tables: tuple[str, ...] = LOAD_ORDER) -> Loader:
+def load_tables(
+    payloads: DataFrame, store: TableStore, as_of, tables: tuple[str, ...] = LOAD_ORDER, batch: tuple[str, int] | None = None
+) -> None:
     """Load a batch of valid documents into ``store``.
 
     The parsed documents are staged once as one Parquet column per section, so
-    a table's load reads only its section.
+    a table's load reads only its section; the staging folder goes afterwards.
+    ``batch`` (source, number) makes a repeated load change nothing.
     """
-    loader = Loader(materialize(payloads, "payload-sections"), as_of=as_of, store=store)
-    for table in tables:
-        loader.state(table)
-    return loader
+    spark = payloads.sparkSession
+    staging = shared_dir(spark, "payload-sections")
+    try:
+        payloads.write.parquet(staging)
+        loader = Loader(spark.read.schema(payloads.schema).parquet(staging), as_of=as_of, store=store, batch=batch)
+        for table in tables:
+            loader.state(table)
+    finally:
+        remove(spark, staging)

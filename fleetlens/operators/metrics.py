@@ -161,19 +161,22 @@ def flatten_points(df: DataFrame, timestamps: str = "timestamps", values: str =
     return df.select(*rest, F.inline(pairs))
 
 
-def alarm_snapshots(alarms: DataFrame, definitions: DataFrame, accounts: list[str], as_of) -> DataFrame:
+def alarm_snapshots(alarms: DataFrame, definitions: DataFrame, accounts: DataFrame | None, as_of) -> DataFrame:
     """M7: state of every alarm on a configured metric at ``as_of``.
 
-    The account is the owner, else the fifth part of the ARN.  Alarms of an
-    account outside a non-empty list go; those without any account stay.
+    The account is the owner, else the fifth part of the ARN.  ``accounts`` is a
+    table of the known numbers (``account_id``): alarms of other accounts go,
+    those without any account stay.  None knows every account.
     """
     owner = F.coalesce(
         F.nullif(F.col("owning_account"), F.lit("")), F.get(F.split("alarm_arn", ":"), F.lit(4)), F.lit("")
     )
     kept = alarms.join(definitions.select("namespace", "metric_name").distinct(), ["namespace", "metric_name"], "left_semi")
     rows = kept.withColumn("account_id", owner)
-    if accounts:
-        rows = rows.filter((F.col("account_id") == "") | F.col("account_id").isin(*[str(a) for a in accounts]))
+    if accounts is not None:
+        known = accounts.select(F.col("account_id").cast("string").alias("account_id")).distinct()
+        named = rows.filter("account_id <> ''").join(known, "account_id", "left_semi").select(rows.columns)
+        rows = rows.filter("account_id = ''").unionByName(named)
     return rows.select(
         as_timestamp(as_of).alias("collected_at"),
         "account_id",
@@ -193,8 +196,9 @@ def collect_points(
 ) -> DataFrame:
     """M1-M6 as one plan: filter and key the discovered metrics, then flatten their fetched points.
 
-    ``results`` carries namespace, metric_name, account_id, resource_id,
-    statistic, label and the two point arrays.
+    ``discovered`` carries a ``query_id`` per metric: several dimension sets of
+    one resource are several queries.  ``results`` carries query_id, statistic,
+    label and the two point arrays.
     """
     spark = discovered.sparkSession
     kept = exclude_metrics(discovered, rules)
@@ -202,9 +206,8 @@ def collect_points(
         "resource_id", resource_id(F.col("dimensions"), F.col("namespace"))
     )
     enriched = enrich_metrics(keyed, config.definitions(spark))
-    keys = ["namespace", "metric_name", "account_id", "resource_id", "statistic"]
-    points = flatten_points(results)
-    joined = enriched.join(points, keys)
+    points = flatten_points(results.select("query_id", "statistic", "label", "timestamps", "values"))
+    joined = enriched.join(points, ["query_id", "statistic"])
     return joined.select(
         "collected_at",
         "account_id",

@@ -13,6 +13,11 @@ from fleetlens.schemas import TABLES
 INSERT_ONLY = ("id", "created_at")
 
 
+def row_id(table: str) -> Column:
+    """Id of a new row, derived from its natural key."""
+    return F.xxhash64(F.lit(table), *[F.col(k) for k in TABLES[table].key])
+
+
 def _null_key(keys: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
@@ -152,12 +157,19 @@ def replace_links(links: DataFrame, new_links: DataFrame) -> DataFrame:
 
 
 def link_product(
-    products: DataFrame, accounts: DataFrame, links: DataFrame, name: str, account_ids: list[str]
+    products: DataFrame, accounts: DataFrame, links: DataFrame, name: str, account_ids: DataFrame | list[str]
 ) -> DataFrame:
-    """Links after mapping product ``name`` to every row of the given account numbers."""
-    chosen = accounts.filter(F.col("account_id").isin(*account_ids)).select(F.col("id").alias("account_id"))
-    product = products.filter(F.col("name") == name).select(F.col("id").alias("product_id"))
-    wanted = chosen.withColumn("_name", F.lit(name)).join(product.withColumn("_name", F.lit(name)), "_name")
+    """Links after mapping product ``name`` to every row of the given account numbers.
+
+    The numbers are a list, or a table with a column ``account_id``.  Names are
+    unique; should one repeat, the lowest id counts.
+    """
+    if isinstance(account_ids, DataFrame):
+        chosen = accounts.join(account_ids.select("account_id").distinct(), "account_id", "left_semi")
+    else:
+        chosen = accounts.filter(F.col("account_id").isin(*account_ids))
+    product = products.filter(F.col("name") == name).agg(F.min("id").alias("product_id")).scalar()
+    wanted = chosen.select(product.alias("product_id"), F.col("id").alias("account_id")).filter("product_id IS NOT NULL")
     fresh = wanted.select("product_id", "account_id").join(
         links.select("product_id", "account_id"), ["product_id", "account_id"], "left_anti"
     )

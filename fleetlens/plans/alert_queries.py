@@ -112,7 +112,7 @@ MODEL.raw(
       CAST(NULL AS STRING) AS comparison_operator, CAST(NULL AS INT) AS evaluation_periods,
       CAST(NULL AS STRING) AS resource_arn, 'Medium' AS severity, TIMESTAMP '2023-12-01 00:00:00' AS created_at,
       CAST(NULL AS TIMESTAMP) AS updated_at
-    FROM {{customer}} WHERE c_custkey % 3 = 0 AND c_custkey < 300
+    FROM {{customer}}
     """,
 )
 query(
@@ -136,7 +136,8 @@ query(
       CAST(CASE WHEN s.id IS NOT NULL THEN s.threshold WHEN f.event_id % 9 = 0 THEN 0 ELSE f.value END AS DOUBLE)
         AS threshold,
       coalesce(l.severity, s.severity) AS severity,
-      CASE WHEN l.arn IS NOT NULL THEN TIMESTAMP '{AS_OF}' END AS updated_at
+      CASE WHEN l.arn IS NOT NULL THEN TIMESTAMP '{AS_OF}' END AS updated_at,
+      coalesce(s.created_at, TIMESTAMP '{AS_OF}') AS created_at, TRUE AS has_id, s.id AS stored_id
     FROM (SELECT * FROM ranked WHERE first_no = 1) f
     JOIN (SELECT * FROM ranked WHERE last_no = 1) l ON l.account_id = f.account_id AND l.arn = f.arn
     FULL JOIN {{_stored_alarms}} s ON s.account_id = f.account_id AND s.alarm_arn = f.arn
@@ -159,6 +160,9 @@ query(
         "threshold",
         "severity",
         "updated_at",
+        "created_at",
+        F.col("id").isNotNull().alias("has_id"),
+        F.when(F.col("created_at") < F.lit(AS_OF).cast("timestamp"), F.col("id")).alias("stored_id"),
     )
 )
 

@@ -144,8 +144,8 @@ query(
     "CAST(amount AS DOUBLE) AS amount FROM {_usage}",
 )(lambda t: C.cost_forecasts(t["_usage"].withColumnRenamed("amount", "mean_value")))
 
-_raw("_entitlements", "SELECT c_custkey AS account_id, 'prod-' || CAST(c_custkey % 9 AS STRING) AS ProductCode, "
-     "'Users' AS Dimension FROM {customer} WHERE c_custkey % 3 = 0")
+_raw("_entitlements", "SELECT 3 * c_custkey AS account_id, 'prod-' || CAST(c_custkey % 9 AS STRING) AS ProductCode, "
+     "'Users' AS Dimension FROM {customer}")
 _MARKET = "service = 'AWS Marketplace' AND period_start >= DATE '1998-03-01' AND period_start < DATE '1998-09-30'"
 query(
     "C19_marketplace_costs",
@@ -189,9 +189,9 @@ _raw(
 _raw(
     "_packs",
     """
-    SELECT o_custkey AS account_id, 'rule-' || CAST(o_orderkey % 50 AS STRING) AS ConfigRuleName,
+    SELECT o_custkey + 3 AS account_id, 'rule-' || CAST(o_orderkey % 50 AS STRING) AS ConfigRuleName,
       'pack-' || CAST(o_orderkey % 4 AS STRING) AS ConformancePackName, o_orderkey AS position
-    FROM {orders} WHERE o_orderkey % 3 <> 0
+    FROM {orders}
     """,
 )
 _DAY = "ResultRecordedTime BETWEEN TIMESTAMP '1998-06-15 00:00:00' AND TIMESTAMP '1998-06-15 23:59:59'"
@@ -381,8 +381,8 @@ _raw(
 )
 _raw(
     "_trail_status",
-    f"SELECT 't-' || {S('s_suppkey')} AS TrailARN, s_suppkey % 3 = 0 AS IsLogging, "
-    "TIMESTAMP '2024-01-02 00:00:00' AS LatestDeliveryTime FROM {supplier} WHERE s_suppkey % 4 <> 0",
+    f"SELECT 't-' || {S('s_suppkey + 4')} AS TrailARN, s_suppkey % 3 = 0 AS IsLogging, "
+    "TIMESTAMP '2024-01-02 00:00:00' AS LatestDeliveryTime FROM {supplier}",
 )
 query(
     "C13_trail_records",
@@ -477,9 +477,9 @@ _raw(
 _raw(
     "_rotation",
     f"""
-    SELECT 'k-' || {S('c_custkey')} AS KeyId, c_custkey % 2 = 0 AS KeyRotationEnabled,
+    SELECT 'k-' || {S('c_custkey + 7')} AS KeyId, c_custkey % 2 = 0 AS KeyRotationEnabled,
       {pick('c_custkey', None, None, 'AccessDeniedException', None, 'Throttled')} AS ErrorCode
-    FROM {{customer}} WHERE c_custkey % 7 <> 0
+    FROM {{customer}}
     """,
 )
 query(
@@ -625,14 +625,14 @@ _raw(
       'pol-' || {S('c_custkey % 6')} AS resiliencyPolicyArn FROM {{customer}}
     """,
 )
-_raw("_policies", f"SELECT 'pol-' || {S('n_nationkey')} AS policyArn, 60 * n_nationkey AS rpoInSecs, "
-     "90 * n_nationkey AS rtoInSecs FROM {nation} WHERE n_nationkey < 4")
+_raw("_policies", f"SELECT 'pol-' || {S('n_nationkey + 2')} AS policyArn, 60 * n_nationkey AS rpoInSecs, "
+     "90 * n_nationkey AS rtoInSecs FROM {nation}")
 _raw(
     "_drills",
-    f"SELECT 'app-' || {S('o_custkey')} AS appArn, CAST(o_orderdate AS TIMESTAMP) AS creationTime, "
-    "o_orderkey AS position FROM {orders} WHERE o_custkey % 2 = 0",
+    f"SELECT 'app-' || {S('2 * o_custkey')} AS appArn, CAST(o_orderdate AS TIMESTAMP) AS creationTime, "
+    "o_orderkey AS position FROM {orders}",
 )
-_raw("_app_costs", f"SELECT 'app-' || {S('c_custkey')} AS appArn, c_acctbal AS cost FROM {{customer}} WHERE c_custkey % 3 = 0")
+_raw("_app_costs", f"SELECT 'app-' || {S('3 * c_custkey')} AS appArn, c_acctbal AS cost FROM {{customer}}")
 query(
     "C17_resilience_apps",
     f"""

@@ -124,7 +124,6 @@ def points(t):
     return metrics.flatten_points(rows)
 
 
-_KNOWN = [f"{i:012d}" for i in range(0, 400, 3)]
 _ALARM_ACCOUNT = (
     f"CASE WHEN event_id % 4 = 0 THEN {padded('user_id * 3')} WHEN event_id % 4 = 1 THEN '' "
     f"ELSE {padded('user_id * 3 + event_id % 2')} END"
@@ -142,7 +141,7 @@ _ALARM_ACCOUNT = (
             s.alarm_name, s.namespace, s.metric_name, s.state, s.state_reason, s.state_updated_at
           FROM {{alarm_states}} s JOIN {{events}} e ON e.event_id = s.id) x
     WHERE (namespace, metric_name) IN (SELECT (namespace, metric_name) FROM ({_DEFS}))
-      AND (account_id = '' OR (CAST(account_id AS BIGINT) % 3 = 0 AND CAST(account_id AS BIGINT) < 400))
+      AND (account_id = '' OR account_id IN (SELECT account_id FROM {{accounts}}))
     """,
 )
 def snapshots(t):
@@ -160,7 +159,7 @@ def snapshots(t):
         "state_reason",
         "state_updated_at",
     )
-    return metrics.alarm_snapshots(raw, CONFIG.definitions(raw.sparkSession), _KNOWN, AS_OF)
+    return metrics.alarm_snapshots(raw, CONFIG.definitions(raw.sparkSession), t["accounts"], AS_OF)
 
 
 @query(
@@ -173,25 +172,22 @@ def snapshots(t):
     """,
 )
 def collected(t):
-    # every event is one discovered metric; its account is made unique so results match one to one
-    found = discovered(t).withColumn("account_id", F.concat("account_id", F.lit("/"), F.col("event_id").cast("string")))
+    # every event is one discovered metric; resources have many of them, with several dimension sets
+    found = discovered(t).withColumn("query_id", F.col("event_id"))
     fetched = metrics.enrich_metrics(
         found.withColumn("resource_id", metrics.resource_id(F.col("dimensions"), F.col("namespace"))),
         CONFIG.definitions(t["_discovered"].sparkSession),
     ).select(
-        "namespace",
-        "metric_name",
-        "account_id",
-        "resource_id",
+        "query_id",
         "statistic",
         F.concat(F.lit("label "), F.col("namespace")).alias("label"),
         F.array("ts").alias("timestamps"),
         F.array("value").alias("values"),
     )
     out = metrics.collect_points(
-        found.select("namespace", "metric_name", "account_id", "dimensions"), fetched, CONFIG, RULES
+        found.select("query_id", "namespace", "metric_name", "account_id", "dimensions"), fetched, CONFIG, RULES
     )
-    return out.drop("dimensions").withColumn("account_id", F.substring_index("account_id", "/", 1))
+    return out.drop("dimensions")
 
 
 query("M8_retain", f"SELECT id, collected_at FROM {{cloudwatch_metrics}} WHERE collected_at >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAY")(

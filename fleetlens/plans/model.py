@@ -191,9 +191,8 @@ _t(
 )
 _t(
     "product_accounts",
-    "(SELECT 2 * c_custkey AS k, c_nationkey AS p, c_custkey AS a FROM {customer} WHERE c_custkey % 11 <> 3 "
-    "UNION ALL SELECT 2 * c_custkey + 1 AS k, (c_nationkey + 1) % 25 AS p, c_custkey AS a FROM {customer} "
-    "WHERE c_custkey % 5 = 0)",
+    "(SELECT 2 * c_custkey AS k, c_nationkey AS p, c_custkey + 7 AS a FROM {customer} "
+    "UNION ALL SELECT 2 * c_custkey + 1 AS k, (c_nationkey + 1) % 25 AS p, 5 * c_custkey AS a FROM {customer})",
     id="k",
     product_id="p",
     account_id="a",
@@ -214,8 +213,8 @@ _t(
 _t(
     "alternate_contacts",
     "(SELECT 3 * c_custkey AS k, c_custkey, 'billing' AS kind FROM {customer} UNION ALL "
-    "SELECT 3 * c_custkey + 1 AS k, c_custkey, 'operations' AS kind FROM {customer} WHERE c_custkey % 2 = 0 UNION ALL "
-    "SELECT 3 * c_custkey + 2 AS k, c_custkey, 'security' AS kind FROM {customer} WHERE c_custkey % 3 = 0)",
+    "SELECT 3 * c_custkey + 1 AS k, 2 * c_custkey, 'operations' AS kind FROM {customer} UNION ALL "
+    "SELECT 3 * c_custkey + 2 AS k, 3 * c_custkey, 'security' AS kind FROM {customer})",
     id="k",
     account_id="c_custkey",
     contact_type="kind",
@@ -252,7 +251,7 @@ MODEL.raw(
       CAST(o_orderdate AS DATE) + 1 AS period_end, CAST(sum({CENTS}) AS BIGINT) AS cents,
       2 * (o_custkey * 10000 + (max(year(o_orderdate)) - 1995) * 372 + max(month(o_orderdate)) * 31
         + max(day(o_orderdate))) + 1 AS k
-    FROM {{orders}} WHERE o_custkey % 4 = 0 GROUP BY o_custkey, CAST(o_orderdate AS DATE)
+    FROM {{orders}} GROUP BY o_custkey, CAST(o_orderdate AS DATE)
     """,
 )
 MODEL.raw(
@@ -310,10 +309,9 @@ _t(
         f"sum(CASE WHEN o_orderpriority = '{p}' THEN 1 ELSE 0 END) AS {c}"
         for p, c in (("1-URGENT", "crit"), ("2-HIGH", "high"), ("3-MEDIUM", "med"), ("5-LOW", "low"))
     )
-    + " FROM {orders} WHERE o_custkey % 13 <> 5 AND (o_custkey % 6 <> 0 OR o_orderpriority <> '1-URGENT') "
-    "GROUP BY o_custkey, o_orderstatus)",
+    + " FROM {orders} GROUP BY o_custkey, o_orderstatus)",
     id="k",
-    account_id="o_custkey",
+    account_id="o_custkey + 5",
     service="CASE o_orderstatus WHEN 'F' THEN 'Security Hub' WHEN 'O' THEN 'GuardDuty' ELSE 'Inspector' END",
     total_findings="CASE WHEN o_custkey % 17 = 0 THEN 0 ELSE n END",
     critical_count="crit",

@@ -17,11 +17,21 @@ from fleetlens.streaming import alerts as A
 from fleetlens.streaming import metrics as M
 
 
-def event_stream(t) -> DataFrame:
-    """The event table as a file stream with a zoned time."""
+_DELIVERED: dict[tuple[str, str], str] = {}
+
+
+def event_stream(t, files: int = 3) -> DataFrame:
+    """The event table as a file stream with a zoned time; one micro-batch per file, in order of time."""
     spark, events = t["events"].sparkSession, t["events"]
-    path = t.sf_dir + "/events.parque[t]"
-    stream = spark.readStream.schema(events.schema).parquet(path)
+    key = (spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _DELIVERED:
+        path = shared_dir(spark, "events")
+        end = events.agg(F.max("event_id")).first()[0] + 1
+        for i in range(files):
+            part = events.filter(F.expr(f"event_id * {files} div {end}") == i)
+            part.coalesce(1).write.mode("append").parquet(path)
+        _DELIVERED[key] = path
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(_DELIVERED[key])
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -43,19 +53,19 @@ def finished(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
 MODEL.raw(
     "_status_updates",
     f"""
-    SELECT user_id + 1400 AS id, user_id - user_id % 3 AS account_id, 'probe-' || {S('user_id')} AS canary_name,
+    SELECT user_id + 1400 AS id, 2 * user_id - (2 * user_id) % 3 AS account_id, 'probe-' || {S('2 * user_id')} AS canary_name,
       CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'view' THEN NULL ELSE 'RUNNING' END AS status,
       CASE WHEN event_type = 'click' THEN NULL ELSE CAST(value AS DECIMAL(5,2)) END AS success_percentage,
-      CAST(ts AS TIMESTAMP) AS last_run_at, event_id AS arrival FROM {{events}} WHERE user_id % 2 = 0
+      CAST(ts AS TIMESTAMP) AS last_run_at, event_id AS arrival FROM {{events}}
     """,
 )
 _OUT = "account_id canary_name status success_percentage endpoint_url".split()
-_STORED = "SELECT account_id, canary_name, status, success_percentage, endpoint_url FROM {canaries} WHERE id % 4 <> 0"
+_STORED = "SELECT account_id, canary_name, status, success_percentage, endpoint_url FROM {canaries}"
 
 
 def _merged(mode):
     def run(t):
-        stored = t["canaries"].filter("id % 4 <> 0")
+        stored = t["canaries"]
         updates = t["_status_updates"].drop("last_run_at")
         return U.upsert(stored, updates, ("account_id", "canary_name"), mode, ("arrival",)).select(*_OUT)
 
@@ -82,13 +92,12 @@ query(
     """
     SELECT created, n - created AS updated, 0 AS skipped FROM (
       SELECT count(*) AS n, count(DISTINCT u.canary_name) FILTER (s.canary_name IS NULL) AS created
-      FROM {_status_updates} u LEFT JOIN (SELECT canary_name FROM {canaries} WHERE id % 4 <> 0) s USING (canary_name))
+      FROM {_status_updates} u LEFT JOIN (SELECT canary_name FROM {canaries}) s USING (canary_name))
     """,
-)(lambda t: U.upsert_stats(t["canaries"].filter("id % 4 <> 0"), t["_status_updates"], ("account_id", "canary_name")))
+)(lambda t: U.upsert_stats(t["canaries"], t["_status_updates"], ("account_id", "canary_name")))
 MODEL.raw(
     "_new_links",
-    "SELECT c_custkey AS account_id, (c_nationkey + c_custkey % 2) % 25 AS product_id FROM {customer} "
-    "WHERE c_custkey % 3 = 0",
+    "SELECT 3 * c_custkey AS account_id, (c_nationkey + c_custkey % 2) % 25 AS product_id FROM {customer}",
 )
 query(
     "S8_replace_links",
@@ -98,18 +107,18 @@ query(
       OR EXISTS (SELECT 1 FROM {_new_links} n WHERE n.account_id = l.account_id AND n.product_id = l.product_id)
     """,
 )(lambda t: U.replace_links(t["product_accounts"], t["_new_links"]).select("id", "product_id", "account_id"))
-_ACCOUNTS = ["000000000010", "000000000012", "000000000013"]
 query(
     "S12_link_product",
     """
-    SELECT product_id, account_id FROM {product_accounts} UNION
+    SELECT product_id, account_id FROM {product_accounts} UNION ALL
     SELECT p.id, a.id FROM {products} p, {accounts} a WHERE p.name = 'NATION_3'
-      AND a.account_id IN ('000000000010', '000000000012', '000000000013')
+      AND NOT EXISTS (SELECT 1 FROM {product_accounts} l WHERE l.product_id = p.id AND l.account_id = a.id)
+      AND a.account_id IN (SELECT account_id FROM {accounts} WHERE region = 'us-east-1')
     """,
 )(
-    lambda t: U.link_product(t["products"], t["accounts"], t["product_accounts"], "NATION_3", _ACCOUNTS).select(
-        "product_id", "account_id"
-    )
+    lambda t: U.link_product(
+        t["products"], t["accounts"], t["product_accounts"], "NATION_3", t["accounts"].filter("region = 'us-east-1'")
+    ).select("product_id", "account_id")
 )
 query(
     "S12_remove_product",
@@ -150,7 +159,7 @@ def _written(t, name: str, write) -> DataFrame:
     rows = t[name]
     write(rows.filter("id % 2 = 0"), path, ("id",))
     write(rows.filter("id % 2 = 1 OR id % 10 = 0"), path, ("id",))
-    return spark.read.parquet(path)
+    return ts.read_timeseries(spark, path)
 
 
 _POINT_KEY = ", ".join(ts.TIMESERIES_KEY)
@@ -200,7 +209,7 @@ def streamed_points(t):
     spark = t["events"].sparkSession
     path = shared_dir(spark, "stream-points")
     M.stream_metrics(_point_stream(t), path, f"{path}-checkpoint", ("id",)).awaitTermination()
-    return spark.read.parquet(path).select(*ts.TIMESERIES_KEY, "unit", "value")
+    return ts.read_timeseries(spark, path).select(*ts.TIMESERIES_KEY, "unit", "value")
 
 
 _SAMPLES = ("account_id", "namespace")
@@ -253,16 +262,22 @@ def _alarm_run(t):
 
 @query(
     "T3_stream_alarm_events",
-    """
+    f"""
     SELECT a.id AS account_id, b.arn AS alarm_arn, max(b.ts) AS state_updated_at, arg_max(b.event_type, b.ts) AS kind,
-      arg_max(b.namespace, -epoch_us(b.ts)) AS namespace
-    FROM {_bus} b JOIN {accounts} a ON a.account_id = b.number WHERE b.state = 'ALARM' GROUP BY ALL
+      arg_max(b.namespace, -epoch_us(b.ts)) AS namespace, TRUE AS has_id, TIMESTAMP '{AS_OF}' AS created_at
+    FROM {{_bus}} b JOIN {{accounts}} a ON a.account_id = b.number WHERE b.state = 'ALARM' GROUP BY ALL
     """,
 )
 def streamed_alarms(t):
     store, _ = _alarm_run(t)
     return store.read("alarms").select(
-        "account_id", "alarm_arn", "state_updated_at", F.substring("state_reason", 7, 100).alias("kind"), "namespace"
+        "account_id",
+        "alarm_arn",
+        "state_updated_at",
+        F.substring("state_reason", 7, 100).alias("kind"),
+        "namespace",
+        F.col("id").isNotNull().alias("has_id"),
+        "created_at",
     )
 
 
@@ -291,11 +306,24 @@ def _pending(events: DataFrame) -> DataFrame:
 
 
 _WINDOW = 36_000
-# A greedy sliding window has no set-based form: compared with brute force in the tests.
-query("T4_rate_limit_replay")(lambda t: A.rate_limit_replay(_pending(t["events"]), seconds=_WINDOW))
+# The greedy walk as a recursion: one step per alert of a channel, with the live send times as a list.
+_REPLAY = f"""
+    WITH RECURSIVE pending AS (
+      SELECT event_type AS channel, ts AS event_time, CAST(event_id AS VARCHAR) AS alert_id,
+        row_number() OVER (PARTITION BY event_type ORDER BY ts, CAST(event_id AS VARCHAR)) AS place FROM {{events}}),
+    walk AS (
+      SELECT *, 'sent' AS status, [event_time] AS recent FROM pending WHERE place = 1
+      UNION ALL
+      SELECT channel, event_time, alert_id, place, CASE WHEN len(live) < 10 THEN 'sent' ELSE 'grouped' END,
+        CASE WHEN len(live) < 10 THEN list_append(live, event_time) ELSE live END
+      FROM (SELECT p.*, list_filter(w.recent, lambda x: x > p.event_time - INTERVAL {_WINDOW} SECOND) AS live
+            FROM walk w JOIN pending p ON p.channel = w.channel AND p.place = w.place + 1))
+    SELECT channel, event_time, alert_id, status FROM walk
+"""
+query("T4_rate_limit_replay", _REPLAY)(lambda t: A.rate_limit_replay(_pending(t["events"]), seconds=_WINDOW))
 
 
-@query("T4_stream_rate_limit")
+@query("T4_stream_rate_limit", _REPLAY)
 def streamed_limit(t):
     spark = t["events"].sparkSession
     path = shared_dir(spark, "stream-limit")
@@ -303,7 +331,19 @@ def streamed_limit(t):
     return spark.read.parquet(f"{path}/log").drop("batch")
 
 
-@query("T5_stream_consecutive_failures", "SELECT canary_id FROM {_failing}")
+@query(
+    "T5_stream_consecutive_failures",
+    """
+    WITH runs AS (
+      SELECT user_id AS canary_id, event_id AS id, ts, event_type IN ('error', 'view') AS failed,
+        event_id * 3 // ((SELECT max(event_id) FROM {events}) + 1) AS delivered FROM {events}),
+    known AS (
+      SELECT b.n AS batch, r.*, row_number() OVER (PARTITION BY b.n, canary_id ORDER BY ts DESC, id DESC) AS k
+      FROM runs r JOIN range(0, 3) b(n) ON r.delivered <= b.n)
+    SELECT batch, canary_id, max(ts) AS last_run_at FROM known WHERE k <= 3 GROUP BY batch, canary_id
+    HAVING count(*) = 3 AND bool_and(failed) AND max(delivered) = batch
+    """,
+)
 def streamed_failures(t):
     spark = t["events"].sparkSession
     path = shared_dir(spark, "stream-failures")
@@ -314,7 +354,7 @@ def streamed_failures(t):
         F.when(F.col("event_type").isin("error", "view"), "FAILED").otherwise("PASSED").alias("run_status"),
     )
     A.stream_consecutive_failures(runs, path, f"{path}-checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/failing").select("canary_id")
+    return spark.read.parquet(f"{path}/failing").select("batch", "canary_id", "last_run_at")
 
 
 MODEL.raw(
@@ -368,7 +408,7 @@ query(
 query(
     "T7_stream_recent_window",
     _SLIDING.format(
-        more="",
+        more=", count(DISTINCT user_id) AS accounts, count(DISTINCT event_type) AS namespaces",
         having="HAVING start + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM {events}) - INTERVAL 1 HOUR",
     ).replace("{{", "{").replace("}}", "}"),
-)(lambda t: finished(M.recent_window(_fresh(event_stream(t))), "recent").select("window_start", "window_end", "points"))
+)(lambda t: finished(M.recent_window(_fresh(event_stream(t))), "recent"))

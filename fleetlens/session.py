@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,11 +46,13 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` names it on a cluster.  Only a session that has
-    none (local tests) gets a temporary folder of its own.
+    ``spark.checkpoint.dir`` names it on a cluster.  Only a local session that
+    has none (tests) gets a temporary folder of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.environ.get("FLEETLENS_SCRATCH")
         if not base:
             base = tempfile.mkdtemp(prefix="fleetlens-")

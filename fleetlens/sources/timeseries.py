@@ -1,4 +1,4 @@
-"""Weekly partitioned Parquet tables for metric points and alarm snapshots."""
+"""Parquet tables for metric points and alarm snapshots, split by ISO week and hour."""
 
 from __future__ import annotations
 
@@ -7,12 +7,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.functions.timecalc import as_timestamp, iso_week, iso_week_of
+from fleetlens.functions.timecalc import as_timestamp, iso_week
 from fleetlens.operators.metrics import SNAPSHOT_KEY, SNAPSHOT_REPLACED, TIMESERIES_KEY, retain
 from fleetlens.operators.upsert import merge_keyed
-from fleetlens.session import configure
+from fleetlens.session import configure, shared_dir
+from fleetlens.sources.versions import VersionedParts, label, remove
 
 PARTITION = "iso_week"
+HOUR = "hour"
 
 
 def week_ranges(start: Column, weeks: int) -> Column:
@@ -27,84 +29,87 @@ def week_ranges(start: Column, weeks: int) -> Column:
     )
 
 
-def _filesystem(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+def _parts(spark: SparkSession, path: str) -> VersionedParts:
+    return VersionedParts(configure(spark), path, (PARTITION, HOUR))
 
 
 def stored_weeks(spark: SparkSession, path: str) -> list[str]:
-    """Week labels present under ``path``; a directory listing, no data is read."""
-    fs, root = _filesystem(spark, path)
-    if not fs.exists(root):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{PARTITION}="))
-
+    """Week labels present under ``path``; no data is read."""
+    return sorted({x.split("/")[0] for x in _parts(spark, path).labels()})
 
-def _merge_weeks(df: DataFrame, path: str, keys, replaced, order_by) -> list[str]:
-    """Merge a batch into the weeks it touches; other weeks are neither read nor written."""
-    spark = configure(df.sparkSession)
-    batch = df.withColumn(PARTITION, iso_week(F.col("collected_at")))
-    # week labels only: bounded by the time span of the batch
-    touched = sorted(r[0] for r in batch.select(PARTITION).distinct().collect())
-    if not touched:
-        return []
-    known = set(stored_weeks(spark, path))
-    stored = None
-    if known & set(touched):
-        stored = spark.read.parquet(path).filter(F.col(PARTITION).isin(*sorted(known & set(touched))))
-        stored = stored.withColumn(PARTITION, F.col(PARTITION).cast("string"))
-    merged = merge_keyed(stored, batch, (PARTITION, *keys), replaced, order_by)
-    (
-        merged.repartition(PARTITION, "account_id", "resource_id")
-        .sortWithinPartitions(PARTITION, "account_id", "collected_at")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
-    return touched
 
+def read_timeseries(spark: SparkSession, path: str) -> DataFrame:
+    """The whole table with its ``iso_week``."""
+    return _parts(spark, path).read().drop(HOUR)
 
-def write_timeseries(df: DataFrame, path: str, order_by: tuple[str, ...] = ()) -> list[str]:
-    """Insert-or-update metric points; a conflict changes only ``value``."""
-    return _merge_weeks(df, path, TIMESERIES_KEY, ("value",), (*order_by, "dimensions"))
 
+def _merge_hours(df: DataFrame, path: str, keys, replaced, order_by, batch) -> list[str]:
+    """Merge a batch into the hours it touches; other hours are neither read nor written.
 
-def write_snapshots(df: DataFrame, path: str, order_by: tuple[str, ...] = ()) -> list[str]:
+    The instant is part of the key, so rows of other hours can't conflict.
+    """
+    spark = configure(df.sparkSession)
+    parts = _parts(spark, path)
+    if parts.committed(batch):
+        return []
+    staging = shared_dir(spark, "points")
+    try:
+        tagged = df.withColumn(PARTITION, iso_week(F.col("collected_at"))).withColumn(HOUR, F.date_format("collected_at", "yyyy-MM-dd-HH"))
+        tagged.write.parquet(staging)
+        rows = spark.read.schema(tagged.schema).parquet(staging)
+        # labels only: bounded by the time span of the batch
+        touched = sorted(r[0] for r in rows.select(label(F.col(PARTITION), F.col(HOUR))).distinct().collect())
+        if not touched:
+            return []
+        merged = merge_keyed(parts.read(None, touched), rows, (PARTITION, HOUR, *keys), replaced, order_by)
+        spread = merged.repartition(PARTITION, HOUR, "account_id", "resource_id").sortWithinPartitions(PARTITION, HOUR, "account_id", "collected_at")
+        parts.replace(spread, touched, batch)
+        return sorted({x.split("/")[0] for x in touched})
+    finally:
+        remove(spark, staging)
+
+
+def write_timeseries(df: DataFrame, path: str, order_by: tuple[str, ...] = (), batch: tuple[str, int] | None = None) -> list[str]:
+    """Insert-or-update metric points; a conflict changes only ``value``.  Returns the weeks touched."""
+    return _merge_hours(df, path, TIMESERIES_KEY, ("value",), (*order_by, "dimensions"), batch)
+
+
+def write_snapshots(df: DataFrame, path: str, order_by: tuple[str, ...] = (), batch: tuple[str, int] | None = None) -> list[str]:
     """Insert-or-update alarm snapshots; a conflict changes state, reason and state time."""
-    return _merge_weeks(df, path, SNAPSHOT_KEY, SNAPSHOT_REPLACED, (*order_by, "state_updated_at"))
+    return _merge_hours(df, path, SNAPSHOT_KEY, SNAPSHOT_REPLACED, (*order_by, "state_updated_at"), batch)
 
 
 def read_since(spark: SparkSession, path: str, since: dt.datetime) -> DataFrame:
-    """Rows collected from ``since`` on; the week filter prunes partitions."""
-    df = spark.read.parquet(path)
-    return df.filter((F.col(PARTITION) >= iso_week_of(since.date())) & (F.col("collected_at") >= as_timestamp(since)))
+    """Rows collected from ``since`` on; earlier hours are not opened."""
+    parts = _parts(spark, path)
+    first = since.strftime("%Y-%m-%d-%H")
+    rows = parts.read(None, [x for x in parts.labels() if x.split("/")[1] >= first])
+    rows = read_timeseries(spark, path).limit(0) if rows is None else rows.drop(HOUR)
+    return rows.filter(F.col("collected_at") >= as_timestamp(since))
 
 
 def purge(spark: SparkSession, path: str, as_of: dt.datetime, days: int = 90) -> int:
-    """M8 on disk: drop whole weeks past retention, rewrite the boundary week; returns deleted rows.
+    """M8 on disk: drop whole hours past retention, rewrite the boundary hour; returns deleted rows.
 
-    Counting the dropped weeks reads only Parquet footers.
+    Counting the dropped hours reads only Parquet footers.
     """
-    configure(spark)
+    parts = _parts(spark, path)
     limit = as_of - dt.timedelta(days=days)
-    boundary = iso_week_of(limit.date())
-    weeks = stored_weeks(spark, path)
-    old, deleted = [w for w in weeks if w < boundary], 0
-    table = spark.read.parquet(path) if weeks else None
+    edge = limit.strftime("%Y-%m-%d-%H")
+    labels = parts.labels()
+    old, deleted = [x for x in labels if x.split("/")[1] < edge], 0
     if old:
-        deleted += table.filter(F.col(PARTITION).isin(*old)).count()
-    if boundary in weeks:
-        week = table.filter(F.col(PARTITION) == boundary)
-        kept = retain(week, as_of, days)
-        before, after = week.count(), kept.count()
+        deleted += parts.read(None, old).count()
+    boundary = [x for x in labels if x.split("/")[1] == edge]
+    if boundary:
+        rows = parts.read(None, boundary)
+        kept = retain(rows, as_of, days)
+        before, after = rows.count(), kept.count()
         deleted += before - after
         if after == 0:
-            old.append(boundary)
+            old += boundary
         elif after < before:
-            kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).parquet(path)
-    for week in old:
-        fs, folder = _filesystem(spark, f"{path}/{PARTITION}={week}")
-        fs.delete(folder, True)
+            parts.replace(kept, boundary)
+    if old:
+        parts.drop(old)
     return deleted

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetlens.functions.stitched import previous_row
+from fleetlens.functions.stitched import previous_row, running_max
 from fleetlens.operators.alerts import (
     MAX_MESSAGES,
     WINDOW_SECONDS,
@@ -21,7 +21,7 @@ from fleetlens.operators.alerts import (
 )
 from fleetlens.operators.upsert import merge_keyed
 from fleetlens.sources.store import TableStore
-from fleetlens.sources.timeseries import _filesystem
+from fleetlens.sources.versions import exists, remove
 
 
 def _start(stream: DataFrame, each, checkpoint: str) -> StreamingQuery:
@@ -33,9 +33,9 @@ def _start(stream: DataFrame, each, checkpoint: str) -> StreamingQuery:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, folder = _filesystem(spark, path)
-    return fs.exists(folder)
+def _forget(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Keep the state of this batch and of the one before it."""
+    remove(spark, f"{path}/batch={batch_id - 2}")
 
 
 # T3 ------------------------------------------------------------------------
@@ -47,7 +47,8 @@ def stream_alarm_events(
     """Events to classified alarms in ``store`` and severe ones to ``alerts_path``.
 
     Rules and accounts are read again with every micro-batch.  Alerts are
-    written per batch id, so a replay replaces them.
+    written per batch id, so a replay replaces them.  ``as_of`` may be a
+    function that a long stream asks for the time of each batch.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -62,9 +63,11 @@ def stream_alarm_events(
                 r[0]
                 for r in known.join(ids, "account").select(touched.alias("p")).distinct().collect()
             )
-            if parts:
-                stored = store.read("alarms").withColumn("_p", touched).filter(F.col("_p").isin(*parts)).drop("_p")
-                store.overwrite("alarms", apply_alarm_events(stored, known, accounts, as_of), parts)
+            source = (checkpoint, batch_id)
+            if parts and not store.committed("alarms", source):
+                stored = store.read("alarms", parts)
+                clock = as_of() if callable(as_of) else as_of
+                store.overwrite("alarms", apply_alarm_events(stored, known, accounts, clock), parts, source)
         finally:
             classified.unpersist()
 
@@ -83,8 +86,10 @@ def rate_limit_replay(
 
     An alert is sent when fewer than ``n`` were sent on its channel in the
     trailing window.  Of the alerts with one channel and time only the first
-    ``n`` can be, so the rest is settled without the sequential pass.  That pass
-    streams sorted batches and keeps ``n`` send times; no group is held.
+    ``n`` can be, so the rest is settled without the sequential pass.  A pause
+    of ``seconds`` empties the window, so each stretch of a channel between two
+    pauses is a task's work of its own; that pass streams sorted batches and
+    keeps ``n`` send times.  Only a channel that never pauses stays one stretch.
     ``sent`` seeds the window with earlier sends.
     """
     alerts = pending.select(F.col("channel").cast("string"), F.col("event_time").cast("timestamp"), "alert_id")
@@ -98,12 +103,12 @@ def rate_limit_replay(
     window = pd.Timedelta(seconds=seconds)
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        channel, recent = None, []
+        stretch, recent = None, []
         for pdf in batches:
             status = []
-            for name, when, seed in zip(pdf["channel"], pdf["event_time"], pdf["seed"]):
-                if name != channel:
-                    channel, recent = name, []
+            for *own, when, seed in zip(pdf["channel"], pdf["stretch"], pdf["event_time"], pdf["seed"]):
+                if own != stretch:
+                    stretch, recent = own, []
                 recent = [t for t in recent if t > when - window]
                 if seed == 0 or len(recent) < n:
                     recent.append(when)
@@ -113,29 +118,39 @@ def rate_limit_replay(
             out = pdf[["channel", "event_time", "alert_id"]].assign(status=status)
             yield out[out["status"] != "seed"]
 
-    ordered = rows.repartition("channel").sortWithinPartitions("channel", "event_time", "seed", "alert_id")
+    order, hour = ["event_time", "seed", "alert_id"], F.date_trunc("hour", F.col("event_time"))
+    rows = previous_row(rows, ["channel"], order, hour, ["event_time"])
+    paused = F.col("event_time") - F.make_dt_interval(secs=F.lit(seconds)) >= F.col("previous_event_time")
+    rows = rows.withColumn("_start", F.when(F.coalesce(paused, F.lit(True)), F.col("event_time")))
+    rows = running_max(rows, ["channel"], order, hour, "_start", "stretch")
+    rows = rows.select("channel", "stretch", *order)
+    ordered = rows.repartition("channel", "stretch").sortWithinPartitions("channel", "stretch", *order)
     return ordered.mapInPandas(walk, _REPLAY_SCHEMA).unionByName(hopeless)
 
 
 def stream_rate_limit(
     pending: DataFrame, log_path: str, checkpoint: str, n: int = MAX_MESSAGES, seconds: int = WINDOW_SECONDS
 ) -> StreamingQuery:
-    """T4: the replay per micro-batch; the log written so far is the state, as in the batch operator."""
+    """T4: the replay per micro-batch.
+
+    The state is the newest ``n`` sends per channel, beside the log and per
+    batch id, so a replayed batch starts from the same point and reads no log.
+    """
     spark = pending.sparkSession
+    state = f"{log_path}-state"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        sent = None
-        if _exists(spark, log_path):
-            done = spark.read.parquet(log_path)
-            # a replayed batch must not count its own rows
-            sent = done.filter((F.col("batch") < batch_id) & (F.col("status") == "sent"))
-            floor = batch.agg(F.min("event_time").alias("_floor"))
-            since = floor.select((F.col("_floor") - F.expr(f"INTERVAL '{int(seconds)}' SECOND")).alias("t")).first()[0]
-            if since is None:
-                return
-            sent = sent.filter(F.col("event_time") > F.lit(since))
+        before = f"{state}/batch={batch_id - 1}"
+        sent = spark.read.parquet(before) if exists(spark, before) else None
         limited = rate_limit_replay(batch, sent, n, seconds)
         limited.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+        done = spark.read.schema(limited.schema).parquet(f"{log_path}/batch={batch_id}")
+        done = done.filter(F.col("status") == "sent").select("channel", "event_time", "alert_id")
+        newest = W.partitionBy("channel").orderBy(F.desc("event_time"), F.desc("alert_id"))
+        both = done if sent is None else sent.unionByName(done)
+        both = both.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
+        both.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        _forget(spark, state, batch_id)
 
     return _start(pending, each, checkpoint)
 
@@ -160,7 +175,7 @@ def stream_consecutive_failures(runs: DataFrame, path: str, checkpoint: str, n:
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = newest_runs(batch.select("canary_id", "id", "run_at", "run_status"), n)
         before = f"{path}/ring/batch={batch_id - 1}"
-        if _exists(spark, before):
+        if exists(spark, before):
             rows = newest_runs(spark.read.parquet(before).unionByName(rows), n)
         rows.write.mode("overwrite").parquet(f"{path}/ring/batch={batch_id}")
         ring = spark.read.schema(rows.schema).parquet(f"{path}/ring/batch={batch_id}")
@@ -168,6 +183,7 @@ def stream_consecutive_failures(runs: DataFrame, path: str, checkpoint: str, n:
         failing = consecutive_failures(ring, n).join(touched, "canary_id", "left_semi")
         last = ring.groupBy("canary_id").agg(F.max("run_at").alias("last_run_at"))
         failing.join(last, "canary_id").write.mode("overwrite").parquet(f"{path}/failing/batch={batch_id}")
+        _forget(spark, f"{path}/ring", batch_id)
 
     return _start(runs, each, checkpoint)
 
@@ -211,10 +227,11 @@ def stream_alarm_transitions(snapshots: DataFrame, path: str, checkpoint: str) -
     def each(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*columns)
         before = f"{path}/last/batch={batch_id - 1}"
-        known = spark.read.parquet(before) if _exists(spark, before) else None
+        known = spark.read.parquet(before) if exists(spark, before) else None
         both = rows if known is None else known.select(*columns).unionByName(rows)
         alarm_transitions(both).write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
         last = merge_keyed(known, rows, key, ("collected_at", "state", "state_reason"), ("collected_at",))
         last.write.mode("overwrite").parquet(f"{path}/last/batch={batch_id}")
+        _forget(spark, f"{path}/last", batch_id)
 
     return _start(snapshots, each, checkpoint)

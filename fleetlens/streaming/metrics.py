@@ -15,12 +15,12 @@ STATISTICS = ("Average", "Sum", "Maximum", "Minimum", "p95")
 def stream_metrics(points: DataFrame, path: str, checkpoint: str, order_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Points into the weekly table; a late or repeated point replaces the value.
 
-    The merge is an upsert on the point's key, so lateness is unbounded and a
-    replayed micro-batch changes nothing.
+    The merge is an upsert on the point's key, so lateness is unbounded; a
+    micro-batch rewrites the hours it touches, once.
     """
 
-    def each(batch: DataFrame, _: int) -> None:
-        write_timeseries(batch, path, order_by)
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_timeseries(batch, path, order_by, (checkpoint, batch_id))
 
     return (
         points.writeStream.foreachBatch(each)
@@ -30,13 +30,14 @@ def stream_metrics(points: DataFrame, path: str, checkpoint: str, order_by: tupl
     )
 
 
-def _statistic(name: str, value: Column) -> Column:
+def _statistic(name: str, value: str) -> Column:
+    """An exact statistic of column ``value``."""
     return {
         "Average": F.avg(value),
         "Sum": F.sum(value),
         "Maximum": F.max(value),
         "Minimum": F.min(value),
-        "p95": F.percentile_approx(value, 0.95, 10000),
+        "p95": F.expr(f"percentile_disc(0.95) WITHIN GROUP (ORDER BY `{value}`)"),
     }[name]
 
 
@@ -51,10 +52,10 @@ def tumbling_metrics(
     """One row per window, resource and statistic from raw samples; batch or stream.
 
     All statistics have partial aggregates, so a hot resource is combined before
-    the shuffle.
+    the shuffle; the exact percentile keeps the distinct values of one window.
     """
     base = samples.withWatermark(time, watermark) if samples.isStreaming else samples
-    aggs = [_statistic(s, F.col(value)).alias(s) for s in STATISTICS]
+    aggs = [_statistic(s, value).alias(s) for s in STATISTICS]
     wide = base.groupBy(F.window(time, width).alias("_w"), *keys).agg(*aggs)
     rows = F.array(
         *[F.struct(F.lit(s).alias("statistic"), F.col(s).cast("double").alias("value")) for s in STATISTICS]
@@ -71,23 +72,21 @@ def recent_window(
 ) -> DataFrame:
     """Sliding freshness counts: points and distinct accounts and namespaces.
 
-    A stream cannot count distinct values exactly, so there they are sketched; a
-    batch counts them exactly.
+    Exact in a batch and in a stream.  Each point counts once for its account
+    and once for its namespace; the first aggregate makes the values distinct,
+    the second one counts them per window.
     """
-    window = F.window(time, width, slide).alias("_w")
-    bounds = [F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end")]
-    if points.isStreaming:
-        rows = points.withWatermark(time, watermark)
-        out = rows.groupBy(window).agg(
-            F.count(F.lit(1)).alias("points"),
-            F.approx_count_distinct("account_id", 0.01).alias("accounts"),
-            F.approx_count_distinct("namespace", 0.01).alias("namespaces"),
-        )
-        return out.select(*bounds, "points", "accounts", "namespaces")
-    groups = points.groupBy(window, "account_id", "namespace").agg(F.count(F.lit(1)).alias("n"))
-    out = groups.groupBy("_w").agg(
-        F.sum("n").alias("points"),
-        F.countDistinct("account_id").alias("accounts"),
-        F.countDistinct("namespace").alias("namespaces"),
+    rows = points.withWatermark(time, watermark) if points.isStreaming else points
+    values = F.array(
+        F.struct(F.lit("account").alias("kind"), F.col("account_id").cast("string").alias("value")),
+        F.struct(F.lit("namespace").alias("kind"), F.col("namespace").cast("string").alias("value")),
     )
-    return out.select(*bounds, "points", "accounts", "namespaces")
+    each = rows.select(time, F.inline(values))
+    groups = each.groupBy(F.window(time, width, slide).alias("window"), "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    named = F.col("value").isNotNull()
+    out = groups.groupBy("window").agg(
+        F.sum(F.when(F.col("kind") == "account", F.col("n"))).alias("points"),
+        F.count_if((F.col("kind") == "account") & named).alias("accounts"),
+        F.count_if((F.col("kind") == "namespace") & named).alias("namespaces"),
+    )
+    return out.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "points", "accounts", "namespaces")

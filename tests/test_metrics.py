@@ -88,10 +88,10 @@ def test_alarm_snapshots(spark):
         rows,
         f"alarm_name string, namespace string, metric_name string, owning_account string, alarm_arn string, dimensions {DIMS}",
     ).withColumns({"state": F.lit("OK"), "state_reason": F.lit(None).cast("string"), "state_updated_at": F.lit(T0)})
-    out = {r.alarm_name: r for r in M.alarm_snapshots(df, config.definitions(spark), ["111", "222"], T0).collect()}
+    out = {r.alarm_name: r for r in M.alarm_snapshots(df, config.definitions(spark), spark.createDataFrame([("111",), ("222",)], "account_id string"), T0).collect()}
     assert {k: v.account_id for k, v in out.items()} == {"own": "111", "arn": "222", "blank": ""}
     assert out["own"].resource_id == "v" and out["own"].state_reason == ""
-    everyone = M.alarm_snapshots(df, config.definitions(spark), [], T0)
+    everyone = M.alarm_snapshots(df, config.definitions(spark), None, T0)
     assert everyone.count() == 4
 
 
@@ -113,7 +113,7 @@ def points(spark, rows):
 
 
 def read(spark, path):
-    return {(r.collected_at, r.resource_id): (r.value, r.unit) for r in spark.read.parquet(path).collect()}
+    return {(r.collected_at, r.resource_id): (r.value, r.unit) for r in ts.read_timeseries(spark, path).collect()}
 
 
 def test_conflict_changes_only_the_value(spark, tmp_path):
