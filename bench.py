@@ -32,6 +32,8 @@ HEADLINE = (
     "C7_finding_rollup",
     "C24_error_patterns",
     "S6_upsert_full",
+    "S6_store_upsert",
+    "T1_stream_metrics",
     "T2_tumbling_metrics",
     "T6_alarm_transitions",
 )

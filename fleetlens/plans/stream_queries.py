@@ -87,6 +87,21 @@ def _merge_sql(pick: str, full: bool) -> str:
 
 query("S6_upsert_full", _merge_sql("arg_max_null({c}, arrival)", True))(_merged("full"))
 query("S6_upsert_partial", _merge_sql("arg_max({c}, arrival)", False))(_merged("partial"))
+@query("S6_store_upsert", _merge_sql("arg_max({c}, arrival)", False))
+def stored_upsert(t):
+    """Two batches into a table that holds rows already, each delivered twice."""
+    spark = t["canaries"].sparkSession
+    store = TableStore(spark, shared_dir(spark, "store"))
+    store.overwrite("canaries", t["canaries"])
+    updates = t["_status_updates"].drop("last_run_at")
+    end = updates.agg(F.max("arrival")).first()[0] + 1
+    for number in (0, 1):
+        part = updates.filter(F.expr(f"arrival * 2 div {end}") == number)
+        for _ in range(2):
+            store.upsert("canaries", part, "partial", ("arrival",), {}, ("account_id", "canary_name"), ("status", number))
+    return store.read("canaries").select(_OUT)
+
+
 query(
     "S7_upsert_stats",
     """
