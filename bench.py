@@ -28,7 +28,7 @@ HEADLINE = (
     "R6_rate_limit",
     "S6_upsert_partial",
     "S9_write_timeseries",
-    "C3_cost_report",
+    "C3_cost_report_monthly",
     "C7_finding_rollup",
     "C24_error_patterns",
     "S6_upsert_full",

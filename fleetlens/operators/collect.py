@@ -105,8 +105,29 @@ def backfill(df: DataFrame, day_column: str, start: dt.date, end: dt.date) -> Da
 # C2, C3 --------------------------------------------------------------------
 
 
-def service_costs_by_period(usage: DataFrame) -> DataFrame:
-    """Cost per account, period and service, dearest first."""
+#: Spark's names of the units that periods of an interval start with.
+PERIOD_UNIT = {"DAILY": "day", "WEEKLY": "week", "MONTHLY": "month", "YEARLY": "year"}
+
+
+def period_of(day: Column, interval: str) -> Column:
+    """First day of the period that ``day`` lies in."""
+    return F.date_trunc(PERIOD_UNIT[interval], day).cast("date")
+
+
+def service_costs_by_period(usage: DataFrame, interval: str = "DAILY", start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """Cost per account, period of the interval and service, dearest first.
+
+    With a window, only its usage counts and its first and last period are cut
+    to it.
+    """
+    if start is not None:
+        usage = usage.filter((F.col("period_start") >= F.lit(start)) & (F.col("period_start") < F.lit(end)))
+    if interval != "DAILY":
+        first = period_of(F.col("period_start"), interval)
+        last = (first + F.expr(f"INTERVAL 1 {PERIOD_UNIT[interval]}")).cast("date")
+        if start is not None:
+            first, last = F.greatest(first, F.lit(start)), F.least(last, F.lit(end))
+        usage = usage.withColumns({"period_start": first, "period_end": last})
     return (
         usage.groupBy("account_id", "service", "period_start", "period_end", "unit")
         .agg(F.sum("amount").alias("cost"))
@@ -128,55 +149,66 @@ def service_costs_by_period(usage: DataFrame) -> DataFrame:
 def cost_report(usage: DataFrame, start: dt.date, end: dt.date, interval: str = "DAILY") -> DataFrame:
     """Per account current and previous total, change and top services of the last period.
 
-    One scan covers both windows; the previous one has the same number of days
-    and ends where the current one starts.
+    The last period is the window's, in the interval's granularity: an account
+    without use in it lists no service.  One scan covers both windows; the
+    previous one has the same number of days and ends where the current one
+    starts.
     """
     days = 1 if interval == "DAILY" else (end - start).days + 1
     before = start - dt.timedelta(days=days)
     day = F.col("period_start")
-    current = (day >= F.lit(start)) & (day < F.lit(end))
     rows = usage.filter((day >= F.lit(before)) & (day < F.lit(end)))
-    per_service = rows.groupBy("account_id", "period_start", "service").agg(F.sum("amount").alias("cost"))
-    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("cost"))), F.lit(0))
-    totals = per_service.groupBy("account_id").agg(
-        total(current).alias("current_period_cost"),
-        total(day < F.lit(start)).alias("previous_period_cost"),
-        F.max(F.when(current, day)).alias("_last"),
-    )
-    difference = F.col("current_period_cost") - F.col("previous_period_cost")
-    previous = F.col("previous_period_cost")
-    top = top_services(per_service.filter(current), totals.select("account_id", "_last"))
-    return totals.join(top, "account_id", "left").select(
-        "account_id",
-        "current_period_cost",
-        "previous_period_cost",
-        difference.alias("cost_difference"),
-        F.when(previous > 0, difference.cast("double") / previous.cast("double") * 100)
-        .otherwise(0.0)
-        .alias("cost_difference_percentage"),
-        F.coalesce("top_services", F.array().cast(top.schema["top_services"].dataType)).alias("top_services"),
-        F.struct(F.lit(start).alias("start"), F.lit(end).alias("end"), F.lit(interval).alias("granularity")).alias(
-            "period"
-        ),
+    current = day >= F.lit(start)
+    latest = current & (period_of(day, interval) == period_of(F.lit(end - dt.timedelta(days=1)), interval))
+    report = reported(rows.select("account_id", "service", "amount", current.alias("current"), latest.alias("latest")), ("account_id",))
+    period = F.struct(F.lit(start).alias("start"), F.lit(end).alias("end"), F.lit(interval).alias("granularity"))
+    return report.withColumn("period", period)
+
+
+def backfilled_cost_reports(usage: DataFrame, days: DataFrame) -> DataFrame:
+    """C28 over C3: the daily report of every day of ``days`` (``backfill_days``) in one pass, with its ``load_day``.
+
+    A load day's window is the day before it; usage of a day is current for the
+    next load day and previous for the one after.
+    """
+    both = F.array(
+        F.struct(F.date_add("period_start", 1).alias("load_day"), F.lit(True).alias("current")),
+        F.struct(F.date_add("period_start", 2).alias("load_day"), F.lit(False).alias("current")),
     )
+    rows = usage.select("account_id", "service", "amount", F.inline(both)).withColumn("latest", F.col("current"))
+    rows = rows.join(days.select(F.col("day").alias("load_day")), "load_day", "left_semi")
+    report = reported(rows, ("account_id", "load_day"))
+    period = F.struct(F.date_sub("load_day", 1).alias("start"), F.col("load_day").alias("end"), F.lit("DAILY").alias("granularity"))
+    return report.withColumn("period", period)
+
 
+def reported(rows: DataFrame, keys: tuple[str, ...], n: int = TOP_SERVICES) -> DataFrame:
+    """Totals, change and the ``n`` dearest services (ties by name) per ``keys``.
 
-def top_services(per_service: DataFrame, last: DataFrame, n: int = TOP_SERVICES) -> DataFrame:
-    """The ``n`` dearest services of each account's last period; ties go by name."""
-    dearest = W.partitionBy("account_id").orderBy(F.desc("cost"), "service")
-    ranked = (
-        per_service.join(last, "account_id")
-        .filter(F.col("period_start") == F.col("_last"))
-        .withColumn("_rank", F.row_number().over(dearest))
-        .filter(F.col("_rank") <= n)
+    ``rows`` carries service, amount and whether it counts for the current
+    window and for its last period.
+    """
+    cost = lambda cond: F.sum(F.when(cond, F.col("amount")))
+    per_service = rows.groupBy(*keys, "service").agg(
+        cost(F.col("current")).alias("cur"), cost(~F.col("current")).alias("prev"), cost(F.col("latest")).alias("last")
     )
-    entry = F.struct("_rank", "service", "cost")
-    listed = ranked.groupBy("account_id").agg(F.array_sort(F.collect_list(entry)).alias("_top"))
-    return listed.select(
-        "account_id",
-        F.transform("_top", lambda s: F.struct(s["service"].alias("service"), s["cost"].alias("cost"))).alias(
-            "top_services"
-        ),
+    dearest = W.partitionBy(*keys).orderBy(F.desc_nulls_last("last"), "service")
+    ranked = per_service.withColumn("_rank", F.row_number().over(dearest))
+    entry = F.when((F.col("_rank") <= n) & F.col("last").isNotNull(), F.struct("_rank", "service", F.col("last").alias("cost")))
+    totals = ranked.groupBy(*keys).agg(
+        F.coalesce(F.sum("cur"), F.lit(0)).alias("current_period_cost"),
+        F.coalesce(F.sum("prev"), F.lit(0)).alias("previous_period_cost"),
+        F.array_sort(F.collect_list(entry)).alias("_top"),
+    )
+    difference, previous = F.col("current_period_cost") - F.col("previous_period_cost"), F.col("previous_period_cost")
+    change = F.when(previous > 0, difference.cast("double") / previous.cast("double") * 100).otherwise(0.0)
+    return totals.select(
+        *keys,
+        "current_period_cost",
+        "previous_period_cost",
+        difference.alias("cost_difference"),
+        change.alias("cost_difference_percentage"),
+        F.transform("_top", lambda s: F.struct(s["service"].alias("service"), s["cost"].alias("cost"))).alias("top_services"),
     )
 
 

@@ -92,52 +92,87 @@ query(
     """,
 )(lambda t: C.service_costs_by_period(t["_usage"]))
 
-_CUR = "period_start >= DATE '1998-03-01' AND period_start < DATE '1998-03-31'"
-_PREV = "period_start >= DATE '1998-01-29' AND period_start < DATE '1998-03-01'"
+query(
+    "C2_service_costs_by_month",
+    """
+    SELECT account_id, service, 'Aggregated' AS usage_types, CAST(date_from AS VARCHAR) AS date_from,
+      CAST(date_to AS VARCHAR) AS date_to, CAST(sum(amount) AS DOUBLE) AS cost, unit AS currency,
+      CAST(NULL AS DOUBLE) AS utilization, CAST(NULL AS VARCHAR) AS utilization_unit
+    FROM (SELECT *, greatest(date_trunc('month', period_start), DATE '1998-01-10')::DATE AS date_from,
+            least(date_trunc('month', period_start) + INTERVAL 1 MONTH, DATE '1998-03-20')::DATE AS date_to FROM {_usage}
+          WHERE period_start >= DATE '1998-01-10' AND period_start < DATE '1998-03-20') GROUP BY ALL
+    """,
+)(lambda t: C.service_costs_by_period(t["_usage"], "MONTHLY", D(1998, 1, 10), D(1998, 3, 20)))
+
+#: Interval: window, days before it that the previous window has, first day of the window's last period.
+_REPORTS = {
+    "DAILY": (D(1998, 3, 14), D(1998, 3, 15), 1, D(1998, 3, 14)),
+    "WEEKLY": (D(1998, 3, 2), D(1998, 3, 12), 11, D(1998, 3, 9)),
+    "MONTHLY": (D(1998, 2, 1), D(1998, 3, 31), 59, D(1998, 3, 1)),
+    "YEARLY": (D(1997, 1, 1), D(1998, 12, 31), 730, D(1998, 1, 1)),
+}
 
 
-def monthly_report(t):
-    return C.cost_report(t["_usage"], D(1998, 3, 1), D(1998, 3, 31), "MONTHLY")
+def _report_queries(interval: str) -> None:
+    start, end, days, last = _REPORTS[interval]
+    cur = f"period_start >= DATE '{start}' AND period_start < DATE '{end}'"
+    prev = f"period_start >= DATE '{start}' - {days} AND period_start < DATE '{start}'"
+    top = f"""
+      SELECT account_id, service, CAST(sum(amount) AS DOUBLE) AS cost,
+        row_number() OVER (PARTITION BY account_id ORDER BY sum(amount) DESC, service) - 1 AS place
+      FROM {{_usage}} WHERE {cur} AND period_start >= DATE '{last}' GROUP BY account_id, service QUALIFY place < 5"""
+    query(
+        f"C3_cost_report_{interval.lower()}",
+        f"""
+        SELECT account_id, CAST(cur AS DOUBLE) AS current_period_cost, CAST(prev AS DOUBLE) AS previous_period_cost,
+          CAST(cur - prev AS DOUBLE) AS cost_difference,
+          CASE WHEN prev > 0 THEN round(CAST(cur - prev AS DOUBLE) / CAST(prev AS DOUBLE) * 100, 6) ELSE 0 END
+            AS cost_difference_percentage,
+          '{interval}' AS granularity, (SELECT count(*) FROM ({top}) y WHERE y.account_id = x.account_id) AS services_listed
+        FROM (SELECT account_id, coalesce(sum(amount) FILTER ({cur}), 0) AS cur,
+                coalesce(sum(amount) FILTER ({prev}), 0) AS prev
+              FROM {{_usage}} WHERE ({cur}) OR ({prev}) GROUP BY account_id) x
+        """,
+    )(
+        lambda t: C.cost_report(t["_usage"], start, end, interval).select(
+            "account_id",
+            "current_period_cost",
+            "previous_period_cost",
+            "cost_difference",
+            F.round("cost_difference_percentage", 6).alias("cost_difference_percentage"),
+            "period.granularity",
+            F.size("top_services").alias("services_listed"),
+        )
+    )
+    query(f"C3_top_services_{interval.lower()}", f"SELECT account_id, place, service, cost FROM ({top})")(
+        lambda t: C.cost_report(t["_usage"], start, end, interval)
+        .select("account_id", F.posexplode("top_services").alias("place", "s"))
+        .select("account_id", "place", "s.service", "s.cost")
+    )
 
 
+for _interval in _REPORTS:
+    _report_queries(_interval)
 query(
-    "C3_cost_report",
-    f"""
-    SELECT account_id, CAST(cur AS DOUBLE) AS current_period_cost, CAST(prev AS DOUBLE) AS previous_period_cost,
-      CAST(cur - prev AS DOUBLE) AS cost_difference,
-      CASE WHEN prev > 0 THEN round(CAST(cur - prev AS DOUBLE) / CAST(prev AS DOUBLE) * 100, 6) ELSE 0 END
-        AS cost_difference_percentage,
-      'MONTHLY' AS granularity, top AS services_listed
-    FROM (SELECT account_id, coalesce(sum(amount) FILTER ({_CUR}), 0) AS cur,
-            coalesce(sum(amount) FILTER ({_PREV}), 0) AS prev, max(period_start) FILTER ({_CUR}) AS last_day
-          FROM {{_usage}} WHERE ({_CUR}) OR ({_PREV}) GROUP BY account_id) x,
-      LATERAL (SELECT least(count(DISTINCT service), 5) AS top FROM {{_usage}} u
-               WHERE u.account_id = x.account_id AND u.period_start = x.last_day) y
+    "C28_backfilled_cost_reports",
+    """
+    WITH daily AS (SELECT account_id, period_start AS d, sum(amount) AS cost FROM {_usage} GROUP BY ALL),
+    keys AS (SELECT DISTINCT account_id, d + CAST(i AS INT) AS load_day FROM daily, range(1, 3) r(i)
+             WHERE d + CAST(i AS INT) BETWEEN DATE '1998-01-05' AND DATE '1998-03-20')
+    SELECT k.account_id, CAST(k.load_day AS DATE)::VARCHAR AS load_day, CAST(coalesce(c.cost, 0) AS DOUBLE) AS current_period_cost,
+      CAST(coalesce(p.cost, 0) AS DOUBLE) AS previous_period_cost,
+      (SELECT arg_min(service, (-total, service)) FROM (SELECT service, sum(amount) AS total FROM {_usage} u
+         WHERE u.account_id = k.account_id AND u.period_start = k.load_day - 1 GROUP BY service)) AS dearest
+    FROM keys k LEFT JOIN daily c ON c.account_id = k.account_id AND c.d = k.load_day - 1
+    LEFT JOIN daily p ON p.account_id = k.account_id AND p.d = k.load_day - 2
     """,
 )(
-    lambda t: monthly_report(t).select(
-        "account_id",
-        "current_period_cost",
-        "previous_period_cost",
-        "cost_difference",
-        F.round("cost_difference_percentage", 6).alias("cost_difference_percentage"),
-        "period.granularity",
-        F.size("top_services").alias("services_listed"),
+    lambda t: C.backfilled_cost_reports(
+        t["_usage"], C.backfill_days(t["_usage"].sparkSession, "5-1-1998", "20-3-1998", D(1998, 6, 1))
+    ).select(
+        "account_id", "load_day", "current_period_cost", "previous_period_cost", F.get("top_services", F.lit(0))["service"].alias("dearest")
     )
 )
-query(
-    "C3_top_services",
-    f"""
-    WITH last_day AS (SELECT account_id, max(period_start) AS d FROM {{_usage}} WHERE {_CUR} GROUP BY account_id)
-    SELECT account_id, row_number() OVER (PARTITION BY account_id ORDER BY cost DESC, service) - 1 AS place, service,
-      CAST(cost AS DOUBLE) AS cost
-    FROM (SELECT u.account_id, service, sum(amount) AS cost FROM {{_usage}} u JOIN last_day l
-            ON l.account_id = u.account_id AND l.d = u.period_start GROUP BY ALL)
-    QUALIFY place < 5
-    """,
-)(lambda t: monthly_report(t).select("account_id", F.posexplode("top_services").alias("place", "s")).select(
-    "account_id", "place", "s.service", "s.cost"
-))
 query(
     "C3_cost_forecasts",
     "SELECT account_id, CAST(period_start AS VARCHAR) AS period_start, CAST(period_end AS VARCHAR) AS period_end, "
