@@ -54,6 +54,19 @@ def classify_severity(alarms: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
+def write_back_severity(alarms: DataFrame, rules: DataFrame, as_of) -> DataFrame:
+    """R1 on loaded alarms: those in state ALARM take the severity of their rule, all others stay."""
+    found = classify_severity(alarms.withColumnRenamed("severity", "_stored"), rules)
+    firing = F.coalesce(F.col("state") == "ALARM", F.lit(False))
+    found = found.withColumns(
+        {
+            "severity": F.when(firing, F.col("severity")).otherwise(F.col("_stored")),
+            "updated_at": F.when(firing, as_timestamp(as_of)).otherwise(F.col("updated_at")),
+        }
+    )
+    return found.select(*alarms.columns)
+
+
 def consecutive_failures(runs: DataFrame, n: int = 3, keys: tuple[str, ...] = ("canary_id",)) -> DataFrame:
     """R2: keys whose newest ``n`` runs exist and all failed.
 
@@ -332,8 +345,8 @@ def notification_message(alerts: DataFrame, dashboard_url: str = "") -> DataFram
     return alerts.withColumn("message", F.to_json(F.struct(blocks.alias("blocks"))))
 
 
-def notification_log(limited: DataFrame, as_of) -> DataFrame:
-    """Audit rows of a dispatch, shaped for the notification table."""
+def notification_log(limited: DataFrame, as_of, more: tuple[str, ...] = ()) -> DataFrame:
+    """Audit rows of a dispatch, shaped for the notification table, and the columns ``more``."""
     return limited.select(
         "alert_type",
         F.coalesce("alert_id", F.lit("")).alias("alert_id"),
@@ -341,4 +354,5 @@ def notification_log(limited: DataFrame, as_of) -> DataFrame:
         F.substring(F.coalesce("title", F.lit("")), 1, SUMMARY_LENGTH).alias("message_summary"),
         as_timestamp(as_of).alias("sent_at"),
         "status",
+        *more,
     )

@@ -101,6 +101,15 @@ query(
     """,
 )(lambda t: alerts.parse_alarm_event(bus(t)))
 
+query(
+    "R1_write_back_severity",
+    f"""
+    SELECT a.id, CASE WHEN a.state = 'ALARM' THEN c.severity ELSE a.severity END AS severity,
+      CASE WHEN a.state = 'ALARM' THEN TIMESTAMP '{AS_OF}' ELSE a.updated_at END AS updated_at
+    FROM {{alarms}} a JOIN {{_classified}} c ON c.id = a.id
+    """,
+)(lambda t: alerts.write_back_severity(t["alarms"], t["notification_rules"], AS_OF).select("id", "severity", "updated_at"))
+
 MODEL.raw(
     "_stored_alarms",
     f"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -311,6 +313,43 @@ def streamed_alerts(t):
     return t["events"].sparkSession.read.parquet(path).select("event_id", "alarm_arn", "severity")
 
 
+_STEP = 200
+
+
+@query(
+    "T3_notifications",
+    f"""
+    WITH severe AS (
+      SELECT b.*, b.event_id * 3 // ((SELECT max(event_id) FROM {{events}}) + 1) AS batch,
+        coalesce((SELECT r.severity FROM {{notification_rules}} r WHERE r.is_active
+          AND r.namespace = b.namespace AND (r.metric_name IS NULL OR r.metric_name = b.metric_name)
+          AND (b.event_id % 9 = 0 OR ((r.threshold_min IS NULL OR b.value >= r.threshold_min)
+            AND (r.threshold_max IS NULL OR b.value <= r.threshold_max))) ORDER BY r.id LIMIT 1), 'Medium') AS severity
+      FROM {{_bus}} b WHERE b.state = 'ALARM' AND severity IN ('Critical', 'High')),
+    found AS (SELECT b.n AS batch, count(s.event_id) AS n FROM range(0, 3) b(n) LEFT JOIN severe s ON s.batch = b.n GROUP BY b.n),
+    first AS (SELECT least(10, n) AS n FROM found WHERE batch = 0),
+    second AS (SELECT least(10 - (SELECT n FROM first), n) AS n FROM found WHERE batch = 1),
+    third AS (SELECT least(10 - (SELECT n FROM second), n) AS n FROM found WHERE batch = 2),
+    fits AS (SELECT batch, n, CASE batch WHEN 0 THEN (SELECT n FROM first) WHEN 1 THEN (SELECT n FROM second)
+      ELSE (SELECT n FROM third) END AS budget, TIMESTAMP '{AS_OF}' + batch * INTERVAL {_STEP} SECOND AS sent_at FROM found),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY ts, arn, number) AS place FROM severe)
+    SELECT batch, 'alarm' AS alert_type, arn AS alert_id, severity, name AS message_summary, sent_at, 'sent' AS status,
+      TRUE AS has_message FROM placed JOIN fits USING (batch) WHERE place <= budget
+    UNION ALL
+    SELECT batch, 'grouped', '', '', concat(n - budget, ' alerts grouped'), sent_at, 'grouped', TRUE FROM fits WHERE n > budget
+    """,
+)
+def notified(t):
+    """The second batch comes inside the window of the first, the third after it."""
+    spark = t["events"].sparkSession
+    path = shared_dir(spark, "notifications")
+    start = dt.datetime.fromisoformat(AS_OF)
+    clock = lambda batch: start + dt.timedelta(seconds=_STEP * batch)
+    A.stream_notifications(_bus_stream(t), t["notification_rules"], f"{path}/log", f"{path}/checkpoint", clock).awaitTermination()
+    log = spark.read.parquet(f"{path}/log")
+    return log.withColumn("has_message", F.col("message").contains("blocks")).drop("message")
+
+
 def _pending(events: DataFrame) -> DataFrame:
     """Alerts on five channels."""
     return events.select(

@@ -17,7 +17,10 @@ from fleetlens.operators.alerts import (
     apply_alarm_events,
     classify_severity,
     consecutive_failures,
+    notification_log,
+    notification_message,
     parse_alarm_event,
+    rate_limit,
 )
 from fleetlens.operators.upsert import merge_keyed
 from fleetlens.sources.store import TableStore
@@ -74,6 +77,51 @@ def stream_alarm_events(
     return _start(events, each, checkpoint)
 
 
+def event_alerts(classified: DataFrame) -> DataFrame:
+    """Severe events in the shape of R5's alerts."""
+    severe = classified.filter(F.col("severity").isin("Critical", "High"))
+    return severe.select(
+        F.lit(1).alias("order_no"),
+        F.lit("alarm").alias("alert_type"),
+        F.col("account").alias("account_id"),
+        F.col("alarm_arn").alias("alert_id"),
+        "severity",
+        F.col("alarm_name").alias("title"),
+        F.col("resource_arn").alias("detail_1"),
+        F.col("namespace").alias("detail_2"),
+        F.col("state_reason").alias("reason"),
+        F.col("state_updated_at").alias("event_time"),
+    )
+
+
+def stream_notifications(
+    events: DataFrame, rules: DataFrame, log_path: str, checkpoint: str, clock, n: int = MAX_MESSAGES, seconds: int = WINDOW_SECONDS
+) -> StreamingQuery:
+    """Events, their severity, the message budget, the messages and the log of what was sent.
+
+    ``clock(batch_id)`` gives the time of a micro-batch.  The log is written
+    per batch id; the newest ``n`` sends lie beside it and give the next batch
+    its budget, so a replayed batch starts from the same point.
+    """
+    spark, state = events.sparkSession, f"{log_path}-state"
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        now, before = clock(batch_id), f"{state}/batch={batch_id - 1}"
+        pending = event_alerts(classify_severity(parse_alarm_event(batch), rules))
+        earlier = spark.createDataFrame([], "sent_at timestamp, status string")
+        if exists(spark, before):
+            earlier = spark.read.parquet(before)
+        limited = notification_message(rate_limit(pending, earlier, now, n, seconds))
+        log = notification_log(limited, now, ("message",))
+        log.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
+        sent = spark.read.schema(log.schema).parquet(f"{log_path}/batch={batch_id}").filter(F.col("status") == "sent")
+        newest = earlier.unionByName(sent.select("sent_at", "status")).orderBy(F.desc("sent_at")).limit(n)
+        newest.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
+        _forget(spark, state, batch_id)
+
+    return _start(events, each, checkpoint)
+
+
 # T4 ------------------------------------------------------------------------
 
 _REPLAY_SCHEMA = "channel string, event_time timestamp, alert_id string, status string"
