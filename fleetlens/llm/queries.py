@@ -122,17 +122,66 @@ def op9(docs, read):
     return quality.rank(docs, quality.fit(docs, read("labels")))
 
 
-@query("op6_ngram_jaccard")
+def reach_sql(key: str) -> str:
+    """``reach`` and ``component`` over a relation ``links`` (a, b) that holds both directions."""
+    return f"""reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    component AS (SELECT a AS {key}, min(b) AS least FROM reach GROUP BY a)"""
+
+
+@query(
+    "op6_ngram_jaccard",
+    oracle=rf"""
+    WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '{WORD_SQL}') AS w FROM documents),
+    grams AS MATERIALIZED (SELECT DISTINCT doc_id, hash(unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1),
+        lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS g FROM texts),
+    sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    sized AS MATERIALIZED (SELECT doc_id, g, n FROM grams JOIN sizes USING (doc_id)),
+    common AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS c FROM sized x JOIN sized y
+        ON x.g = y.g AND x.doc_id <> y.doc_id AND least(x.n, y.n) * 100 >= greatest(x.n, y.n) * 90 GROUP BY ALL),
+    links AS MATERIALIZED (SELECT a, b FROM common WHERE 100 * c >= 90 * (na + nb - c)),
+    {reach_sql("doc_id")}
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id
+    FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN component USING (doc_id)""",
+)
 def op6(docs, read):
     return jaccard.similar_groups(docs, width=3, percent=90)
 
 
-@query("op8_embedding_forest", table="embeddings")
+@query(
+    "op8_embedding_forest",
+    table="embeddings",
+    oracle=f"""
+    WITH RECURSIVE vectors AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS MATERIALIZED (SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
+        ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.v, y.v) >= 0.95),
+    {reach_sql("vec_id")}
+    SELECT vec_id, (SELECT count(*) FROM links l WHERE l.a = vec_id) AS n_links,
+      least(vec_id, coalesce(least, vec_id)) AS component_id, vec_id <= coalesce(least, vec_id) AS kept
+    FROM embeddings LEFT JOIN component USING (vec_id)""",
+)
 def op8(vectors, read):
     return forest.near_vectors(vectors)
 
 
-@query("op10_suffix_dedup")
+@query(
+    "op10_suffix_dedup",
+    oracle="""
+    WITH texts AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    places AS MATERIALIZED (SELECT doc_id, CAST(p AS BIGINT) AS p, substr(h, CAST(2 * p + 1 AS BIGINT), 100) AS s
+        FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 49, 0))) AS p FROM texts)),
+    firsts AS (SELECT s, min(doc_id) AS owner FROM places GROUP BY s),
+    hits AS MATERIALIZED (SELECT doc_id, p FROM places JOIN firsts USING (s) WHERE owner < doc_id),
+    marked AS (SELECT *, CASE WHEN p <= lag(p) OVER w + 50 THEN 0 ELSE 1 END AS new FROM hits WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+    runs AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM marked) GROUP BY doc_id, r),
+    spans AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS n, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends FROM runs GROUP BY doc_id),
+    cut AS (SELECT t.doc_id, h, coalesce(removed, 0) AS removed, coalesce(n, 0) AS n, list_prepend(0, coalesce(ends, [])) AS from_,
+        list_append(coalesce(starts, []), len(h) // 2) AS to_ FROM texts t LEFT JOIN spans USING (doc_id))
+    SELECT doc_id, len(h) // 2 AS n_bytes, CAST(removed AS BIGINT) AS n_removed, n AS n_spans, sha256(unhex(array_to_string(
+      list_transform(range(1, len(from_) + 1), lambda i: substr(h, CAST(2 * from_[i] + 1 AS BIGINT), CAST(2 * (to_[i] - from_[i]) AS BIGINT))), ''))) AS kept_sha256
+    FROM cut""",
+)
 def op10(docs, read):
     return repeats.remove_repeats(docs)
 
