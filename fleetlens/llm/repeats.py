@@ -3,8 +3,9 @@
 Phrases of the parse are dealt by their trigger.  Equal phrases make one
 dictionary entry, owned by the smallest document that has it; in any other
 document the whole phrase is a repeat.  Entries of one trigger that belong to
-several documents may still share strings shorter than a phrase: the suffixes
-of these entries are sorted, and runs of equal suffixes give what repeats.
+several documents and agree on one side of it may still share strings shorter
+than a phrase: the suffixes of these entries are sorted, and runs of equal
+suffixes give what repeats.
 """
 
 from __future__ import annotations
@@ -21,9 +22,14 @@ from fleetlens.llm.common import NULL_ID, buckets_for, buffers, few, ids_column,
 from fleetlens.llm.parse import PIECE, SPAN, parse
 from fleetlens.session import materialize
 
-#: Numbers in a broadcast side at most; beyond it the texts are shuffled instead.
-BROADCAST_NUMBERS = 6_000_000
-LISTS = {"ids": np.int64, "counts": np.uint32, "starts": np.uint32, "widths": np.uint32, "triggers": np.uint32, "phrases": np.uint64}
+#: Bytes in a broadcast side at most; beyond it the texts are shuffled instead.
+BROADCAST_BYTES = 64 << 20
+#: Bytes that a row of such a side takes besides its lists.
+ROW_BYTES = 64
+LISTS = {
+    "ids": np.int64, "counts": np.uint32, "starts": np.uint32, "ends": np.uint32, "widths": np.uint8,
+    "triggers": np.uint32, "phrases": np.uint64, "lefts": np.uint16, "rights": np.uint16,
+}
 PACKED = ", ".join(f"{name} binary" for name in LISTS)
 
 
@@ -81,7 +87,7 @@ def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
 
 
 def ranges(ids: np.ndarray, start: np.ndarray, end: np.ndarray, key: np.ndarray, kind: int) -> list[tuple]:
-    return pack_runs(key, kind, ids, starts=start, widths=end - start)
+    return pack_runs(key, kind, ids, starts=start, ends=end)
 
 
 def shard_of(ids: np.ndarray, shards: int) -> np.ndarray:
@@ -92,15 +98,25 @@ def shard_of(ids: np.ndarray, shards: int) -> np.ndarray:
 COVER, ASK = 0, 1
 
 
+def shared_mark(trigger: np.ndarray, mark: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """True for entries whose trigger and mark another document has too."""
+    by = np.lexsort((mark, trigger))
+    new = np.r_[True, (trigger[by][1:] != trigger[by][:-1]) | (mark[by][1:] != mark[by][:-1])]
+    edge, own = np.flatnonzero(new), doc[by]
+    out = np.zeros(len(doc), bool)
+    out[by] = (np.minimum.reduceat(own, edge) != np.maximum.reduceat(own, edge))[np.cumsum(new) - 1]
+    return out & (mark > 0)
+
+
 def phrase_plan(docs: DataFrame, buckets: int) -> DataFrame:
     """``doc_id, starts, ends, ask_starts, ask_widths, ask_triggers``: what repeats as whole phrases,
     and which phrases have to be compared suffix by suffix."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, offsets, raw, at in parts_of(batches):
-            row, first, last, trigger, phrase = parse(raw, at)
-            known = ids[row] != NULL_ID
-            row, first, last, trigger, phrase = (v[known] for v in (row, first, last, trigger, phrase))
+            found = parse(raw, at)
+            known = ids[found[0]] != NULL_ID
+            row, first, last, trigger, phrase, left, right = (v[known] for v in found)
             doc, start = ids[row], offsets[row] + first - at[row]
             width = last - first + SPAN
             # of equal phrases of a slice only the smallest document's travel on
@@ -111,7 +127,7 @@ def phrase_plan(docs: DataFrame, buckets: int) -> DataFrame:
             repeat[by] = doc[by] > owner
             own = ~repeat
             bucket = (trigger[own] >> np.uint64(32)) % np.uint64(buckets)
-            out = pack_runs(bucket.astype(np.int64), ASK, doc[own], starts=start[own], widths=width[own], triggers=trigger[own] & np.uint64(0xFFFFFFFF), phrases=phrase[own])
+            out = pack_runs(bucket.astype(np.int64), ASK, doc[own], starts=start[own], widths=width[own], triggers=trigger[own] & np.uint64(0xFFFFFFFF), phrases=phrase[own], lefts=left[own], rights=right[own])
             d, s, e = merge(doc[repeat], start[repeat], start[repeat] + width[repeat])
             out += ranges(d, s, e, buckets + shard_of(d, buckets), COVER)
             yield packed_batch(out, "bucket")
@@ -120,20 +136,15 @@ def phrase_plan(docs: DataFrame, buckets: int) -> DataFrame:
         v = unpack(table)
         doc, start, width = v["ids"], v["starts"].astype(np.int64), v["widths"].astype(np.int64)
         if table.column("kind")[0].as_py() == COVER:
-            return pa.Table.from_batches([packed_batch(ranges(doc, start, start + width, shard_of(doc, buckets), COVER), "shard")])
+            return pa.Table.from_batches([packed_batch(ranges(doc, start, v["ends"], shard_of(doc, buckets), COVER), "shard")])
         by = np.lexsort((doc, v["phrases"], v["triggers"]))
         doc, start, width, trigger, phrase = doc[by], start[by], width[by], v["triggers"][by], v["phrases"][by]
-        new_trigger = np.r_[True, trigger[1:] != trigger[:-1]]
-        new_phrase = new_trigger | np.r_[True, phrase[1:] != phrase[:-1]]
+        new_phrase = np.r_[True, (trigger[1:] != trigger[:-1]) | (phrase[1:] != phrase[:-1])]
         heads = np.flatnonzero(new_phrase)
         repeat = doc > doc[heads][np.cumsum(new_phrase) - 1]
-        # a trigger whose entries belong to one document only has nothing to compare
-        entry = ~repeat
-        group = (np.cumsum(new_trigger) - 1)[entry]
-        own = doc[entry]
-        edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        several = (np.minimum.reduceat(own, edge) != np.maximum.reduceat(own, edge))[group]
-        ask = np.flatnonzero(entry)[several]
+        entry = np.flatnonzero(~repeat)
+        near = shared_mark(trigger[entry], v["lefts"][by][entry], doc[entry]) | shared_mark(trigger[entry], v["rights"][by][entry], doc[entry])
+        ask = entry[near]
         out = ranges(doc[repeat], start[repeat], start[repeat] + width[repeat], shard_of(doc[repeat], buckets), COVER)
         out += pack_runs(shard_of(doc[ask], buckets), ASK, doc[ask], starts=start[ask], widths=width[ask], triggers=trigger[ask])
         return pa.Table.from_batches([packed_batch(out, "shard")])
@@ -141,29 +152,35 @@ def phrase_plan(docs: DataFrame, buckets: int) -> DataFrame:
     def gather(table: pa.Table) -> pa.Table:
         kind = np.array(table.column("kind").to_pylist())
         cover, ask = (unpack(table.filter(pa.array(kind == k))) for k in (COVER, ASK))
-        d, s, e = merge(cover["ids"], cover["starts"].astype(np.int64), cover["starts"].astype(np.int64) + cover["widths"])
+        d, s, e = merge(cover["ids"], cover["starts"], cover["ends"])
         by = np.lexsort((ask["starts"], ask["ids"]))
         ids = np.union1d(d, ask["ids"])
 
-        def lists(owner: np.ndarray, values: np.ndarray, kind) -> pa.Array:
-            return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.r_[ids, [0]])[: len(ids)].tolist() + [len(owner)], pa.int32()), pa.array(values.astype(kind)))
+        def cuts(owner: np.ndarray) -> np.ndarray:
+            return np.append(np.searchsorted(owner, ids), len(owner))
+
+        def lists(values: np.ndarray) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(cuts(d).astype(np.int32)), pa.array(values.astype(np.int32)))
+
+        def packed_lists(values: np.ndarray) -> pa.Array:
+            at, data = cuts(ask["ids"][by]), values[by]
+            return pa.array([data[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
 
-        owner = ask["ids"][by]
         return pa.table(
             {
                 "doc_id": pa.array(ids),
-                "starts": lists(d, s, np.int64),
-                "ends": lists(d, e, np.int64),
-                "ask_starts": lists(owner, ask["starts"][by], np.int64),
-                "ask_widths": lists(owner, ask["widths"][by], np.int32),
-                "ask_triggers": lists(owner, ask["triggers"][by], np.int64),
+                "starts": lists(s),
+                "ends": lists(e),
+                "ask_starts": packed_lists(ask["starts"]),
+                "ask_widths": packed_lists(ask["widths"]),
+                "ask_triggers": packed_lists(ask["triggers"]),
             }
         )
 
     packed = docs.mapInArrow(send, f"bucket long, kind int, {PACKED}")
     met = packed.groupBy("bucket").applyInArrow(meet, f"shard long, kind int, {PACKED}")
     return met.groupBy("shard").applyInArrow(
-        gather, "doc_id long, starts array<long>, ends array<long>, ask_starts array<long>, ask_widths array<int>, ask_triggers array<long>"
+        gather, "doc_id long, starts array<int>, ends array<int>, ask_starts binary, ask_widths binary, ask_triggers binary"
     )
 
 
@@ -204,13 +221,14 @@ def window_repeats(docs: DataFrame, plan: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             raw, at = buffers(batch.column(1))
-            starts, widths, triggers = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (2, 3, 4))
-            row = np.repeat(np.arange(len(ids)), np.diff(batch.column(2).offsets.to_numpy()))
+            lists = [batch.column(i).to_pylist() for i in (2, 3, 4)]
+            starts, widths, triggers = (np.frombuffer(b"".join(v), k).astype(np.int64) for v, k in zip(lists, (np.uint32, np.uint8, np.uint32), strict=True))
+            row = np.repeat(np.arange(len(ids)), [len(w) for w in lists[1]])
             fits = starts + widths <= np.diff(at)[row]
             row, starts, widths, triggers = row[fits], starts[fits], widths[fits], triggers[fits]
             for a in range(0, len(row), 1 << 15):
-                r, s, w = row[a : a + (1 << 15)], starts[a : a + (1 << 15)], widths[a : a + (1 << 15)].astype(np.int64)
-                bucket = (triggers[a : a + (1 << 15)] % buckets).astype(np.int64)
+                r, s, w = row[a : a + (1 << 15)], starts[a : a + (1 << 15)], widths[a : a + (1 << 15)]
+                bucket = triggers[a : a + (1 << 15)] % buckets
                 by = np.argsort(bucket, kind="stable")
                 r, s, w, bucket = r[by], s[by], w[by], bucket[by]
                 at_byte = np.repeat(at[r] + s, w) + np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w)
@@ -218,7 +236,7 @@ def window_repeats(docs: DataFrame, plan: DataFrame, buckets: int) -> DataFrame:
                 upto = np.r_[0, np.cumsum(w)]
                 edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
                 out = [
-                    (int(bucket[x]), ids[r[x:y]].tobytes(), s[x:y].astype(np.int64).tobytes(), w[x:y].astype(np.uint8).tobytes(), data[upto[x] : upto[y]].tobytes())
+                    (int(bucket[x]), ids[r[x:y]].tobytes(), s[x:y].tobytes(), w[x:y].astype(np.uint8).tobytes(), data[upto[x] : upto[y]].tobytes())
                     for x, y in zip(edges[:-1], edges[1:], strict=True)
                 ]
                 columns = list(zip(*out, strict=True))
@@ -234,13 +252,14 @@ def window_repeats(docs: DataFrame, plan: DataFrame, buckets: int) -> DataFrame:
         d, s, e = merge(doc, start, start + SPAN)
         first = np.flatnonzero(np.r_[True, d[1:] != d[:-1]]) if len(d) else np.empty(0, int)
         cuts = pa.array(np.r_[first, len(d)].astype(np.int32))
-        return pa.table({"doc_id": pa.array(d[first]), "starts": pa.ListArray.from_arrays(cuts, pa.array(s)), "ends": pa.ListArray.from_arrays(cuts, pa.array(e))})
+        s, e = (pa.ListArray.from_arrays(cuts, pa.array(v.astype(np.int32))) for v in (s, e))
+        return pa.table({"doc_id": pa.array(d[first]), "starts": s, "ends": e})
 
-    asked = plan.filter(F.size("ask_starts") > 0).select("doc_id", "ask_starts", "ask_widths", "ask_triggers")
-    asked = few(asked, BROADCAST_NUMBERS, F.size("ask_starts") * 3 + 4)
+    asked = plan.filter(F.octet_length("ask_widths") > 0).select("doc_id", "ask_starts", "ask_widths", "ask_triggers")
+    asked = few(asked, BROADCAST_BYTES, F.octet_length("ask_widths") * 9 + ROW_BYTES)
     texts = docs.join(asked, "doc_id").select("doc_id", "text", "ask_starts", "ask_widths", "ask_triggers")
     sent = texts.mapInArrow(send, "bucket long, ids binary, starts binary, widths binary, data binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "doc_id long, starts array<long>, ends array<long>")
+    return sent.groupBy("bucket").applyInArrow(meet, "doc_id long, starts array<int>, ends array<int>")
 
 
 def repeated_ranges(docs: DataFrame) -> DataFrame:
@@ -254,7 +273,7 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
 
 def with_ranges(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``doc_id, text, starts, ends`` of every row; null lists where nothing repeats."""
-    return docs.join(few(found, BROADCAST_NUMBERS, F.size("starts") * 2 + 4), "doc_id", "left").select("doc_id", "text", "starts", "ends")
+    return docs.join(few(found, BROADCAST_BYTES, F.size("starts") * 8 + ROW_BYTES), "doc_id", "left").select("doc_id", "text", "starts", "ends")
 
 
 def kept_pieces(raw: np.ndarray, starts, ends) -> tuple[list[np.ndarray], int, int]:

@@ -66,7 +66,7 @@ def test_long_text_comes_in_pieces(spark, monkeypatch):
 def test_every_window_is_in_one_phrase():
     data = [b"abc" * 40, b"", b"x" * 49, b"y" * 50, bytes(range(200))]
     raw, at = np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)])
-    row, first, last, trigger, phrase = parse.parse(raw, at)
+    row, first, last, *_ = parse.parse(raw, at)
     windows = [w for a, b in zip(first, last, strict=True) for w in range(a, b + 1)]
     assert windows == [p for i in range(5) for p in range(at[i], at[i + 1] - 49)]
     assert all(at[r] <= a and b + 50 <= at[r + 1] for r, a, b in zip(row, first, last, strict=True))
@@ -92,5 +92,5 @@ def test_edges(spark):
 def test_shuffled_join_gives_the_same(spark, monkeypatch):
     source = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     want = got(source)
-    monkeypatch.setattr(repeats, "BROADCAST_NUMBERS", 0)
+    monkeypatch.setattr(repeats, "BROADCAST_BYTES", 0)
     assert got(source) == want
