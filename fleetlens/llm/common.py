@@ -26,6 +26,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of these operators; executors started elsewhere find the package."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    # a union that keeps its sides' partitioning fails where adaptive execution has merged partitions of one side only
+    spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     root = os.path.dirname(os.path.dirname(os.path.abspath(fleetlens.__file__)))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:

@@ -30,6 +30,8 @@ CLASS_RATIO = 1.3
 COUNT_BITS = 3
 #: Bits of the parity sketch that rules out pairs before their overlap is counted.
 SKETCH_BITS = 9
+#: Members of a signature that the others are compared with, one after the other, before all pairs are.
+LEADERS = 3
 
 
 class Cut:
@@ -250,6 +252,20 @@ def overlapping(pairs: DataFrame, parts: DataFrame, cut: Cut) -> DataFrame:
     return total.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * cut.percent).select("a", "b")
 
 
+def possible(pairs: DataFrame, nodes: DataFrame, cut: Cut) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches leave, with their sizes."""
+    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    return pairs.join(left, "a").join(right, "b").filter(close_enough(cut)).select("a", "b", "na", "nb")
+
+
+def still_open(member: DataFrame, tied: DataFrame) -> DataFrame:
+    """``sig, node, component`` of the signatures whose members are not all in one component."""
+    rows = member.join(tied, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
+    apart = rows.groupBy("sig").agg((F.min("component") != F.max("component")).alias("apart")).filter("apart").select("sig")
+    return rows.join(apart, "sig", "left_semi")
+
+
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row.
 
@@ -259,8 +275,9 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     more, and ``component_id`` is the smallest id reachable by links.
 
     Every component is found from verified links: sets that share a signature
-    are first compared with one of them; where members of a signature still
-    lie in different components, all pairs across these are compared.  A link
+    are first compared with one of them, then those in other components with
+    another one, a few times; where members of a signature still lie in
+    different components, all pairs across these are compared.  A link
     could be missed only if n-grams hash so unevenly that no more fragments
     are filled than n-grams differ: below 1e-9 for any set.
 
@@ -276,33 +293,45 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         profile.filter("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes"
     )
     found = materialize(stars(texts, width, cut, buckets_for(texts)), "stars")
-    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    pairs = found.select("a", "b").distinct().join(left, "a").join(right, "b").filter(close_enough(cut)).select("a", "b", "na", "nb")
-    pairs = materialize(pairs, "pairs")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    pairs = materialize(possible(found.select("a", "b").distinct(), nodes, cut), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     parts = materialize(segments(texts, nodes.join(ends, "node", "left_semi"), width), "segments")
     links = materialize(overlapping(pairs, parts, cut), "links")
     tied = materialize(components(links), "tied")
 
-    # signatures whose members are not all in one component yet
-    of = tied.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    known = found.join(of.select(F.col("b").alias("a"), F.col("cb").alias("ca")), "a", "left").join(of, "b", "left")
-    known = known.select("sig", "a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
-    open_ = known.groupBy("sig").agg(F.max((F.col("ca") != F.col("cb")).cast("int")).alias("apart"), F.count("*").alias("n")).filter("apart = 1 AND n > 1").select("sig")
-    rest = materialize(known.join(open_, "sig", "left_semi"), "open")
-    if not rest.isEmpty():
-        member = rest.select("sig", F.col("a").alias("node"), F.col("ca").alias("component")).union(rest.select("sig", "b", "cb")).distinct().join(nodes.select("node", "n", "sketch"), "node")
-        one = member.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-        two = member.select(F.col("sig").alias("sig2"), F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-        across = one.join(two, (F.col("sig") == F.col("sig2")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & close_enough(cut))
-        across = across.select("a", "b", "na", "nb").distinct().join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        across = materialize(across, "across")
-        if not across.isEmpty():
-            ends = across.select(F.col("a").alias("node")).union(across.select("b")).distinct().join(parts.select("node").distinct(), "node", "left_anti")
-            more = segments(texts, nodes.join(ends, "node", "left_semi"), width)
-            links = links.union(materialize(overlapping(across, materialize(parts.union(more), "segments2"), cut), "links2"))
-            tied = materialize(components(links), "tied2")
+    # signatures of three sets or more: their members may link without linking the one they were compared with
+    several = found.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").select("sig")
+    member = found.join(several, "sig", "left_semi")
+    member = materialize(member.select("sig", F.explode(F.array("a", "b")).alias("node")).distinct(), "members")
+    member = materialize(still_open(member, tied), "open")
+    if not member.isEmpty():
+        ends = member.select("node").distinct().join(parts.select("node").distinct(), "node", "left_anti")
+        parts = materialize(parts.union(segments(texts, nodes.join(ends, "node", "left_semi"), width)), "segments2")
+    for turn in range(LEADERS + 1):
+        if member.isEmpty():
+            break
+        if turn < LEADERS:
+            # all members of other components against one member, another one each time
+            lead = member.groupBy("sig").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("lead"))
+            ahead = member.join(lead, "sig").filter("component <> lead.component")
+            ahead = ahead.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+            ahead = possible(ahead, nodes, cut)
+        else:
+            # what is left: all pairs across components
+            full = member.join(nodes.select("node", "n", "sketch"), "node")
+            one = full.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
+            two = full.select(F.col("sig").alias("sig2"), F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+            ahead = one.join(two, (F.col("sig") == F.col("sig2")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & close_enough(cut))
+            ahead = ahead.select("a", "b", "na", "nb").distinct()
+        done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        ahead = materialize(ahead.join(done, ["a", "b"], "left_anti"), f"ahead{turn}")
+        if not ahead.isEmpty():
+            pairs = pairs.union(ahead)
+            more = materialize(overlapping(ahead, parts, cut), f"links{turn}")
+            if not more.isEmpty():
+                links = links.union(more)
+                tied = materialize(components(links), f"tied{turn}")
+                member = materialize(still_open(member.select("sig", "node"), tied), f"open{turn}")
 
     named = nodes.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
