@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from cases import EDGES, edges, empty
 
@@ -52,6 +54,33 @@ def test_random_strings_stand_out():
     assert not found("onlyletterswithoutanynumberinside 12345678901234567890123")
 
 
+def test_random_strings_joined_to_words_are_found():
+    draw = random.Random(5)
+    base62 = string.ascii_letters + string.digits
+    for before in ("", "com/api/v1/users/profile/settings/password/reset/", "com/projects/documentation/getting-started/authentication/session/", "deploy_key-for-production_"):
+        for after in ("", "/settings/documentation/getting-started/information"):
+            for alphabet, size in ((base62, 24), (string.ascii_letters, 32), (string.ascii_uppercase, 24), (base62 + "-_", 43)):
+                for _ in range(50):
+                    odd = "".join(draw.choices(alphabet, k=size)).strip("-_")
+                    text = f"see {before}{odd}{after} now"
+                    at = text.index(odd)
+                    covered = {i for a, _, b in secretscan.random_spans(text) for i in range(a, b)}
+                    # a part at an end of a string with marks may by chance be one that tokens shorten
+                    assert len(covered.intersection(range(at, at + len(odd)))) >= (20 if size == 43 else len(odd)), text
+    odd = "xK9fQ2zLr7Wm4TtVb8Ns1Yd"
+    text = f"com/projects/documentation/getting-started/authentication/{odd}==/ and com/projects/documentation/{odd}/session/{odd}"
+    assert [text[a:b] for a, _, b in secretscan.random_spans(text)] == [odd + "==", odd, odd]
+    assert secretscan.random_spans("xkfqzlrwmttvbnsydpqrghjw xkfqz-lrwmt-tvbns-ydpqr")[0][2] == 24
+
+
+def test_names_with_digests_and_marks_are_no_secrets():
+    for text in (
+        "com/projects/documentation/123e4567-e89b-12d3-a456-426614174000/settings", "com/projects/documentation/d41d8cd98f00b204e9800998ecf8427e/information/settings",
+        "-" * 40, "_/-" * 20, "a-1-b-2-c-3-d-4-e-5-f-6", "2024-03-01-12-30-45-123456", "com/projects/documentation/getting-started/authentication/session",
+    ):
+        assert not secretscan.random_spans(text), text
+
+
 def test_edges(spark):
     rows = secretscan.scan_secrets(edges(spark)).collect()
     assert len(rows) == len(EDGES) and all(r.spans is not None for r in rows)
