@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -25,6 +26,8 @@ SPILL = 0.5
 BLOCK = 1024
 #: Pairs whose common leaves are looked up at once.
 PAIRS_AT_ONCE = 20_000
+#: Lengths whose directions a task keeps.
+LENGTHS = 16
 SEED = 29
 
 
@@ -46,33 +49,37 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def grow(nodes: DataFrame, size: int, cosine: float, trees: int, leaf: int) -> DataFrame:
-    """``node, leaf`` for every leaf of every tree that a vector is in.
+def grow(nodes: DataFrame, cosine: float, trees: int, leaf: int) -> DataFrame:
+    """``size, node, leaf`` for every leaf of every tree that a vector is in.
 
-    Trees grow level by level for all nodes at once: a node of more than
+    Vectors of each length (``size``) have a forest of their own; a leaf's
+    number tells it only from the others of its length.  Trees grow level by
+    level for all nodes and lengths at once: a node of more than
     ``leaf`` vectors is split at the median of its projections, and vectors
     close to the median go to both halves.  A node whose projections lie
     closer together than the overlap is left as it is.
     """
-    depth = max(1, math.ceil(math.log2(max(2, nodes.count() / leaf))) + 4)
-    margin = SPILL * math.sqrt(2 - 2 * cosine) / math.sqrt(size)
+    most = nodes.groupBy("size").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    depth = max(1, math.ceil(math.log2(max(2, most / leaf))) + 4)
+    margin = F.lit(SPILL * math.sqrt(2 - 2 * cosine)) / F.sqrt("size")
 
     def project(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lines = [directions(t, depth, size) for t in range(trees)]
-        for frame in frames:
-            x = unit(np.array(frame["vector"].tolist(), float).reshape(len(frame), size))
-            for t, line in enumerate(lines):
-                yield pd.DataFrame({"node": frame["node"], "leaf": np.int64(t), "along": list(x @ line.T)})
+        lines = lru_cache(LENGTHS)(lambda size: [directions(t, depth, size) for t in range(trees)])
+        for mixed in frames:
+            for size, frame in mixed.groupby("size"):
+                x = unit(np.array(frame["vector"].tolist(), float).reshape(len(frame), size))
+                for t, line in enumerate(lines(int(size))):
+                    yield pd.DataFrame({"size": frame["size"], "node": frame["node"], "leaf": np.int64(t), "along": pd.Series(list(x @ line.T), frame.index)})
 
     # a leaf's number: its path of halves behind a leading one, times the trees, plus the tree
-    rows = nodes.select("node", "vector").mapInPandas(project, "node long, leaf long, along array<double>")
+    rows = nodes.select("size", "node", "vector").mapInPandas(project, "size int, node long, leaf long, along array<double>")
     rows = materialize(rows.withColumn("leaf", F.col("leaf") + trees), "trees")
     done = None
     for level in range(depth):
         place = F.element_at("along", level + 1)
-        stats = rows.groupBy("leaf").agg(F.count("*").alias("n"), F.percentile_approx(place, [0.25, 0.5, 0.75], 1000).alias("q"))
-        stats = stats.withColumn("splits", (F.col("n") > leaf) & (F.col("q")[2] - F.col("q")[0] > 2 * margin)).select("leaf", "splits", F.col("q")[1].alias("middle"))
-        marked = rows.join(stats, "leaf")
+        stats = rows.groupBy("size", "leaf").agg(F.count("*").alias("n"), F.percentile_approx(place, [0.25, 0.5, 0.75], 1000).alias("q"))
+        stats = stats.withColumn("splits", (F.col("n") > leaf) & (F.col("q")[2] - F.col("q")[0] > 2 * margin)).select("size", "leaf", "splits", F.col("q")[1].alias("middle"))
+        marked = rows.join(stats, ["size", "leaf"])
         half = F.col("leaf") - F.col("leaf") % trees
         halves = F.array_compact(
             F.array(
@@ -80,14 +87,14 @@ def grow(nodes: DataFrame, size: int, cosine: float, trees: int, leaf: int) -> D
                 F.when(place > F.col("middle") - margin, half * 2 + trees + F.col("leaf") % trees),
             )
         )
-        both = marked.select("splits", "node", "along", F.when(F.col("splits"), halves).otherwise(F.array("leaf")).alias("next"))
-        both = materialize(both.select("splits", "node", F.explode("next").alias("leaf"), "along"), f"level{level}")
-        ready = both.filter(~F.col("splits")).select("node", "leaf")
+        both = marked.select("splits", "size", "node", "along", F.when(F.col("splits"), halves).otherwise(F.array("leaf")).alias("next"))
+        both = materialize(both.select("splits", "size", "node", F.explode("next").alias("leaf"), "along"), f"level{level}")
+        ready = both.filter(~F.col("splits")).select("size", "node", "leaf")
         done = ready if done is None else done.union(ready)
-        rows = both.filter("splits").select("node", "leaf", "along")
+        rows = both.filter("splits").select("size", "node", "leaf", "along")
         if rows.isEmpty():
             return done
-    return done.union(rows.select("node", "leaf"))
+    return done.union(rows.select("size", "node", "leaf"))
 
 
 def roots(linked: np.ndarray) -> np.ndarray:
@@ -148,41 +155,38 @@ def near_vectors(
     node, so a hot group of copies is compared once.  Leaves that can't be
     split are compared in blocks.
 
-    Null and zero vectors and vectors with null or non-finite components link
-    with nothing; so do vectors whose length is not the most frequent one.  Rows that
+    Vectors of each length are compared among themselves.  Null and zero
+    vectors and vectors with null or non-finite components link with nothing.  Rows that
     repeat an id are separate vectors; null ids never name a component but a
     null one; other columns are ignored; an empty table gives no rows.
     """
     rows = vectors.select(col(id_col).cast("long").alias("vec_id"), col(vector_col).cast("array<double>").alias("vector")).withColumn("usable", usable())
     rows = rows.select("vec_id", "vector", F.col("usable"), F.xxhash64("vector").alias("k1"), F.xxhash64(F.lit(SEED), "vector").alias("k2"))
     rows = materialize(rows.withColumn("size", F.size("vector")), "vectors")
-    sizes = rows.filter("usable").groupBy("size").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
-    if sizes is None:
+    if rows.filter("usable").isEmpty():
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    size = sizes["size"]
-    rows = rows.withColumn("usable", F.col("usable") & (F.col("size") == size))
-    nodes = rows.filter("usable").groupBy("k1", "k2").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"), F.first("vector").alias("vector"))
+    nodes = rows.filter("usable").groupBy("size", "k1", "k2").agg(F.min("vec_id").alias("least"), F.count("*").alias("weight"), F.first("vector").alias("vector"))
     nodes = materialize(nodes.withColumn("node", F.monotonically_increasing_id()), "vecnodes")
 
-    member = materialize(grow(nodes, size, cosine, trees, leaf), "leaves")
-    counts = member.groupBy("leaf").agg(F.count("*").alias("n")).filter("n > 1")
-    blocks = counts.select("leaf", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    member = materialize(grow(nodes, cosine, trees, leaf), "leaves")
+    counts = member.groupBy("size", "leaf").agg(F.count("*").alias("n")).filter("n > 1")
+    blocks = counts.select("size", "leaf", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     of = member.groupBy("node").agg(F.sort_array(F.collect_list("leaf")).alias("leaves"))
     full = nodes.select("node", "weight", "vector").join(of, "node")
-    dealt = member.join(blocks, "leaf").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = member.join(blocks, ["size", "leaf"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # a block meets every block of its leaf, itself included
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("node", "leaf", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")).join(full, "node")
-    found = dealt.groupBy("leaf", "one", "two").applyInPandas(lambda frame: compare(frame, cosine), "a long, b long, n long")
+    dealt = dealt.select("size", "node", "leaf", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")).join(full, "node")
+    found = dealt.groupBy("size", "leaf", "one", "two").applyInPandas(lambda frame: compare(frame, cosine), "a long, b long, n long")
     found = materialize(found, "near")
 
     links = components(found.filter("a <> b").select("a", "b"), "vecs")
     number = found.filter("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
-    named = nodes.select("k1", "k2", "node", "least", "weight").join(links, "node", "left").join(number, "node", "left")
+    named = nodes.select("size", "k1", "k2", "node", "least", "weight").join(links, "node", "left").join(number, "node", "left")
     named = materialize(named.withColumn("component", F.coalesce("component", "node")), "vecnamed")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("k1", "k2", "component_id", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.lit(True).alias("usable"))
-    out = rows.select("vec_id", "usable", "k1", "k2").join(named, ["k1", "k2", "usable"], "left")
+    named = named.join(least, "component").select("size", "k1", "k2", "component_id", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.lit(True).alias("usable"))
+    out = rows.select("vec_id", "usable", "size", "k1", "k2").join(named, ["size", "k1", "k2", "usable"], "left")
     component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id"))
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

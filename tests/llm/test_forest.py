@@ -77,3 +77,16 @@ def test_edges(spark):
 def test_repeated_rows(spark):
     got = forest.near_vectors(frame(spark, [3, 3, 4], [[1, 1], [1, 1], [1, -1]])).collect()
     assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(3, 1, 3), (3, 1, 3), (4, 0, 4)]
+
+
+def test_every_length_is_compared(spark):
+    rng = np.random.default_rng(6)
+    parts = {64: clusters(rng, 30, 64, 6, 0.15), 32: clusters(rng, 20, 32, 5, 0.1), 7: clusters(rng, 1, 7, 20, 0.05), 1: np.array([[1], [2], [-1]], np.float32)}
+    parts[32][1] = parts[32][0]
+    want, vectors = {}, []
+    for x in parts.values():
+        want |= brute(list(range(len(vectors), len(vectors) + len(x))), x)
+        vectors += list(x)
+    got = forest.near_vectors(frame(spark, list(range(len(vectors))), vectors), leaf=16).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
