@@ -10,7 +10,7 @@ from fleetlens.session import materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; texts without a letter go."""
+    """Documents whose language is told; texts without a letter go, and those without any evidence for a language."""
     return language.keep_known(docs)
 
 

@@ -154,15 +154,29 @@ def identify(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     return predict(docs, learn(docs, ~held_out(id_col), id_col=id_col, **settings), id_col)
 
 
-def keep_known(docs: DataFrame, least: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows whose language is known with probability ``least``, with their columns."""
+def told(model: Model, text: str | None, memo: dict[str, np.ndarray], least: float) -> bool:
+    """Whether a text has a letter and a language that is told with more than an equal chance, and with ``least``."""
+    if not model.languages:
+        return bool(text and LETTERS.search(text))
+    lang, score = predict_text(model, text, memo)
+    even = 1 / len(model.languages)
+    return lang != NONE and score >= least and (len(model.languages) == 1 or score > even + 1e-9)
+
+
+def keep_known(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows whose language is told, with their columns.
+
+    Texts without a letter go, and those that speak for no language more than
+    for all others (none of their words or letters was learned); with
+    ``least``, also those whose language is less probable.  With one language
+    to learn, or none, every text with a letter stays.
+    """
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, ~held_out(id_col), id_col=id_col, text_col=text_col))
     memo: dict[str, np.ndarray] = {}
 
     @F.pandas_udf("boolean")
     def known(texts: pd.Series) -> pd.Series:
-        found = [predict_text(model.value, text, memo) for text in texts]
-        return pd.Series([lang != NONE and score >= least for lang, score in found], dtype=bool)
+        return pd.Series([told(model.value, text, memo, least) for text in texts], dtype=bool)
 
     mark = fresh(docs.columns, "known")[0]
     return docs.withColumn(mark, known(col(text_col).cast("string"))).filter(col(mark)).drop(mark)

@@ -51,3 +51,14 @@ def test_stage(spark):
     letters = source.filter(F.col("text").rlike(r"\p{L}"))
     assert got.count() >= 0.99 * letters.count()
     assert got.filter(~F.col("text").rlike(r"\p{L}")).count() == 0
+
+
+def test_stage_keeps_low_scores_and_unlabelled_tables(spark):
+    names = ["aa", "bb", "cc", "dd", "ee", "ff"]
+    rows = [(i, f"shared common {names[i % 6] * 3}", names[i % 6], "s", 0) for i in range(120)]
+    # 1000: words of all languages alike but for little evidence; 1001: nothing learned; 1002: no letter
+    rows += [(1000, "shared common aaaaaa bbbbbb cccccc dddddd", None, "s", 0), (1001, "東京", None, "s", 0), (1002, "12 34", None, "s", 0)]
+    assert {r.doc_id for r in language.keep_known(docs(spark, rows)).collect()} >= {*range(120), 1000}
+    assert not {1001, 1002} & {r.doc_id for r in language.keep_known(docs(spark, rows)).collect()}
+    unlabelled = docs(spark, [(1, "one text", None, "s", 0), (2, "12 34", None, "s", 0), (3, None, None, "s", 0)])
+    assert [r.doc_id for r in language.keep_known(unlabelled).collect()] == [1]
