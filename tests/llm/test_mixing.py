@@ -71,3 +71,11 @@ def test_edges(spark):
     source = edges(spark)
     assert mixing.mixed_documents(source).columns == source.columns
     assert mixing.mixed_documents(empty(spark)).count() == 0
+
+
+def test_stage_states_budget_and_weights():
+    import corpus_pipeline
+
+    said = corpus_pipeline.mix_sources.__doc__
+    assert f"{mixing.BUDGET_PERCENT} percent" in said
+    assert all(f"{name} {weight}" in said for level in mixing.WEIGHTS.values() for name, weight in level.items())
