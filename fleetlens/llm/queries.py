@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import exact, forest, jaccard, language, mixing, packing, quality, repeats, secretscan, tokens
+from fleetlens.llm import decontaminate, exact, forest, jaccard, language, lexical, mixing, packing, quality, repeats, secretscan, tokens, whitening
 from fleetlens.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,6 +186,56 @@ def op10(docs, read):
     return repeats.remove_repeats(docs)
 
 
+#: A column's words as SQL, with A-Z as a-z.
+TERMS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op11_decontaminate",
+    oracle=f"""
+    WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {TERMS_SQL} AS w FROM documents),
+    items AS (SELECT item_id, {TERMS_SQL} AS w FROM benchmark),
+    windows AS MATERIALIZED (SELECT DISTINCT item_id, least(len(w), 10) AS size, unnest(CASE WHEN len(w) > 10
+        THEN list_transform(range(1, len(w) - 8), lambda i: array_to_string(w[i:i + 9], ' ')) ELSE [array_to_string(w, ' ')] END) AS g FROM items WHERE len(w) > 0),
+    grams AS (SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS g
+        FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM texts, (SELECT DISTINCT size FROM windows))),
+    hits AS MATERIALIZED (SELECT r, i, size, item_id FROM grams JOIN windows USING (size, g)),
+    hit_words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS p FROM hits) GROUP BY r),
+    hit_items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+      n_hit IS NOT NULL AS contaminated
+    FROM texts LEFT JOIN hit_words USING (r) LEFT JOIN hit_items USING (r)""",
+)
+def op11(docs, read):
+    return decontaminate.report(docs, read("benchmark"))
+
+
+@query("op12_whiten_embeddings", table="embeddings")
+def op12(vectors, read):
+    return whitening.whiten(vectors)
+
+
+@query(
+    "op13_lexical_search",
+    oracle=f"""
+    WITH texts AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {TERMS_SQL} AS w FROM documents),
+    sizes AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n FROM texts WHERE len(w) > 0),
+    stats AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes),
+    counts AS MATERIALIZED (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM texts) GROUP BY r, t),
+    weights AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+        FROM (SELECT t, count(*) AS df FROM counts GROUP BY t), stats),
+    asked AS (SELECT q, item_id, unnest(list_distinct(w)) AS t FROM (SELECT row_number() OVER () AS q, item_id, {TERMS_SQL} AS w FROM benchmark)),
+    parts AS (SELECT q, item_id, r, doc_id, weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // n_terms)))) AS part
+        FROM asked JOIN counts USING (t) JOIN weights USING (t) JOIN sizes USING (r), stats),
+    scores AS (SELECT q, item_id, r, doc_id, CAST(sum(part) AS BIGINT) AS score FROM parts GROUP BY ALL HAVING sum(part) > 0)
+    SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scores) WHERE rank <= 50""",
+)
+def op13(docs, read):
+    return lexical.search(docs, read("benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(prepare(spark), sf_dir)
 
