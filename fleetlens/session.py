@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import re
 import tempfile
@@ -60,11 +62,37 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/fleetlens/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df, label: str):
+_SCOPES: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scopes", default=())
+
+
+def materialize(df, label: str, outer: bool = False, **options):
     """Cut lineage by writing to the shared folder and reading back.
 
     Survives executor loss: the rows live in the shared store, not in blocks.
+    Inside a ``scratch`` block the table goes with the block, or with the block
+    around it if ``outer``.  ``options`` go to the Parquet writer.
     """
     path = shared_dir(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    scopes = _SCOPES.get()[: -1 if outer else None]
+    if scopes:
+        scopes[-1].append(path)
+    df.write.mode("errorifexists").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """A block whose materialised tables are deleted at its end.
+
+    The block gets a function like ``materialize`` for the result, which stays:
+    what leaves the block may read no other table of it.
+    """
+    paths: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), paths))
+    try:
+        yield lambda df, label: materialize(df, label, outer=True)
+    finally:
+        _SCOPES.reset(token)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
