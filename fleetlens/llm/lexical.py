@@ -27,8 +27,10 @@ from fleetlens.session import materialize
 TOP = 50
 #: Distinct query terms of one pass over the index; more queries make further passes.
 TERMS_EACH = 8192
-#: Documents of a shard at most, and cells of its table of impacts.
-SHARD_DOCS, SHARD_CELLS = 4096, 16 << 20
+#: Documents of a shard at most, and cells of its table of impacts (four bytes each).
+SHARD_DOCS, SHARD_CELLS = 2048, 8 << 20
+#: Bytes of a row group of the index, which bounds what a task holds of it at once.
+GROUP_BYTES = 16 << 20
 #: Documents that a block aims at, and signs of the sketch by which they are put together.
 BLOCK, SIGNS = 16, 32
 #: A term that shares queries with more terms than this has one block without a summary.
@@ -39,7 +41,7 @@ FIRST_LISTS, FIRST_BLOCKS = 4, 2
 VECTORS = "doc_id long, n long, terms array<int>, counts array<int>"
 INDEX = (
     "doc_ids array<long>, starts array<int>, terms array<int>, impacts array<int>, list_terms array<int>, list_starts array<int>,"
-    " list_tops array<int>, postings array<int>, list_blocks array<int>, block_starts array<int>, summary_starts array<int>, summaries array<int>"
+    " list_tops array<int>, postings array<int>, list_blocks array<int>, block_starts array<int>, summary_starts array<int>, summary_terms array<int>, summary_tops array<int>"
 )
 FOUND = "query int, doc_id long, score long"
 
@@ -60,7 +62,7 @@ class Plan:
             for t in terms:
                 if len(meets[t]) <= WIDEST:
                     meets[t].update(terms.tolist())
-        #: For each term the sorted terms that its summaries hold, or None.
+        #: For each term the terms that its summaries hold: those it meets in a query.  None if they are too many.
         self.asked = [np.array(sorted(m), np.int64) if len(m) <= WIDEST else None for m in meets]
         self.n_docs = self.n_terms = 0
         self.weights = np.zeros(len(self.numbers), np.int64)
@@ -130,18 +132,20 @@ def build_shard(rows: list[tuple[int, list[int], list[int]]], plan: Plan, signs:
     list_terms = terms[by][list_starts]
     tops = np.maximum.reduceat(impacts[by], list_starts) if len(by) else list_starts
     list_starts = np.r_[list_starts, len(by)]
-    members, list_blocks, block_starts, summary_starts, summaries, size = doc[by], [0], [], [], [], 0
+    members, list_blocks, block_starts, sizes, top_terms, top_values = doc[by], [0], [], [], [], []
     for i, term in enumerate(list_terms):
-        first, last = list_starts[i], list_starts[i + 1]
-        summary_starts.append(size)
-        if plan.asked[term] is None:
+        first, last, asked = list_starts[i], list_starts[i + 1], plan.asked[term]
+        if asked is None:
             block_starts.append(np.array([first]))
+            sizes.append(np.zeros(1, np.int64))
         else:
             members[first:last], begin = blocks_of(members[first:last], sketch)
-            top = np.maximum.reduceat(table[np.ix_(members[first:last], plan.asked[term])], begin, axis=0)
+            top = np.maximum.reduceat(table[np.ix_(members[first:last], asked)], begin, axis=0)
+            block, column = np.nonzero(top)
             block_starts.append(first + begin)
-            summaries.append(top.ravel())
-            size += top.size
+            sizes.append(np.bincount(block, minlength=len(begin)))
+            top_terms.append(asked[column])
+            top_values.append(top[block, column])
         list_blocks.append(list_blocks[-1] + len(block_starts[-1]))
     none = [np.empty(0, np.int64)]
     return {
@@ -155,8 +159,9 @@ def build_shard(rows: list[tuple[int, list[int], list[int]]], plan: Plan, signs:
         "postings": members,
         "list_blocks": np.array(list_blocks),
         "block_starts": np.r_[np.concatenate(block_starts or none), len(by)],
-        "summary_starts": np.array([*summary_starts, size]),
-        "summaries": np.concatenate(summaries or none),
+        "summary_starts": np.r_[0, np.cumsum(np.concatenate(sizes or none))],
+        "summary_terms": np.concatenate(top_terms or none),
+        "summary_tops": np.concatenate(top_values or none),
     }
 
 
@@ -202,13 +207,19 @@ class Shard:
         self.order = np.empty(len(self.doc_ids), np.int64)
         self.order[np.lexsort((self.doc_ids, self.doc_ids == NULL_ID))] = np.arange(len(self.doc_ids))
 
-    def bounds(self, number: int, terms: np.ndarray) -> np.ndarray | None:
+    def bounds(self, number: int, weights: np.ndarray) -> np.ndarray | None:
         """For each block of a list the most that any of its documents may score, None if it has no summary."""
-        asked = self.plan.asked[self.list_terms[number]]
-        if asked is None:
+        at = self.summary_starts[self.list_blocks[number] : self.list_blocks[number + 1] + 1]
+        if at[0] == at[-1]:
             return None
-        top = self.summaries[self.summary_starts[number] : self.summary_starts[number + 1]].reshape(-1, len(asked))
-        return top[:, np.searchsorted(asked, terms)] @ self.plan.weights[terms]
+        # a block's summary holds the list's own term at least, so no sum is over nothing
+        return np.add.reduceat(weights[self.summary_terms[at[0] : at[-1]]] * self.summary_tops[at[0] : at[-1]], at[:-1] - at[0])
+
+    def asking(self, terms: np.ndarray) -> np.ndarray:
+        """The weights of a query's terms among all terms."""
+        weights = np.zeros(len(self.plan.weights), np.int64)
+        weights[terms] = self.plan.weights[terms]
+        return weights
 
     def members(self, blocks: np.ndarray) -> list[np.ndarray]:
         return [self.postings[self.block_starts[b] : self.block_starts[b + 1]] for b in blocks]
@@ -231,9 +242,9 @@ class Shard:
 
     def first(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Good documents from the most promising blocks: their scores are the first thresholds."""
-        candidates = []
+        candidates, weights = [], self.asking(terms)
         for number in self.lists(terms)[0][:FIRST_LISTS]:
-            bounds = self.bounds(number, terms)
+            bounds = self.bounds(number, weights)
             begin = self.list_blocks[number]
             if bounds is None:
                 candidates.append(self.postings[self.list_starts[number] : self.list_starts[number + 1]][:TOP])
@@ -249,27 +260,31 @@ class Shard:
         """
         numbers, most = self.lists(terms)
         rest = np.cumsum(most[::-1])[::-1]
-        candidates = []
+        candidates, weights = [], self.asking(terms)
         for number in numbers[rest >= least]:
-            bounds = self.bounds(number, terms)
+            bounds = self.bounds(number, weights)
             begin, end = self.list_blocks[number], self.list_blocks[number + 1]
             candidates += self.members(np.arange(begin, end) if bounds is None else begin + np.flatnonzero(bounds >= least))
         return self.best(candidates, terms, least)
 
 
 def ask(indexed: DataFrame, plan: Plan, least: dict[int, int] | None = None) -> DataFrame:
-    """``query, doc_id, score``: each shard's best documents for every query, or its first good ones if nothing is known yet."""
+    """``query, doc_id, score``: each task's best documents for every query, or its first good ones if nothing is known yet."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {query: (np.empty(0, np.int64), np.empty(0, np.int64)) for query, _ in plan.queries}
         for batch in batches:
             for row in range(batch.num_rows):
                 shard = Shard(batch, row, plan)
-                out = []
                 for query, terms in plan.queries:
                     rows, scores = shard.first(terms) if least is None else shard.search(terms, least.get(query, 1))
-                    out.append((np.full(len(rows), query, np.int32), shard.doc_ids[rows], scores))
-                queries, ids, scores = (np.concatenate(c) for c in zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(queries), ids_column(ids), pa.array(scores.astype(np.int64))], names=["query", "doc_id", "score"])
+                    if len(rows):
+                        ids, scores = np.r_[best[query][0], shard.doc_ids[rows]], np.r_[best[query][1], scores]
+                        by = np.lexsort((ids, ids == NULL_ID, -scores))[:TOP]
+                        best[query] = ids[by], scores[by]
+        queries = np.repeat(np.array(list(best), np.int32), [len(ids) for ids, _ in best.values()])
+        ids, scores = (np.concatenate(c) for c in zip(*best.values(), strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(queries), ids_column(ids), pa.array(scores)], names=["query", "doc_id", "score"])
 
     return indexed.mapInArrow(work, FOUND)
 
@@ -336,7 +351,7 @@ def search(
         # one number for each term of the group
         df = found.select(F.explode("terms").alias("term")).groupBy("term").count()
         plan.learn(n_docs, n_terms, {r.term: r["count"] for r in df.collect()})
-        indexed = materialize(index(found, plan), "index")
+        indexed = materialize(index(found, plan), "index", **{"parquet.block.size": GROUP_BYTES})
         least = ranked(ask(indexed, plan)).filter(F.col("rank") == TOP).select("query", "score")
         best = ranked(ask(indexed, plan, {r.query: r.score for r in least.collect()}))
         names = spark.createDataFrame([(q, name) for q, name, _ in group], "query int, item_id long")

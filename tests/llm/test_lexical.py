@@ -88,7 +88,7 @@ def test_blocks_are_skipped_and_bounds_hold(spark):
         exact = shard.table[:, terms].astype(np.int64) @ plan.weights[terms]
         least = np.sort(exact)[-5]
         for number in shard.lists(terms)[0]:
-            bounds = shard.bounds(number, terms)
+            bounds = shard.bounds(number, shard.asking(terms))
             if bounds is None:
                 continue
             blocks = np.arange(shard.list_blocks[number], shard.list_blocks[number + 1])
