@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import col, fresh
-from fleetlens.session import materialize
+from fleetlens.llm.common import col, few, fresh
+from fleetlens.session import materialize, scratch
 
 #: Characters that do not count when texts are compared.
 BLANKS = " \t\n\x0b\f\r"
@@ -41,23 +41,23 @@ def keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sup
         ),
         "exact",
     )
-    # larger is better: longest, smallest id, first row
-    rank = F.struct("size", (-F.col("doc_id")).alias("id"), (-F.col("row")).alias("row"))
+    # smaller is better: longest, smallest id with nulls last, first row
+    rank = F.struct((-F.col("size")).alias("size"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
     # the counters compare keys as values only if they are text
     found = rows.select(F.hex("digest").alias("digest")).stat.freqItems(["digest"], support)
     found = found.select(F.explode("digest_freqItems").alias("digest")).distinct().select(F.unhex("digest").alias("digest"))
-    counted = rows.join(F.broadcast(found), "digest").groupBy("digest").agg(F.max(rank).alias("best"), F.count("*").alias("group_size"))
+    # broadcasts without a count: the counters hold at most 1 / support digests
+    best = [F.min(rank).alias("best"), F.count("*").alias("group_size")]
+    counted = rows.join(F.broadcast(found), "digest").groupBy("digest").agg(*best)
     winners = counted.filter(F.col("group_size") >= F.lit(rows.count() * support))
     hot = rows.join(F.broadcast(winners), "digest")
-    w = Window.partitionBy("digest")
-    rest = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti").select(
-        "*", F.max(rank).over(w).alias("best"), F.count("*").over(w).alias("group_size")
-    )
-    return hot.select(rest.columns).union(rest).select(
+    rest = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    rest = rest.join(rest.groupBy("digest").agg(*best), "digest")
+    return hot.unionByName(rest).select(
         "doc_id",
-        (-F.col("best.id")).alias("keep_id"),
+        F.col("best.id").alias("keep_id"),
         "group_size",
-        (-F.col("best.row") == F.col("row")).alias("kept"),
+        (F.col("best.row") == F.col("row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
@@ -65,15 +65,19 @@ def keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sup
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: float = SUPPORT) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns.
 
-    A repeated row (same id, same text) stays once.  Texts are not shuffled
-    unless an id repeats.
+    Rows leave by the ids of the dropped ones.  While these are few enough to
+    be broadcast (``common.few``) no text is shuffled; beyond that the same
+    join shuffles the texts once.  If an id repeats, rows stay by id and digest
+    instead, and a repeated row (same id, same text) stays once.
     """
-    found = materialize(keepers(docs, id_col, text_col, support), "kept")
-    kept = found.filter("kept").select("doc_id", F.unhex("text_sha256").alias("text_sha256"))
-    key, mark, own = fresh(docs.columns, "kept_id", "kept_digest", "own_digest")
-    kept = kept.select(F.col("doc_id").alias(key), F.col("text_sha256").alias(mark))
-    out = docs.withColumn(own, digest(text_col))
-    out = out.join(kept, col(id_col).cast("long").eqNullSafe(F.col(key)) & (F.col(own) == F.col(mark)), "left_semi")
-    if not found.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        out = out.dropDuplicates([id_col, own])
-    return out.drop(own)
+    with scratch(docs.sparkSession) as keep:
+        found = materialize(keepers(docs, id_col, text_col, support), "kept")
+        repeated = not found.groupBy("doc_id").count().filter("count > 1").isEmpty()
+        ids = keep(found.filter("kept" if repeated else "NOT kept").select("doc_id", F.unhex("text_sha256").alias("digest")), "ids")
+    key, mark, own = fresh(docs.columns, "marked_id", "marked_digest", "own_digest")
+    ids = ids.select(F.col("doc_id").alias(key), F.col("digest").alias(mark))
+    same = col(id_col).cast("long").eqNullSafe(F.col(key))
+    if not repeated:
+        return docs.join(few(ids.select(key)), same, "left_anti")
+    out = docs.withColumn(own, digest(text_col)).join(ids, same & (F.col(own) == F.col(mark)), "left_semi")
+    return out.dropDuplicates([id_col, own]).drop(own)

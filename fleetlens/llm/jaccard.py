@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import buckets_for, col, few, fresh, ids_column, mix, slices, text_rows
 from fleetlens.llm.components import components
 from fleetlens.llm.scan import shingle_sets
-from fleetlens.session import materialize
+from fleetlens.session import materialize, scratch
 
 #: Words per n-gram and least similarity in hundredths, unless a caller says otherwise.
 WIDTH = 5
 PERCENT = 80
+#: Chance below which a similar pair may share no whole fragment.
+MISSED = 1e-10
 #: Ratio between the sizes at the two ends of a size class.
 CLASS_RATIO = 1.3
 #: Fragments in which overlaps are counted.
@@ -55,8 +57,9 @@ class Cut:
         #: Largest size of each class; class 0 is compared by leaving out one n-gram.
         self.bounds = np.array(bounds, np.int64)
         apart = (2 * self.bounds * (100 - percent)) // (100 + percent)
-        #: More fragments than differences, with room for the few that hash to nothing.
-        self.fragments = (apart * 11) // 10 + 6
+        common = np.maximum(-(-(np.r_[0, self.bounds[:-1]] + 1) * percent // 100), 1)
+        #: More fragments than differences, and so many that all common n-grams share the few touched ones at odds below MISSED.
+        self.fragments = np.maximum((apart * 11) // 10 + 6, np.ceil(apart * MISSED ** (-1 / common)).astype(np.int64))
 
     def most_apart(self, s: int, t: int) -> int:
         return ((s + t) * (100 - self.percent)) // (100 + self.percent)
@@ -243,13 +246,17 @@ def segments(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 
 
 def overlapping(pairs: DataFrame, parts: DataFrame, cut: Cut) -> DataFrame:
-    """The pairs (a, b, na, nb) that are similar: overlaps are counted per part and summed."""
-    spread = pairs.select("a", "b", "na", "nb", F.explode(F.sequence(F.lit(0), F.lit((1 << COUNT_BITS) - 1))).alias("part"))
-    left = parts.select(F.col("node").alias("a"), "part", F.col("grams").alias("ga"))
-    right = parts.select(F.col("node").alias("b"), "part", F.col("grams").alias("gb"))
-    partial = spread.join(left, ["a", "part"]).join(right, ["b", "part"]).select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("common"))
-    total = partial.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common"))
-    return total.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * cut.percent).select("a", "b")
+    """The pairs (a, b, na, nb, and more columns) that are similar: overlaps are counted per part and summed."""
+    more = [c for c in pairs.columns if c not in ("na", "nb")]
+    spread = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit((1 << COUNT_BITS) - 1))).alias("part"))
+
+    def side(end: str, grams: str) -> DataFrame:
+        own = few(pairs.select(F.col(end).alias("node")).distinct())
+        return parts.join(own, "node", "left_semi").select(F.col("node").alias(end), "part", F.col("grams").alias(grams))
+
+    partial = spread.join(side("a", "ga"), ["a", "part"]).join(side("b", "gb"), ["b", "part"])
+    total = partial.select(*pairs.columns, F.size(F.array_intersect("ga", "gb")).alias("common")).groupBy(*pairs.columns).agg(F.sum("common").alias("common"))
+    return total.filter(F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * cut.percent).select(*more)
 
 
 def possible(pairs: DataFrame, nodes: DataFrame, cut: Cut) -> DataFrame:
@@ -259,11 +266,16 @@ def possible(pairs: DataFrame, nodes: DataFrame, cut: Cut) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(close_enough(cut)).select("a", "b", "na", "nb")
 
 
-def still_open(member: DataFrame, tied: DataFrame) -> DataFrame:
-    """``sig, node, component`` of the signatures whose members are not all in one component."""
-    rows = member.join(tied, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
-    apart = rows.groupBy("sig").agg((F.min("component") != F.max("component")).alias("apart")).filter("apart").select("sig")
-    return rows.join(apart, "sig", "left_semi")
+def still_open(member: DataFrame) -> DataFrame:
+    """Rows of the signatures whose members are not all in one component."""
+    apart = member.groupBy("sig").agg((F.min("component") != F.max("component")).alias("apart")).filter("apart").select("sig")
+    return member.join(few(materialize(apart, "apart")), "sig", "left_semi")
+
+
+def moved(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    """``rows`` with the components that ``merged`` (node, component) gives their components."""
+    to = merged.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    return rows.join(few(to), "component", "left").withColumn("component", F.coalesce("_to", "component")).drop("_to")
 
 
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -277,18 +289,21 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     Every component is found from verified links: sets that share a signature
     are first compared with one of them, then those in other components with
     another one, a few times; where members of a signature still lie in
-    different components, all pairs across these are compared.  A link
-    could be missed only if n-grams hash so unevenly that no more fragments
-    are filled than n-grams differ: 1.3e-11 at most at 90 percent, up to 1.3e-5
-    at 80 for sets of 9 or 10 n-grams (computed for sets of up to 59).
+    different components, all pairs across these are compared.  A link could
+    be missed only if n-grams hash so unevenly that no more fragments are filled
+    than n-grams differ; there are so many fragments that the chance is below
+    ``MISSED`` for a pair of sets of any size.
 
     Null and wordless texts have no n-gram and no link; equal sets are one
     node; rows that repeat an id get the component of their own set; null ids
     never name a component; other columns are ignored; an empty table gives no
     rows.
     """
-    cut = Cut(percent)
-    texts = text_rows(docs, id_col, text_col)
+    with scratch(docs.sparkSession) as keep:
+        return keep(_similar_groups(text_rows(docs, id_col, text_col), width, Cut(percent)), "groups")
+
+
+def _similar_groups(texts: DataFrame, width: int, cut: Cut) -> DataFrame:
     profile = materialize(profiles(texts, width), "profiles")
     nodes = materialize(
         profile.filter("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes"
@@ -297,42 +312,39 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     pairs = materialize(possible(found.select("a", "b").distinct(), nodes, cut), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     parts = materialize(segments(texts, nodes.join(ends, "node", "left_semi"), width), "segments")
-    links = materialize(overlapping(pairs, parts, cut), "links")
-    tied = materialize(components(links), "tied")
+    tied = components(overlapping(pairs, parts, cut), "tied")
 
     # signatures of three sets or more: their members may link without linking the one they were compared with
     several = found.groupBy("sig").agg(F.count("*").alias("n")).filter("n > 1").select("sig")
-    member = found.join(several, "sig", "left_semi")
-    member = materialize(member.select("sig", F.explode(F.array("a", "b")).alias("node")).distinct(), "members")
-    member = materialize(still_open(member, tied), "open")
+    member = found.join(several, "sig", "left_semi").select("sig", F.explode(F.array("a", "b")).alias("node")).distinct()
+    member = member.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    member = materialize(still_open(materialize(member, "members")), "open")
     if not member.isEmpty():
+        member = materialize(member.join(nodes.select("node", "n", "sketch"), "node"), "sized")
         ends = member.select("node").distinct().join(parts.select("node").distinct(), "node", "left_anti")
         parts = materialize(parts.union(segments(texts, nodes.join(ends, "node", "left_semi"), width)), "segments2")
+    end = F.struct("node", "component", "n", "sketch")
+    sides = [F.col(f"x.{c}").alias(f"{n}a") for c, n in (("component", "c"), ("n", "n"), ("sketch", "s"))]
+    sides += [F.col(f"y.{c}").alias(f"{n}b") for c, n in (("component", "c"), ("n", "n"), ("sketch", "s"))]
     for turn in range(LEADERS + 1):
         if member.isEmpty():
             break
         if turn < LEADERS:
             # all members of other components against one member, another one each time
-            lead = member.groupBy("sig").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn))).alias("lead"))
-            ahead = member.join(lead, "sig").filter("component <> lead.component")
-            ahead = ahead.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
-            ahead = possible(ahead, nodes, cut)
+            lead = materialize(member.groupBy("sig").agg(F.min_by(end, F.xxhash64("node", F.lit(turn))).alias("y")), f"lead{turn}")
+            ahead = member.select("sig", end.alias("x")).join(few(lead), "sig")
         else:
             # what is left: all pairs across components
-            full = member.join(nodes.select("node", "n", "sketch"), "node")
-            one = full.select("sig", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-            two = full.select(F.col("sig").alias("sig2"), F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-            ahead = one.join(two, (F.col("sig") == F.col("sig2")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & close_enough(cut))
-            ahead = ahead.select("a", "b", "na", "nb").distinct()
-        done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        ahead = materialize(ahead.join(done, ["a", "b"], "left_anti"), f"ahead{turn}")
-        if not ahead.isEmpty():
-            pairs = pairs.union(ahead)
-            more = materialize(overlapping(ahead, parts, cut), f"links{turn}")
-            if not more.isEmpty():
-                links = links.union(more)
-                tied = materialize(components(links), f"tied{turn}")
-                member = materialize(still_open(member.select("sig", "node"), tied), f"open{turn}")
+            ahead = member.select("sig", end.alias("x")).join(member.select("sig", end.alias("y")), "sig").filter("x.node < y.node")
+        ahead = ahead.filter("x.component <> y.component").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), *sides)
+        ahead = ahead.filter(close_enough(cut)).select("a", "b", "na", "nb", "ca", "cb").distinct()
+        similar = overlapping(materialize(ahead, f"ahead{turn}"), parts, cut)
+        # the components known so far are the nodes of what is still to be tied together
+        merged = components(similar.select(F.col("ca").alias("a"), F.col("cb").alias("b")), f"tied{turn}")
+        if not merged.isEmpty():
+            alone = merged.join(tied.select("node"), "node", "left_anti")
+            tied = materialize(moved(tied, merged).select("node", "component").union(alone), f"named{turn}")
+            member = materialize(still_open(moved(member, merged)), f"open{turn}")
 
     named = nodes.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -342,8 +354,12 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
 
 def keep_first(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each group of similar texts, with its columns: the one whose id names the group."""
-    found = materialize(similar_groups(docs, width, percent, id_col, text_col), "groups")
-    key = fresh(docs.columns, "group_id")[0]
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(few(materialize(gone, "gone")), col(id_col).cast("long") == F.col(key), "left_anti")
+    """One row of each group of similar texts, with its columns: the one whose id names the group.
+
+    Rows without words stay, and so do rows whose id is null.
+    """
+    with scratch(docs.sparkSession) as keep:
+        found = similar_groups(docs, width, percent, id_col, text_col)
+        key = fresh(docs.columns, "group_id")[0]
+        gone = keep(found.filter("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct(), "gone")
+    return docs.join(few(gone), col(id_col).cast("long") == F.col(key), "left_anti")

@@ -48,10 +48,27 @@ def test_stage_keeps_columns(spark):
     source = edges(spark)
     got = exact.drop_exact(source)
     assert got.columns == source.columns
-    assert sorted(str(r.doc_id) for r in got.collect()) == sorted(["1", "4", "5", "6", "7", "8", "11"]) or got.count() == len({key(t) for _, t, *_ in EDGES})
+    best = {}
+    for doc, text, *_ in EDGES:
+        rank = (-len(text or ""), doc is None, doc or 0)
+        best[key(text)] = min(best.get(key(text), rank), rank)
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == sorted(rank[1:] for rank in best.values())
+    unique = source.filter("doc_id IS NULL OR doc_id <> 8")
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in exact.drop_exact(unique).collect()) == sorted(rank[1:] for rank in best.values() if rank[2] != 8)
     assert exact.drop_exact(empty(spark)).count() == 0 and exact.keepers(empty(spark)).count() == 0
 
 
 def test_plan_is_native(spark):
     plan = exact.keepers(table(spark, "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_texts_are_not_shuffled(spark):
+    """Few dropped ids are broadcast: the texts stay where they are."""
+    plan = exact.drop_exact(table(spark, "documents"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_smallest_id(spark):
+    rows = [(-(1 << 63), "same", "en", "s", 1), (5, "same", "en", "s", 1)]
+    assert {(r.doc_id, r.keep_id) for r in exact.keepers(docs(spark, rows)).collect()} == {(-(1 << 63), -(1 << 63)), (5, -(1 << 63))}

@@ -1,10 +1,12 @@
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
 import pytest
 from cases import EDGES, SF, docs, edges, empty, texts
 
+from fleetlens import session
 from fleetlens.llm import jaccard
 from fleetlens.llm.queries import QUERIES
 from fleetlens.llm.scan import shingle_sets
@@ -117,3 +119,24 @@ def test_stage(spark):
     assert kept.columns == source.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(["1", "2", "3", "4", "5", "6", "8", "8", "None", "10"])
     assert jaccard.keep_first(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_chance_of_a_lost_link(percent):
+    """For every pair of sizes that may be similar: all common n-grams fall among the fragments of the others."""
+    cut = jaccard.Cut(percent)
+    worst = 0.0
+    for t in range(int(cut.bounds[0]) + 1, 400):
+        fragments = int(cut.fragments[np.searchsorted(cut.bounds, t)])
+        for s in range(-(-t * percent // 100), t + 1):
+            common = -(-(s + t) * percent // (100 + percent))
+            if common <= s:
+                apart = s + t - 2 * common
+                worst = max(worst, (min(apart, fragments) / fragments) ** common)
+    assert worst < 1e-9
+
+
+def test_nothing_is_left_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    jaccard.keep_first(edges(spark)).collect()
+    assert [p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()] == ["gone"]
