@@ -1,22 +1,26 @@
 """Whitening of vectors with MLlib's distributed block matrices.
 
-Centred rows get consecutive numbers and become a block matrix; its product
+Centred rows become consecutive blocks of a block matrix; its product
 with its own transpose is the scatter matrix, which is small enough for an
 eigenvalue routine; the product with the whitening matrix projects the rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.mllib.common import callMLlibFunc
-from pyspark.mllib.linalg import DenseMatrix
-from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark.mllib.linalg import DenseMatrix, MatrixUDT
+from pyspark.mllib.linalg.distributed import BlockMatrix
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from fleetlens.llm.common import col
+from fleetlens.llm.common import NULL_ID, col, ids_column
 from fleetlens.session import materialize
 
 #: Steps per unit and offset of the whole numbers that stand for vector entries.
@@ -27,6 +31,8 @@ COMPONENTS = 32
 BLOCK_ROWS, BLOCK_COLUMNS = 256, 1024
 #: Row blocks whose products are summed in one task before sums of tasks meet.
 BLOCKS_EACH = 32
+NAMES = ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+WHITENED = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
 #: Components whose eigenvalue is below this share of the largest are rounding errors.
 LEAST_SHARE = 1e-12
 
@@ -39,22 +45,86 @@ def whole_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     return raw.filter(finite).select("vec_id", F.size("v").alias("size"), x.cast("array<long>").alias("x"))
 
 
-def numbered(rows: DataFrame) -> DataFrame:
-    """``rows`` (part, place) with consecutive numbers ``row`` from 0.
+#: A matrix as MLlib stores it; a table written with plain structs is read with MLlib's own type and the other way round.
+PLAIN = T.StructType([T.StructField(f.name, f.dataType) for f in MatrixUDT.sqlType().fields])
+BLOCKS = T.StructType(
+    [
+        T.StructField("part", T.IntegerType()),
+        T.StructField("place", T.IntegerType()),
+        T.StructField("column", T.LongType()),
+        T.StructField("ids", T.ArrayType(T.LongType())),
+        T.StructField("deviations", T.ArrayType(T.LongType())),
+        T.StructField("matrix", PLAIN),
+    ]
+)
+
+
+def retyped(table: DataFrame, kind: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, kind if f.name in ("matrix", "subMatrix") else f.dataType) for f in table.schema.fields])
+
+
+def deviations(away: np.ndarray) -> np.ndarray:
+    """Sums of squares by row, exact; an error if no long holds one."""
+    if away.size and float(np.abs(away.astype(float)).max()) ** 2 * away.shape[1] >= 2.0**62:
+        sums = [sum(int(a) * int(a) for a in row) for row in away]
+        if max(sums) >= 1 << 63:
+            raise OverflowError("a sum of squared deviations is beyond a long")
+        return np.array(sums, np.int64)
+    return (away * away).sum(axis=1)
+
+
+def centred_blocks(rows: DataFrame, n: int, total: list[int]) -> DataFrame:
+    """``rows`` (vec_id, x) as blocks of centred rows, each block with its place in its task's part.
 
-    Rows know their part of the written table and their place in it, so only
-    one count per part has to be summed up.
+    A part's last block is filled up with rows of zeros, which add nothing to
+    a product of the matrix with its own transpose.
     """
-    counts = rows.groupBy("part").agg(F.count("*").alias("n"))
+    sums, size = np.array(total, np.int64), len(total)
+    height, width = BLOCK_ROWS, BLOCK_COLUMNS
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, place = TaskContext.get().partitionId(), 0
+        ids, x = np.empty(0, np.int64), np.empty((0, size), np.int64)
+
+        def packed(ids: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+            away = n * x - sums
+            full = np.zeros((height, size))
+            full[: len(away)] = away / float(n)
+            out = []
+            for column, left in enumerate(range(0, size, width)):
+                block = full[:, left : left + width]
+                matrix = {"type": 1, "numRows": height, "numCols": block.shape[1], "colPtrs": None, "rowIndices": None, "values": block.ravel(order="F"), "isTransposed": False}
+                first = column == 0
+                own = ids_column(ids).to_pylist() if first else []
+                out.append({"part": part, "place": place, "column": column, "ids": own, "deviations": deviations(away).tolist() if first else [], "matrix": matrix})
+            return pa.RecordBatch.from_pylist(out, schema=to_arrow_schema(BLOCKS))
+
+        for batch in batches:
+            ids = np.r_[ids, batch.column(0).fill_null(NULL_ID).to_numpy()]
+            x = np.concatenate([x, batch.column(1).flatten().to_numpy().reshape(-1, size)])
+            while len(ids) >= height:
+                yield packed(ids[:height], x[:height])
+                ids, x, place = ids[height:], x[height:], place + 1
+        if len(ids):
+            yield packed(ids, x)
+
+    return rows.select("vec_id", "x").mapInArrow(work, BLOCKS)
+
+
+def numbered(blocks: DataFrame) -> DataFrame:
+    """``blocks`` with consecutive numbers ``number`` from 0: one count per part has to be summed up."""
+    counts = blocks.filter("column = 0").groupBy("part").agg(F.count("*").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return rows.join(offsets, "part").withColumn("row", F.col("before") + F.col("place")).drop("part", "before", "place")
+    return blocks.join(offsets, "part").withColumn("number", F.col("before") + F.col("place")).drop("part", "place", "before")
 
 
-def block_matrix(rows: DataFrame, vector: str) -> BlockMatrix:
-    """Rows (row, array of doubles) as blocks."""
-    ml = rows.select(F.col("row").alias("index"), array_to_vector(vector).alias("vector"))
-    return IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(ml, "vector")).toBlockMatrix(BLOCK_ROWS, BLOCK_COLUMNS)
+def block_matrix(blocks: DataFrame, matrix: str, n_blocks: int, size: int) -> BlockMatrix:
+    """Blocks (number, column, a matrix in MLlib's type) as one matrix."""
+    index = F.struct(F.col("number").alias("_1"), F.col("column").alias("_2"))
+    rows = blocks.select(index.alias("blockIndex"), F.col(matrix).alias("subMatrix"))
+    width = min(size, BLOCK_COLUMNS)
+    return BlockMatrix(callMLlibFunc("createBlockMatrix", rows, BLOCK_ROWS, width, n_blocks * BLOCK_ROWS, size), BLOCK_ROWS, width)
 
 
 def multiply(left: BlockMatrix, right: BlockMatrix, splits: int = 1) -> BlockMatrix:
@@ -80,11 +150,11 @@ def whitening_matrix(covariance: np.ndarray, components: int = COMPONENTS) -> tu
 
 def _blocks(spark, matrix: np.ndarray) -> BlockMatrix:
     """A small matrix as blocks as high as another one's are wide."""
-    parts = []
-    for i, top in enumerate(range(0, matrix.shape[0], BLOCK_COLUMNS)):
-        block = matrix[top : top + BLOCK_COLUMNS]
+    parts, height = [], min(matrix.shape[0], BLOCK_COLUMNS)
+    for i, top in enumerate(range(0, matrix.shape[0], height)):
+        block = matrix[top : top + height]
         parts.append(((i, 0), DenseMatrix(block.shape[0], block.shape[1], block.ravel(order="F"))))
-    return BlockMatrix(spark.sparkContext.parallelize(parts, len(parts)), BLOCK_COLUMNS, max(1, matrix.shape[1]), *matrix.shape)
+    return BlockMatrix(spark.sparkContext.parallelize(parts, len(parts)), height, matrix.shape[1], *matrix.shape)
 
 
 def whiten(vectors: DataFrame, components: int = COMPONENTS, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -116,52 +186,48 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS, id_col: str = "vec_
     by_size: dict[int, dict[int, tuple[int, int]]] = {}
     for r in sums.collect():
         by_size.setdefault(r.size, {})[r.pos] = (r.total, r.n)
-    out = spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
+    out = spark.createDataFrame([], WHITENED)
     for size, found in sorted(by_size.items()):
-        n = found[0][1]
-        total = [found[i][0] for i in range(size)]
-        part = _whiten_one(rows.filter(F.col("size") == size), n, total, components)
-        out = part if out is None or len(by_size) == 1 else out.union(part)
+        part = _whiten_one(rows.filter(F.col("size") == size), found[0][1], [found[i][0] for i in range(size)], components)
+        out = part if len(by_size) == 1 else out.union(part)
     return out
 
 
 def _whiten_one(rows: DataFrame, n: int, total: list[int], components: int) -> DataFrame:
-    spark = rows.sparkSession
-    sums = F.array(*[F.lit(t) for t in total])
-    away = F.zip_with("x", sums, lambda x, s: F.lit(n) * x - s)
-    placed = rows.select(
-        "vec_id",
-        away.alias("away"),
-        F.spark_partition_id().alias("part"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
-    )
-    # the numbers are written down, as a part read again may hold other rows
-    placed = materialize(placed, "placed")
-    indexed = materialize(
-        numbered(placed).select(
-            "row",
-            "vec_id",
-            F.aggregate("away", F.lit(0).cast("long"), lambda s, a: s + a * a).alias("deviation"),
-            F.transform("away", lambda a: a.cast("double") / F.lit(float(n))).alias("centred"),
-        ),
-        "centred",
-    )
-    centred = block_matrix(indexed, "centred")
+    spark, size = rows.sparkSession, len(total)
+    blocks = materialize(centred_blocks(rows, n, total), "blocks")
+    n_blocks = blocks.filter("column = 0").count()
+    typed = spark.read.schema(retyped(blocks, MatrixUDT())).parquet(*blocks.inputFiles())
+    centred = block_matrix(numbered(typed), "matrix", n_blocks, size)
     basis, explained = whitening_matrix(scatter(centred) / n, components)
-    if not basis.shape[1]:
-        return spark.createDataFrame([], "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double")
+    kept = basis.shape[1]
+    if not kept:
+        return spark.createDataFrame([], WHITENED)
     projected = multiply(centred, _blocks(spark, basis))
-    error = float(np.abs(scatter(projected) / n - np.eye(basis.shape[1])).max())
-    back = callMLlibFunc("getIndexedRows", projected.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
-    back = back.select(F.col("index").alias("row"), vector_to_array("vector").alias("values"))
-    shares = F.array(*[F.lit(float(e)) for e in explained])
-    joined = indexed.select("row", "vec_id", "deviation").join(back, "row")
-    return joined.select("vec_id", "deviation", F.posexplode("values").alias("at", "whitened")).select(
-        "vec_id",
-        (F.col("at") + 1).cast("int").alias("component"),
-        F.lit(n).cast("long").alias("n"),
-        "deviation",
-        "whitened",
-        F.element_at(shares, F.col("at") + 1).alias("explained"),
-        F.lit(error).alias("identity_error"),
-    )
+    projected = callMLlibFunc("getMatrixBlocks", projected._java_matrix_wrapper._java_model)
+    projected = projected.toDF("blockIndex", "subMatrix").select(F.col("blockIndex._1").cast("long").alias("number"), F.col("blockIndex._2").cast("long").alias("column"), "subMatrix")
+    projected = materialize(projected, "projected")
+    error = float(np.abs(scatter(block_matrix(projected, "subMatrix", n_blocks, kept)) / n - np.eye(kept)).max())
+    plain = spark.read.schema(retyped(projected, PLAIN)).parquet(*projected.inputFiles())
+    names = numbered(blocks.filter("column = 0").select("part", "place", "column", "ids", "deviations")).select("number", "ids", "deviations")
+    both = names.join(plain.select("number", F.col("subMatrix.values").alias("values"), F.col("subMatrix.isTransposed").alias("turned")), "number")
+
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, deviation = batch.column("ids")[i].values, batch.column("deviations")[i].values.to_numpy()
+                values = batch.column("values")[i].values.to_numpy()
+                values = values.reshape(-1, kept) if batch.column("turned")[i].as_py() else values.reshape(kept, -1).T
+                m = len(ids)
+                columns = [
+                    ids.take(pa.array(np.repeat(np.arange(m), kept))),
+                    pa.array(np.tile(np.arange(1, kept + 1, dtype=np.int32), m)),
+                    pa.array(np.full(m * kept, n, np.int64)),
+                    pa.array(np.repeat(deviation, kept)),
+                    pa.array(values[:m].ravel()),
+                    pa.array(np.tile(explained, m)),
+                    pa.array(np.full(m * kept, error)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=NAMES)
+
+    return both.mapInArrow(rows_of, WHITENED)
