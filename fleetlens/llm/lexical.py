@@ -28,9 +28,9 @@ TOP = 50
 #: Distinct query terms of one pass over the index; more queries make further passes.
 TERMS_EACH = 8192
 #: Documents of a shard at most, and cells of its table of impacts (four bytes each).
-SHARD_DOCS, SHARD_CELLS = 2048, 8 << 20
-#: Bytes of a row group of the index, which bounds what a task holds of it at once.
-GROUP_BYTES = 16 << 20
+SHARD_DOCS, SHARD_CELLS = 1024, 4 << 20
+#: Shards in a row group of the index, which bounds what a reading task holds at once.
+GROUP_SHARDS = 2
 #: Documents that a block aims at, and signs of the sketch by which they are put together.
 BLOCK, SIGNS = 16, 32
 #: A term that shares queries with more terms than this has one block without a summary.
@@ -351,7 +351,7 @@ def search(
         # one number for each term of the group
         df = found.select(F.explode("terms").alias("term")).groupBy("term").count()
         plan.learn(n_docs, n_terms, {r.term: r["count"] for r in df.collect()})
-        indexed = materialize(index(found, plan), "index", **{"parquet.block.size": GROUP_BYTES})
+        indexed = materialize(index(found, plan), "index", **{"parquet.block.row.count.limit": GROUP_SHARDS})
         least = ranked(ask(indexed, plan)).filter(F.col("rank") == TOP).select("query", "score")
         best = ranked(ask(indexed, plan, {r.query: r.score for r in least.collect()}))
         names = spark.createDataFrame([(q, name) for q, name, _ in group], "query int, item_id long")
