@@ -9,8 +9,9 @@ from fleetlens.operators import loaders
 from fleetlens.operators.loaders import Loader
 from fleetlens.plans.model import ACCOUNT_OF, AS_OF, MODEL, padded
 from fleetlens.plans.registry import query
-from fleetlens.session import materialize
+from fleetlens.session import materialize, shared_dir
 from fleetlens.sources import payloads as P
+from fleetlens.streaming.payloads import stream_payloads
 
 MODEL.raw(
     "_docs",
@@ -356,25 +357,109 @@ def loader(t) -> Loader:
 
 # S1, S2 --------------------------------------------------------------------
 
-query(
-    "S1_read_payloads",
+#: One document per account and region, with all its orders as service records; some are broken on purpose.
+MODEL.raw(
+    "_sites",
     """
-    SELECT 'data/' || lpad(CAST(k AS VARCHAR), 12, '0') || '/' || account || '/' || region || '/'
-      || CAST(d AS VARCHAR) || '_DAILY.json' AS path, account AS path_account, region AS path_region,
+    SELECT account, region, CAST(account AS BIGINT) AS number, max(d) AS d, count(*) AS n, CAST(sum(price) AS DECIMAL(20, 2)) AS cost
+    FROM {_docs} GROUP BY account, region
+    """,
+)
+#: What is wrong with a site's document.
+_FAULT = "CASE WHEN number % 41 = 0 THEN 'not a JSON object' WHEN number % 43 = 0 THEN 'missing sections: health, logs' WHEN number % 47 = 0 THEN 'no account' END"
+#: Sites whose documents come in the first, the second and the last delivery.
+_DELIVERY = "CASE WHEN number = (SELECT max(number) FROM {_sites}) THEN 3 WHEN number % 4 < 2 THEN 1 ELSE 2 END"
+
+
+def site_documents(t) -> DataFrame:
+    """(file_path, value, delivery) of the sites."""
+    record = F.struct(F.concat(F.lit("S"), F.col("k") % 5).alias("service"), F.date_format("d", "yyyy-MM-dd").alias("date_from"), F.col("price").cast("string").alias("cost"))
+    sites = t["_docs"].groupBy("account", "region").agg(F.max("d").alias("d"), F.sort_array(F.collect_list(record)).alias("service"))
+    sites = sites.withColumn("number", F.col("account").cast("long"))
+    last = sites.agg(F.max(F.struct("number")).alias("m")).select(F.col("m.number").alias("last"))
+    sections = {name: F.lit("[]") for name in P.REQUIRED_SECTIONS}
+    sections["service"] = F.to_json("service")
+    sections["account"] = F.when(F.col("number") % 47 == 0, F.lit("{}")).otherwise(F.to_json(F.struct(F.col("account").alias("account_id"), "region")))
+    for name in ("health", "logs"):
+        sections[name] = F.when(F.col("number") % 43 != 0, sections[name])
+    body = F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), c) for n, c in sections.items()])
+    value = F.when(F.col("number") % 41 == 0, F.lit("{broken")).otherwise(F.concat(F.lit("{"), body, F.lit("}")))
+    path = F.format_string("data/%s/%s/%s_DAILY.json", "account", "region", F.date_format("d", "yyyy-MM-dd"))
+    delivery = F.when(F.col("number") == F.col("last"), 3).when(F.col("number") % 4 < 2, 1).otherwise(2)
+    return sites.join(last, F.lit(True)).select(path.alias("file_path"), value.alias("value"), delivery.alias("delivery"))
+
+
+def _relative(column: str):
+    return F.regexp_extract(column, r"(data/.*)$", 1)
+
+
+@query(
+    "S1_read_payloads",
+    f"""
+    SELECT 'data/' || account || '/' || region || '/' || CAST(d AS VARCHAR) || '_DAILY.json' AS path, account AS path_account, region AS path_region,
       CAST(d AS VARCHAR) AS path_date, 'DAILY' AS path_interval,
-      CASE WHEN k % 97 = 0 THEN 21 ELSE 22 END AS sections
-    FROM {_docs}
+      CASE {_FAULT} WHEN 'not a JSON object' THEN NULL WHEN 'missing sections: health, logs' THEN 10 ELSE 12 END AS sections
+    FROM {{_sites}}
     """,
-)(
-    lambda t: parsed(t).select(
-        F.col("_path").alias("path"),
+)
+def read_files(t):
+    """Every site's document written as a file of its own, and the files read."""
+    spark = t["orders"].sparkSession
+    root = shared_dir(spark, "files")
+    P.write_payloads(site_documents(t), root)
+    return P.read_payloads(spark, f"{root}/data").select(
+        _relative("_path").alias("path"),
         "path_account",
         "path_region",
         F.col("_date").alias("path_date"),
         "path_interval",
-        F.size("_keys").alias("sections"),
+        F.when(F.col("_keys").isNotNull(), F.size("_keys")).alias("sections"),
     )
+
+
+@query(
+    "S3_stream_payloads",
+    f"""
+    SELECT 'data/' || account || '/' || region || '/' || CAST(d AS VARCHAR) || '_DAILY.json' AS path, {_DELIVERY} AS delivery, fault AS reason,
+      CASE WHEN fault IS NULL THEN account END AS account, CASE WHEN fault IS NULL THEN n ELSE 0 END AS records,
+      CASE WHEN fault IS NULL THEN CAST(cost AS DOUBLE) END AS cost, {_DELIVERY} < 3 AS archived
+    FROM (SELECT *, {_FAULT} AS fault FROM {{_sites}})
+    """,
 )
+def streamed_files(t):
+    """Three deliveries of files, the stream started anew from its checkpoint for each.
+
+    The first two take several micro-batches each.  A file is archived when the
+    batch after its own begins, so all but the last delivery's one have gone to
+    the archive at the end.
+    """
+    spark = t["orders"].sparkSession
+    root = shared_dir(spark, "stream-files")
+    documents = _staged(t, "site-documents", lambda: site_documents(t))
+    per_batch = max(1, -(-documents.count() // 5))
+
+    def handle(delivery: int):
+        def each(valid: DataFrame, rejected: DataFrame, batch_id: int) -> None:
+            records = P.explode_section(valid, "service", {"service": "string", "cost": "decimal(18,2)"})
+            sums = records.groupBy("_path").agg(F.count("*").alias("records"), F.sum("cost").cast("double").alias("cost"))
+            good = valid.select("_path", F.lit(None).cast("string").alias("reason"), F.col("_account").alias("account")).join(sums, "_path", "left")
+            bad = rejected.select("_path", F.col("_reason").alias("reason"))
+            rows = good.unionByName(bad, allowMissingColumns=True).withColumn("delivery", F.lit(delivery))
+            # written per batch id, so a replayed batch takes its own place
+            rows.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+        return each
+
+    for delivery in (1, 2, 3):
+        P.write_payloads(documents.filter(F.col("delivery") == delivery), f"{root}/in")
+        stream_payloads(spark, f"{root}/in/data", f"{root}/checkpoint", handle(delivery), f"{root}/archive", files=per_batch).awaitTermination()
+    gone = P.read_payloads(spark, f"{root}/archive").select(_relative("_path").alias("path"), F.lit(True).alias("archived"))
+    rows = spark.read.parquet(f"{root}/out").drop("batch").withColumn("path", _relative("_path"))
+    return rows.join(gone, "path", "left").select(
+        "path", "delivery", "reason", "account", F.coalesce("records", F.lit(0)).alias("records"), "cost", F.coalesce("archived", F.lit(False)).alias("archived")
+    )
+
+
 query(
     "S2_validate_payloads",
     """

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import posixpath
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,7 +54,11 @@ def parse_payloads(raw: DataFrame) -> DataFrame:
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Every pending document under ``path``; one row per file."""
+    """Every pending document under ``path``; one row per file.
+
+    Path fields come from the files' own metadata.  A column that is not asked
+    for is not parsed out of the text, but each file is read whole.
+    """
     raw = (
         spark.read.format("text")
         .option("wholetext", True)
@@ -59,6 +69,35 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return parse_payloads(raw.select("value", F.col("_metadata.file_path").alias("file_path")))
 
 
+def write_payloads(documents: DataFrame, root: str) -> int:
+    """One file per row of ``documents`` (file_path below ``root``, value); returns how many.
+
+    Tasks write the files where they hold the rows.  A file appears under its
+    name only when it is whole: it is written under a hidden name first, which
+    scans and streams pass over.  A repeated task writes the same files again, so
+    nothing doubles.  Any store that Arrow's file systems know will do.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = pyarrow.fs.FileSystem.from_uri(root)
+        made: set[str] = set()
+        for batch in batches:
+            for path, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                place = posixpath.join(base, path)
+                folder, name = posixpath.split(place)
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                draft = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}")
+                with store.open_output_stream(draft) as out:
+                    out.write((value or "").encode())
+                store.move(draft, place)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["files"])
+
+    written = documents.select("file_path", "value").mapInArrow(write, "files long")
+    return written.agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
+
+
 def validate_payloads(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected); a rejected document carries the reason.
 
