@@ -19,24 +19,36 @@ from fleetlens.streaming import alerts as A
 from fleetlens.streaming import metrics as M
 
 
-_DELIVERED: dict[tuple[str, str], str] = {}
+def event_stream(t, batches: int = 3, late_hours: int = 0, closing: bool = False) -> DataFrame:
+    """The event table as a file stream of ``batches`` micro-batches with a zoned time.
 
-
-def event_stream(t, files: int = 3) -> DataFrame:
-    """The event table as a file stream with a zoned time; one micro-batch per file, in order of time."""
+    Batches follow the ids, or with ``late_hours`` the time of arrival: up to
+    so many hours after the event, by hash.  Each batch has as many files as the
+    table has partitions, and a trigger takes as many.  ``closing`` delivers one
+    row of no key at last whose time lets the watermark pass all others.
+    """
     spark, events = t["events"].sparkSession, t["events"]
-    key = (spark.sparkContext.applicationId, t.sf_dir)
-    if key not in _DELIVERED:
-        path = shared_dir(spark, "events")
-        end = events.agg(F.max("event_id")).first()[0] + 1
-        for i in range(files):
-            part = events.filter(F.expr(f"event_id * {files} div {end}") == i)
-            part.coalesce(1).write.mode("append").parquet(path)
-        _DELIVERED[key] = path
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(_DELIVERED[key])
+    path, files = shared_dir(spark, "events"), max(1, events.rdd.getNumPartitions())
+    clock = F.coalesce("event_id", F.lit(0))
+    if late_hours:
+        clock = F.coalesce(F.unix_seconds(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(3600 * late_hours)), F.lit(0))
+    low, high, last = events.agg(F.min(clock), F.max(clock), F.max("ts")).first()
+    low = low if late_hours else 0
+    placed = events.withColumn("_batch", F.floor((clock - low) * batches / F.lit(high - low + 1)))
+    for i in range(batches):
+        placed.filter(F.col("_batch") == i).drop("_batch").repartition(files).write.mode("append").parquet(path)
+    if closing:
+        end = spark.createDataFrame([(last + dt.timedelta(days=1000),)], "ts timestamp_ntz")
+        row = [F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema]
+        end.select(row).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(path)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+#: Batches of the streams that keep rows by key, and how late rows may come there.
+_BATCHES, _LATE = 6, 6
+
+
 def finished(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """Run a stream over everything there is into shared Parquet and read the result."""
     spark, out = stream.sparkSession, shared_dir(stream.sparkSession, label)
@@ -381,34 +393,31 @@ query("T4_rate_limit_replay", _REPLAY)(lambda t: A.rate_limit_replay(_pending(t[
 def streamed_limit(t):
     spark = t["events"].sparkSession
     path = shared_dir(spark, "stream-limit")
-    A.stream_rate_limit(_pending(event_stream(t)), f"{path}/log", f"{path}/checkpoint", seconds=_WINDOW).awaitTermination()
-    return spark.read.parquet(f"{path}/log").drop("batch")
+    events = event_stream(t, _BATCHES, _LATE, closing=True)
+    A.stream_rate_limit(_pending(events), f"{path}/log", f"{path}/checkpoint", seconds=_WINDOW).awaitTermination()
+    return spark.read.parquet(f"{path}/log")
 
 
 @query(
     "T5_stream_consecutive_failures",
     """
-    WITH runs AS (
-      SELECT user_id AS canary_id, event_id AS id, ts, event_type IN ('error', 'view') AS failed,
-        event_id * 3 // ((SELECT max(event_id) FROM {events}) + 1) AS delivered FROM {events}),
-    known AS (
-      SELECT b.n AS batch, r.*, row_number() OVER (PARTITION BY b.n, canary_id ORDER BY ts DESC, id DESC) AS k
-      FROM runs r JOIN range(0, 3) b(n) ON r.delivered <= b.n)
-    SELECT batch, canary_id, max(ts) AS last_run_at FROM known WHERE k <= 3 GROUP BY batch, canary_id
-    HAVING count(*) = 3 AND bool_and(failed) AND max(delivered) = batch
+    SELECT user_id AS canary_id, ts AS last_run_at
+    FROM (SELECT *, row_number() OVER runs AS place, bool_and(event_type IN ('error', 'view')) OVER (runs ROWS 2 PRECEDING) AS failing
+          FROM {events} WINDOW runs AS (PARTITION BY user_id ORDER BY ts, event_id))
+    WHERE place >= 3 AND failing
     """,
 )
 def streamed_failures(t):
     spark = t["events"].sparkSession
     path = shared_dir(spark, "stream-failures")
-    runs = event_stream(t).select(
+    runs = event_stream(t, _BATCHES, _LATE, closing=True).select(
         F.col("user_id").alias("canary_id"),
         F.col("event_id").alias("id"),
         F.col("ts").alias("run_at"),
         F.when(F.col("event_type").isin("error", "view"), "FAILED").otherwise("PASSED").alias("run_status"),
     )
     A.stream_consecutive_failures(runs, path, f"{path}-checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/failing").select("batch", "canary_id", "last_run_at")
+    return spark.read.parquet(path)
 
 
 MODEL.raw(
@@ -432,10 +441,10 @@ query("T6_alarm_transitions", _TRANSITIONS)(lambda t: A.alarm_transitions(t["_sn
 def streamed_transitions(t):
     spark = t["events"].sparkSession
     path = shared_dir(spark, "stream-transitions")
-    event_stream(t).createOrReplaceTempView("fl_event_stream")
+    event_stream(t, _BATCHES, _LATE, closing=True).createOrReplaceTempView("fl_event_stream")
     rows = spark.sql(MODEL.texts["_snapshots"].replace("{events}", "fl_event_stream"))
     A.stream_alarm_transitions(rows, path, f"{path}-checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/changes").drop("batch")
+    return spark.read.parquet(path)
 
 
 _SLIDING = """

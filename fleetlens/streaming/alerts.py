@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions.stitched import previous_row, running_max
@@ -16,15 +17,14 @@ from fleetlens.operators.alerts import (
     WINDOW_SECONDS,
     apply_alarm_events,
     classify_severity,
-    consecutive_failures,
     notification_log,
     notification_message,
     parse_alarm_event,
     rate_limit,
 )
-from fleetlens.operators.upsert import merge_keyed
 from fleetlens.sources.store import TableStore
 from fleetlens.sources.versions import exists, remove
+from fleetlens.streaming.ordered import WATERMARK, InOrder, in_order
 
 
 def _start(stream: DataFrame, each, checkpoint: str) -> StreamingQuery:
@@ -36,6 +36,17 @@ def _start(stream: DataFrame, each, checkpoint: str) -> StreamingQuery:
     )
 
 
+def _to_files(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Each row once: the file sink notes the files of every micro-batch."""
+    return (
+        rows.writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(path)
+    )
+
+
 def _forget(spark: SparkSession, path: str, batch_id: int) -> None:
     """Keep the state of this batch and of the one before it."""
     remove(spark, f"{path}/batch={batch_id - 2}")
@@ -176,64 +187,87 @@ def rate_limit_replay(
     return ordered.mapInPandas(walk, _REPLAY_SCHEMA).unionByName(hopeless)
 
 
-def stream_rate_limit(
-    pending: DataFrame, log_path: str, checkpoint: str, n: int = MAX_MESSAGES, seconds: int = WINDOW_SECONDS
-) -> StreamingQuery:
-    """T4: the replay per micro-batch.
+class Budget(InOrder):
+    """T4: the sends of the trailing window are kept, ``n`` at most."""
+
+    memory = T.StructType([T.StructField("sent_at", T.TimestampType())])
 
-    The state is the newest ``n`` sends per channel, beside the log and per
-    batch id, so a replayed batch starts from the same point and reads no log.
+    def __init__(self, rows, key, n: int, seconds: int):
+        super().__init__(rows, key)
+        self.n, self.seconds = n, seconds
+
+    def names(self) -> list[str]:
+        return ["event_time", "alert_id", "status"]
+
+    def step(self, kept, row):
+        when = pd.Timestamp(row[0])
+        live = [k for k in kept if pd.Timestamp(k[0]) > when - pd.Timedelta(seconds=self.seconds)]
+        if len(live) < self.n:
+            return [*live, (row[0],)], [(*row, "sent")]
+        return live, [(*row, "grouped")]
+
+
+def limited_alerts(
+    pending: DataFrame, n: int = MAX_MESSAGES, seconds: int = WINDOW_SECONDS, watermark: str = WATERMARK
+) -> DataFrame:
+    """T4 as a stream: ``sent`` or ``grouped`` for every alert once the watermark has passed it.
+
+    Alerts of a channel are judged in order of time, so late ones within the
+    watermark count in their place and micro-batches make no difference.  A
+    channel holds its waiting alerts and at most ``n`` send times; an alert that
+    is later than the watermark is not judged.
     """
-    spark = pending.sparkSession
-    state = f"{log_path}-state"
+    rows = pending.select(F.col("channel").cast("string"), F.col("event_time").cast("timestamp"), F.col("alert_id").cast("string"))
+    return in_order(rows, ("channel",), Budget, ("event_time", "alert_id"), _REPLAY_SCHEMA, watermark, n=n, seconds=seconds)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        before = f"{state}/batch={batch_id - 1}"
-        sent = spark.read.parquet(before) if exists(spark, before) else None
-        limited = rate_limit_replay(batch, sent, n, seconds)
-        limited.write.mode("overwrite").parquet(f"{log_path}/batch={batch_id}")
-        done = spark.read.schema(limited.schema).parquet(f"{log_path}/batch={batch_id}")
-        done = done.filter(F.col("status") == "sent").select("channel", "event_time", "alert_id")
-        newest = W.partitionBy("channel").orderBy(F.desc("event_time"), F.desc("alert_id"))
-        both = done if sent is None else sent.unionByName(done)
-        both = both.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
-        both.write.mode("overwrite").parquet(f"{state}/batch={batch_id}")
-        _forget(spark, state, batch_id)
 
-    return _start(pending, each, checkpoint)
+def stream_rate_limit(
+    pending: DataFrame, log_path: str, checkpoint: str, n: int = MAX_MESSAGES, seconds: int = WINDOW_SECONDS, watermark: str = WATERMARK
+) -> StreamingQuery:
+    """T4: ``limited_alerts`` into Parquet files under ``log_path``, each alert once."""
+    return _to_files(limited_alerts(pending, n, seconds, watermark), log_path, checkpoint)
 
 
 # T5 ------------------------------------------------------------------------
 
-def newest_runs(runs: DataFrame, n: int = 3) -> DataFrame:
-    """The newest ``n`` runs per canary; the rank filter also runs before the shuffle."""
-    newest = W.partitionBy("canary_id").orderBy(F.desc("run_at"), F.desc("id"))
-    return runs.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
+class Failures(InOrder):
+    """T5: the newest ``n`` runs of a canary are kept, for ``seconds`` at most."""
+
+    memory = T.StructType([T.StructField("run_at", T.TimestampType()), T.StructField("run_status", T.StringType())])
+
+    def __init__(self, rows, key, n: int, seconds: int | None):
+        super().__init__(rows, key)
+        self.n, self.seconds = n, seconds
+
+    def names(self) -> list[str]:
+        return ["last_run_at"]
+
+    def step(self, kept, row):
+        when, _, status = row
+        if self.seconds is not None:
+            kept = [k for k in kept if pd.Timestamp(k[0]) > pd.Timestamp(when) - pd.Timedelta(seconds=self.seconds)]
+        kept = [*kept, (when, status)][-self.n :]
+        failing = len(kept) == self.n and all(k[1] == "FAILED" for k in kept)
+        return kept, [(when,)] if failing else []
 
 
-def stream_consecutive_failures(runs: DataFrame, path: str, checkpoint: str, n: int = 3) -> StreamingQuery:
-    """T5: per micro-batch, the canaries with new runs whose newest ``n`` runs all failed, into ``path/failing``.
+def failing_runs(runs: DataFrame, n: int = 3, seconds: int | None = None, watermark: str = WATERMARK) -> DataFrame:
+    """T5 as a stream: ``canary_id, last_run_at`` of each run that makes the newest ``n`` runs of its canary all failed.
 
-    The state is the ring of the newest ``n`` runs per canary, kept per batch id
-    so that a replay starts from the same point.  Each input partition sends at
-    most ``n`` rows of a canary, so a hot one does not gather in a task.
+    Runs are taken in order of time once the watermark has passed them, so
+    neither their order of arrival nor micro-batches matter.  A canary's state
+    is its waiting runs and a ring of ``n``; runs older than ``seconds`` before
+    the newest one leave the ring if that is given.
     """
-    spark = runs.sparkSession
+    rows = runs.select(F.col("canary_id").cast("long"), F.col("run_at").cast("timestamp"), F.col("id").cast("long"), "run_status")
+    return in_order(rows, ("canary_id",), Failures, ("run_at", "id", "run_status"), "canary_id long, last_run_at timestamp", watermark, n=n, seconds=seconds)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        rows = newest_runs(batch.select("canary_id", "id", "run_at", "run_status"), n)
-        before = f"{path}/ring/batch={batch_id - 1}"
-        if exists(spark, before):
-            rows = newest_runs(spark.read.parquet(before).unionByName(rows), n)
-        rows.write.mode("overwrite").parquet(f"{path}/ring/batch={batch_id}")
-        ring = spark.read.schema(rows.schema).parquet(f"{path}/ring/batch={batch_id}")
-        touched = batch.select("canary_id").distinct()
-        failing = consecutive_failures(ring, n).join(touched, "canary_id", "left_semi")
-        last = ring.groupBy("canary_id").agg(F.max("run_at").alias("last_run_at"))
-        failing.join(last, "canary_id").write.mode("overwrite").parquet(f"{path}/failing/batch={batch_id}")
-        _forget(spark, f"{path}/ring", batch_id)
 
-    return _start(runs, each, checkpoint)
+def stream_consecutive_failures(
+    runs: DataFrame, path: str, checkpoint: str, n: int = 3, seconds: int | None = None, watermark: str = WATERMARK
+) -> StreamingQuery:
+    """T5: ``failing_runs`` into Parquet files under ``path``."""
+    return _to_files(failing_runs(runs, n, seconds, watermark), path, checkpoint)
 
 
 # T6 ------------------------------------------------------------------------
@@ -263,23 +297,34 @@ def alarm_transitions(snapshots: DataFrame, order_by: tuple[str, ...] = ("collec
     )
 
 
-def stream_alarm_transitions(snapshots: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Changes per micro-batch into ``path/changes``; the last state per alarm carries over.
+class LastState(InOrder):
+    """The last state of an alarm is kept."""
+
+    memory = T.StructType([T.StructField("state", T.StringType())])
 
-    Last states are kept per batch id, so a replay starts from the same point.
+    def names(self) -> list[str]:
+        return ["previous_state", "new_state", "reason", "transition_time"]
+
+    def step(self, kept, row):
+        when, state, reason = row
+        before = kept[0][0] if kept else None
+        changed = before is not None and state is not None and before != state
+        return [(state,)], [(before, state, reason, when)] if changed else []
+
+
+_CHANGES = "account_id long, alarm_name string, previous_state string, new_state string, reason string, transition_time timestamp"
+
+
+def state_changes(snapshots: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """T6 as a stream: changes of state between consecutive snapshots of an alarm.
+
+    Snapshots are compared in order of time once the watermark has passed
+    them, so neither order of arrival nor micro-batches matter.
     """
-    spark = snapshots.sparkSession
-    key = ("account_id", "alarm_name")
-    columns = [*key, "collected_at", "state", "state_reason"]
+    rows = snapshots.select(F.col("account_id").cast("long"), "alarm_name", F.col("collected_at").cast("timestamp"), "state", "state_reason")
+    return in_order(rows, ("account_id", "alarm_name"), LastState, ("collected_at", "state", "state_reason"), _CHANGES, watermark)
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*columns)
-        before = f"{path}/last/batch={batch_id - 1}"
-        known = spark.read.parquet(before) if exists(spark, before) else None
-        both = rows if known is None else known.select(*columns).unionByName(rows)
-        alarm_transitions(both).write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
-        last = merge_keyed(known, rows, key, ("collected_at", "state", "state_reason"), ("collected_at",))
-        last.write.mode("overwrite").parquet(f"{path}/last/batch={batch_id}")
-        _forget(spark, f"{path}/last", batch_id)
-
-    return _start(snapshots, each, checkpoint)
+
+def stream_alarm_transitions(snapshots: DataFrame, path: str, checkpoint: str, watermark: str = WATERMARK) -> StreamingQuery:
+    """``state_changes`` into Parquet files under ``path``."""
+    return _to_files(state_changes(snapshots, watermark), path, checkpoint)

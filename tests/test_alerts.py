@@ -116,28 +116,37 @@ def test_replay_never_exceeds_the_cap(spark):
         assert len(inside) <= 10
 
 
-def in_batches(spark, df, tmp_path, order, parts):
-    """A file stream that delivers ``df`` in ``parts`` micro-batches by ``order``."""
+def in_batches(spark, df, tmp_path, time, parts, late=0):
+    """A file stream of ``df`` in ``parts`` micro-batches, rows up to ``late`` seconds after their time, and a last row without a key."""
     folder = str(tmp_path / "in")
-    rows = df.orderBy(order).collect()
+    rng = random.Random(7)
+    rows = sorted(df.collect(), key=lambda r: r[time] + dt.timedelta(seconds=rng.uniform(0, late)))
     step = -(-len(rows) // parts)
-    for i in range(parts):
-        chunk = spark.createDataFrame(rows[i * step : (i + 1) * step], df.schema)
-        chunk.coalesce(1).write.mode("append").parquet(folder)
+    chunks = [rows[i * step : (i + 1) * step] for i in range(parts)]
+    chunks.append([tuple(at(10**8) if c == time else None for c in df.columns)])
+    for chunk in chunks:
+        spark.createDataFrame(chunk, df.schema).coalesce(1).write.mode("append").parquet(folder)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
-def test_stream_limit_equals_replay(spark, tmp_path):
-    rows = random_alerts(5, 200)
-    df = spark.createDataFrame(rows, "channel string, event_time timestamp, alert_id string")
-    # distinct times, so that no micro-batch cuts through one
-    df = df.withColumn("event_time", F.expr("event_time + make_interval(0, 0, 0, 0, 0, 0, cast(substr(alert_id, 2) as int) / 1000)"))
-    stream = in_batches(spark, df, tmp_path, "event_time", 4)
+@pytest.mark.parametrize("parts", [1, 4, 7])
+def test_stream_limit_equals_replay(spark, tmp_path, parts):
+    df = spark.createDataFrame(random_alerts(5, 200), "channel string, event_time timestamp, alert_id string")
     log = str(tmp_path / "log")
-    A.stream_rate_limit(stream, log, str(tmp_path / "cp"), 3, 60).awaitTermination()
+    A.stream_rate_limit(in_batches(spark, df, tmp_path, "event_time", parts, 40), log, str(tmp_path / "cp"), 3, 60, "1 minute").awaitTermination()
+    got = {r.alert_id: r.status for r in spark.read.parquet(log).collect()}
+    assert got == brute_limit([(r.channel, r.event_time, r.alert_id) for r in df.collect()], 3, 60)
+
+
+def test_stream_limit_goes_on_from_its_checkpoint(spark, tmp_path):
+    df = spark.createDataFrame(random_alerts(6, 120), "channel string, event_time timestamp, alert_id string").orderBy("event_time")
+    rows, folder, log = df.collect(), str(tmp_path / "in"), str(tmp_path / "log")
+    for chunk in (rows[:50], rows[50:], [(None, at(10**8), None)]):
+        spark.createDataFrame(chunk, df.schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(df.schema).parquet(folder)
+        A.stream_rate_limit(stream, log, str(tmp_path / "cp"), 3, 60, "1 minute").awaitTermination()
     got = {r.alert_id: r.status for r in spark.read.parquet(log).collect()}
-    want = brute_limit([(r.channel, r.event_time, r.alert_id) for r in df.collect()], 3, 60)
-    assert got == want
+    assert got == brute_limit([(r.channel, r.event_time, r.alert_id) for r in rows], 3, 60)
 
 
 def snapshots(spark, n=400, seed=4):
@@ -165,22 +174,35 @@ def test_transitions_across_days(spark):
     assert as_set(A.alarm_transitions(df)) == brute_transitions(df.collect())
 
 
-def test_stream_transitions(spark, tmp_path):
+@pytest.mark.parametrize("parts", [2, 6])
+def test_stream_transitions(spark, tmp_path, parts):
     df = snapshots(spark, 120)
-    stream = in_batches(spark, df, tmp_path, "collected_at", 4)
     path = str(tmp_path / "out")
-    A.stream_alarm_transitions(stream, path, str(tmp_path / "cp")).awaitTermination()
-    assert as_set(spark.read.parquet(f"{path}/changes")) == brute_transitions(df.collect())
+    A.stream_alarm_transitions(in_batches(spark, df, tmp_path, "collected_at", parts, 9000), path, str(tmp_path / "cp"), "3 hours").awaitTermination()
+    assert as_set(spark.read.parquet(path)) == brute_transitions(df.collect())
 
 
-def test_stream_failures_across_batches(spark, tmp_path):
-    rows = [(1, i, at(i), "FAILED" if i >= 2 else "PASSED") for i in range(6)] + [(2, i, at(i), "FAILED") for i in range(2)]
+def test_stream_failures_in_any_order_of_arrival(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(c, i, at(i * 60), rng.choice(["FAILED", "FAILED", "PASSED", None])) for i in range(80) for c in range(rng.randrange(4))] + [(9, 1, at(0), "FAILED"), (9, 2, at(60), "FAILED")]
     df = spark.createDataFrame(rows, "canary_id long, id long, run_at timestamp, run_status string")
-    stream = in_batches(spark, df, tmp_path, "run_at", 4)
-    path = str(tmp_path / "out")
-    A.stream_consecutive_failures(stream, path, str(tmp_path / "cp")).awaitTermination()
-    rows = spark.read.parquet(f"{path}/failing").collect()
-    assert {r.canary_id for r in rows} == {1} and max(r.last_run_at for r in rows) == at(5)
+
+    def brute(seconds=None):
+        ring, out = {}, set()
+        for canary, _, when, status in sorted(rows, key=lambda r: (r[2], r[1])):
+            own = ring.setdefault(canary, [])
+            own[:] = [k for k in own if seconds is None or k[0] > when - dt.timedelta(seconds=seconds)]
+            own[:] = [*own, (when, status)][-3:]
+            if len(own) == 3 and all(k[1] == "FAILED" for k in own):
+                out.add((canary, when))
+        return out
+
+    for number, seconds in enumerate((None, 400)):
+        path = str(tmp_path / f"out{number}")
+        stream = in_batches(spark, df, tmp_path / str(number), "run_at", 5, 600)
+        A.stream_consecutive_failures(stream, path, f"{path}-cp", 3, seconds, "11 minutes").awaitTermination()
+        got = {(r.canary_id, r.last_run_at) for r in spark.read.parquet(path).collect()}
+        assert got == brute(seconds) and got
 
 
 # upsert --------------------------------------------------------------------

@@ -36,17 +36,63 @@ def points(spark, rows):
     )
 
 
-def test_a_batch_rewrites_only_its_hours(spark, tmp_path):
+def test_a_batch_rewrites_only_its_hours(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ts, "PART_BYTES", 1)
     path = str(tmp_path / "points")
     ts.write_timeseries(points(spark, [(T0 + dt.timedelta(hours=h), "a", 1.0) for h in range(4)]), path)
     before = files(f"{path}/data")
     ts.write_timeseries(points(spark, [(T0, "a", 2.0), (T0, "b", 3.0)]), path)
     new = files(f"{path}/data") - before
-    assert new and all("hour=2025-01-15-07" in f for f in new)
+    assert new and all("span=2025-01-15-07" in f for f in new)
     rows = {(r.collected_at, r.account_id): r.value for r in ts.read_timeseries(spark, path).collect()}
     assert len(rows) == 5 and rows[T0, "a"] == 2.0
 
 
+def test_parts_follow_the_bytes(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "points")
+    month = [T0 + dt.timedelta(hours=7 * h) for h in range(100)]
+    want = {}
+
+    def write(rows):
+        ts.write_timeseries(points(spark, rows), path)
+        want.update({(when, account): value for when, account, value in rows})
+        got = {(r.collected_at, r.account_id): r.value for r in ts.read_timeseries(spark, path).collect()}
+        assert got == want
+        return ts._parts(spark, path).manifest()
+
+    # small weeks are one part of one file each
+    manifest = write([(when, "a", 1.0) for when in month])
+    assert all(x.endswith("/all") for x in manifest["parts"]) and len(manifest["parts"]) == 5
+    assert len(files(f"{path}/data")) == 5
+    # a week that outgrows its part is split where it is touched, the others stay
+    first = manifest["bytes"]["w202503/all"]
+    monkeypatch.setattr(ts, "PART_BYTES", first)
+    manifest = write([(when, "b", 2.0) for when in month[:3]])
+    assert {len(x.split("/")[1]) for x in manifest["parts"] if x.startswith("w202503")} == {10}
+    assert "w202504/all" in manifest["parts"]
+    # days keep being the parts of that week, and only touched ones are written
+    before = files(f"{path}/data")
+    write([(T0, "a", 5.0)])
+    assert {f.split("span=")[1][:10] for f in files(f"{path}/data") - before} == {"2025-01-15"}
+    # parts that are too small go together again
+    monkeypatch.setattr(ts, "PART_BYTES", 1 << 30)
+    assert ts.compact(spark, path) == ["w202503"] and ts.compact(spark, path) == []
+    assert all(x.endswith("/all") for x in write([])["parts"])
+    # a large part gets several files
+    monkeypatch.setattr(ts, "FILE_BYTES", 2000)
+    before = files(f"{path}/data")
+    # at real sizes pieces are too large to be put into one task
+    small = {f"spark.sql.adaptive.{k}": "64" for k in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        write([(T0, "c", 1.0)])
+    finally:
+        for k in small:
+            spark.conf.unset(k)
+    assert len(files(f"{path}/data") - before) > 1
+
+
 def test_a_named_batch_counts_once(spark, tmp_path):
     store = TableStore(spark, str(tmp_path), 3)
     rows = canaries(spark, [(1, 1, "a", "OK", 0), (2, None, "keyless", "OK", 1)])
