@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.operators import upsert as U
+from fleetlens.operators.metrics import cadence_check
 from fleetlens.plans.alert_queries import bus
 from fleetlens.plans.model import AS_OF, MODEL, S
 from fleetlens.plans.registry import query
@@ -17,6 +18,7 @@ from fleetlens.sources import timeseries as ts
 from fleetlens.sources.store import TableStore
 from fleetlens.streaming import alerts as A
 from fleetlens.streaming import metrics as M
+from fleetlens.streaming.progress import measured_runs
 
 
 def event_stream(t, batches: int = 3, late_hours: int = 0, closing: bool = False) -> DataFrame:
@@ -241,6 +243,25 @@ def streamed_points(t):
     return ts.read_timeseries(spark, path).select(*ts.TIMESERIES_KEY, "unit", "value")
 
 
+@query(
+    "M10_measured_runs",
+    """
+    SELECT check_name, status, (SELECT count(*) FROM {events}) AS rows_read, 3 AS runs
+    FROM (VALUES ('longest_run_seconds', 'PASS'), ('mean_spacing_minutes', 'WARN')) v(check_name, status)
+    """,
+)
+def measured(t):
+    """The cadence of T1's own runs: three micro-batches right after one another, so below the limit and not five minutes apart."""
+    spark = t["events"].sparkSession
+    path = shared_dir(spark, "measured-points")
+    stream = M.stream_metrics(_point_stream(t), path, f"{path}-checkpoint", ("id",))
+    stream.awaitTermination()
+    runs = measured_runs(spark, stream)
+    now = runs.agg(F.max("started_at")).first()[0]
+    totals = runs.agg(F.sum("rows").alias("rows_read"), F.count("*").alias("runs"))
+    return cadence_check(runs, now).select("check_name", "status").join(totals, F.lit(True))
+
+
 _SAMPLES = ("account_id", "namespace")
 
 
@@ -273,6 +294,26 @@ query("T2_stream_tumbling_metrics", _tumbling_sql("HAVING time_bucket(INTERVAL 5
 )
 
 
+@query(
+    "T2_stream_percentile_sketch",
+    """
+    SELECT time_bucket(INTERVAL 1 DAY, ts) AS collected_at, event_type AS namespace, count(value) AS samples, TRUE AS within
+    FROM {events} GROUP BY ALL HAVING time_bucket(INTERVAL 1 DAY, min(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) FROM {events}) - INTERVAL 1 HOUR
+    """,
+)
+def sketched(t):
+    """The sketch's 95th percentile of each day, with its rank among the day's values: off by three times the stated error at most."""
+    found = finished(M.sketched_percentile(_samples(event_stream(t)), ("namespace",), width="1 day"), "sketched")
+    values = _samples(t["events"].withColumn("ts", F.col("ts").cast("timestamp"))).select(
+        F.col("namespace"), F.date_trunc("day", "ts").alias("collected_at"), F.col("value").alias("one")
+    )
+    ranked = found.join(values, ["namespace", "collected_at"]).groupBy("collected_at", "namespace", "samples").agg(
+        (F.count_if(F.col("one") < F.col("value")) / F.count("one")).alias("below"), (F.count_if(F.col("one") <= F.col("value")) / F.count("one")).alias("upto")
+    )
+    slack = 3 * M.SKETCH_ERROR
+    return ranked.select("collected_at", "namespace", "samples", ((F.col("below") <= 0.95 + slack) & (F.col("upto") >= 0.95 - slack)).alias("within"))
+
+
 def _bus_stream(t) -> DataFrame:
     event_stream(t).createOrReplaceTempView("fl_event_stream")
     rows = t["events"].sparkSession.sql(MODEL.texts["_bus"].replace("{events}", "fl_event_stream"))
@@ -475,3 +516,10 @@ query(
         having="HAVING start + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM {events}) - INTERVAL 1 HOUR",
     ).replace("{{", "{").replace("}}", "}"),
 )(lambda t: finished(M.recent_window(_fresh(event_stream(t))), "recent"))
+query(
+    "T7_stream_recent_window_sketched",
+    _SLIDING.format(
+        more=", count(DISTINCT user_id) AS accounts, count(DISTINCT event_type) AS namespaces",
+        having="HAVING start + INTERVAL 10 MINUTE <= (SELECT max(ts) FROM {events}) - INTERVAL 1 HOUR",
+    ).replace("{{", "{").replace("}}", "}"),
+)(lambda t: finished(M.recent_window_sketched(_fresh(event_stream(t))), "recent-sketched"))

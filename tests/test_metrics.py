@@ -161,3 +161,26 @@ def test_freshness_of_nothing(spark):
     empty = points(spark, []).withColumns({"dashboard_category": F.lit("x"), "state": F.lit("OK")})
     rows = {r.check_name: r.status for r in M.freshness_checks(empty, empty, T0).collect()}
     assert rows["metric_points"] == "FAIL" and rows["alarm_states"] == "WARN" and len(rows) == 7
+
+
+def test_sketches_stay_small_and_near(spark):
+    """A hundred times the rows: the same state, and results within the stated errors."""
+    from fleetlens.streaming import metrics as S
+
+    sizes = []
+    for n in (3_000, 300_000):
+        rows = spark.range(n).select(F.lit(T0).alias("ts"), F.lit("a").alias("account_id"), F.pmod(F.xxhash64("id"), F.lit(1_000_000)).cast("double").alias("value"))
+        one = S.sketched_percentile(rows, ("account_id",)).first()
+        exact = S.tumbling_metrics(rows, ("account_id",)).filter("statistic = 'p95'").first().value
+        rank = rows.filter(F.col("value") <= one.value).count() / n
+        assert one.samples == n and abs(rank - 0.95) < 3 * S.SKETCH_ERROR and abs(one.value - exact) < 30_000
+        sizes.append(rows.agg(F.length(F.kll_sketch_agg_double("value", F.lit(S.SKETCH_SIZE))).alias("n")).first().n)
+        points = rows.select(F.col("ts").alias("collected_at"), F.col("value").alias("account_id"), F.lit("N").alias("namespace"))
+        got, want = ({r.window_start: r for r in f(points).collect()} for f in (S.recent_window_sketched, S.recent_window))
+        assert got.keys() == want.keys()
+        for start, r in got.items():
+            assert r.points == n and r.namespaces == 1 and abs(r.accounts / want[start].accounts - 1) < 0.05
+    assert sizes[1] < 2 * sizes[0]
+    short = rows.limit(50)
+    assert S.sketched_percentile(short, ("account_id",)).first().value == S.tumbling_metrics(short, ("account_id",)).filter("statistic = 'p95'").first().value
+    assert S.sketched_percentile(rows.limit(0), ("account_id",)).count() == 0
