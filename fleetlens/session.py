@@ -76,10 +76,26 @@ def materialize(df, label: str, outer: bool = False, **options):
     scopes = _SCOPES.get()[: -1 if outer else None]
     if scopes:
         scopes[-1].append(path)
-    df.write.mode("errorifexists").options(**options).parquet(path)
+    with _swept(df.sparkSession):
+        df.write.mode("errorifexists").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def _swept(spark: SparkSession):
+    """Writes in the block delete their shuffle files when they are done, not when the driver happens to collect its garbage.
+
+    Not for other actions: what Python fetches piece by piece may still need them.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession):
     """A block whose materialised tables are deleted at its end.
