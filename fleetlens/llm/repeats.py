@@ -18,14 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import NULL_ID, buckets_for, buffers, few, ids_column, slices, text_rows
+from fleetlens.llm.common import NULL_ID, buckets_for, buffers, ids_column, slices, text_rows
 from fleetlens.llm.parse import PIECE, SPAN, parse
 from fleetlens.session import materialize
 
-#: Bytes in a broadcast side at most; beyond it the texts are shuffled instead.
-BROADCAST_BYTES = 64 << 20
-#: Bytes that a row of such a side takes besides its lists.
-ROW_BYTES = 64
 LISTS = {
     "ids": np.int64, "counts": np.uint32, "starts": np.uint32, "ends": np.uint32, "widths": np.uint8,
     "triggers": np.uint32, "phrases": np.uint64, "lefts": np.uint16, "rights": np.uint16,
@@ -256,7 +252,6 @@ def window_repeats(docs: DataFrame, plan: DataFrame, buckets: int) -> DataFrame:
         return pa.table({"doc_id": pa.array(d[first]), "starts": s, "ends": e})
 
     asked = plan.filter(F.octet_length("ask_widths") > 0).select("doc_id", "ask_starts", "ask_widths", "ask_triggers")
-    asked = few(asked, BROADCAST_BYTES, F.octet_length("ask_widths") * 9 + ROW_BYTES)
     texts = docs.join(asked, "doc_id").select("doc_id", "text", "ask_starts", "ask_widths", "ask_triggers")
     sent = texts.mapInArrow(send, "bucket long, ids binary, starts binary, widths binary, data binary")
     return sent.groupBy("bucket").applyInArrow(meet, "doc_id long, starts array<int>, ends array<int>")
@@ -272,8 +267,8 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
 
 
 def with_ranges(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``doc_id, text, starts, ends`` of every row; null lists where nothing repeats."""
-    return docs.join(few(found, BROADCAST_BYTES, F.size("starts") * 8 + ROW_BYTES), "doc_id", "left").select("doc_id", "text", "starts", "ends")
+    """``doc_id, text, starts, ends`` of every row; null lists where nothing repeats.  The texts are shuffled by id."""
+    return docs.join(found, "doc_id", "left").select("doc_id", "text", "starts", "ends")
 
 
 def kept_pieces(raw: np.ndarray, starts, ends) -> tuple[list[np.ndarray], int, int]:

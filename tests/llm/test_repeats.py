@@ -83,14 +83,13 @@ def test_edges(spark):
     by = {r.doc_id: r for r in rows}
     assert by[1].n_bytes == by[2].n_bytes == 0 and by[1].kept_sha256 == hashlib.sha256(b"").hexdigest()
     # the long text but for its end is a repeat; the null id neither takes nor gives
-    assert by[7].n_removed == by[6].n_bytes and by[6].n_spans == 0 or by[6].n_removed == 0
+    assert by[7].n_removed == by[6].n_bytes and by[6].n_removed == by[6].n_spans == 0
     assert by[None].n_removed == 0 and by[10].n_removed == 0 and by[11].n_removed > 0
     assert sum(r.doc_id == 8 for r in rows) == 2 and by[8].n_removed == 0
     assert repeats.remove_repeats(empty(spark)).count() == 0
 
 
-def test_shuffled_join_gives_the_same(spark, monkeypatch):
+def test_partitions_make_no_difference(spark):
     source = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
-    want = got(source)
-    monkeypatch.setattr(repeats, "BROADCAST_BYTES", 0)
-    assert got(source) == want
+    want = got(source.coalesce(1))
+    assert got(source.repartition(7)) == want
