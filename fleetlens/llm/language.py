@@ -3,60 +3,97 @@
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from fleetlens.llm.common import col, fresh, held_out
+from fleetlens.session import materialize
 
 #: Documents per language (expected) from which a model learns; more labelled rows are sampled by hash.
 SAMPLE_DOCS = 3000
-#: Words per language that a model keeps, the most frequent first.
-WORDS = 30_000
+#: Documents of all languages together from which a model learns; with many languages each has fewer.
+SAMPLE_TOTAL = 60_000
 #: n-grams that unseen words fall back to, longest first.
 GRAMS = (5, 4, 3, 2, 1)
-#: Languages that a model may tell apart.
-LANGUAGES = 200
 #: Largest total weight of a document's evidence, in nats per unit of its mean score.
 EVIDENCE = 12.0
+#: Words that a task remembers the scores of, and texts that it scores at once.
+REMEMBERED, TEXTS_AT_ONCE = 200_000, 256
+#: Spark's seed of its 64-bit hash.
+SEED = 42
 NONE = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+class Table:
+    """Log frequencies by language of the words, or of the n-grams of one length, as sorted 64-bit hashes.
+
+    A key holds only the languages it was seen in; the smoothed value of all
+    others is ``rest``.
+    """
+
+    def __init__(self, keys: np.ndarray, langs: np.ndarray, counts: np.ndarray, size: int):
+        total = np.bincount(langs, weights=counts, minlength=size)
+        order = np.lexsort((langs, keys))
+        self.keys, starts = np.unique(keys[order], return_index=True)
+        self.starts = np.r_[starts, len(keys)].astype(np.int64)
+        base = np.log(total + 0.5 * max(1, len(self.keys)))
+        self.rest = np.log(0.5) - base
+        self.langs = langs[order].astype(np.int32)
+        self.more = (np.log(counts[order] + 0.5) - np.log(0.5)).astype(np.float64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of every key, -1 where there is none."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def add(self, into: np.ndarray, rows: np.ndarray, at: np.ndarray, weight: np.ndarray) -> None:
+        """Add the values at ``at`` to the given rows of ``into``, times a weight."""
+        n = self.starts[at + 1] - self.starts[at]
+        entry = np.repeat(self.starts[at] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        np.add.at(into, (np.repeat(rows, n), self.langs[entry]), self.more[entry] * np.repeat(weight, n))
+        np.add.at(into, rows, self.rest * weight[:, None])
+
+
+def hashes(texts: list[str]) -> np.ndarray:
+    """64-bit hashes as Spark's ``xxhash64`` gives them."""
+    return np.fromiter((xxh64_intdigest(t.encode(), SEED) for t in texts), np.uint64, len(texts)).view(np.int64)
+
+
 class Model:
-    """Log probabilities by language of words and of letter n-grams; bounded by the parameters above."""
-
-    def __init__(self, counts: dict[str, dict[str, int]], grams: tuple[int, ...] = GRAMS):
-        self.languages = sorted(counts)
-        self.grams = grams
-        size = len(self.languages)
-        by_word: dict[str, np.ndarray] = {}
-        by_gram: dict[int, dict[str, np.ndarray]] = {n: {} for n in grams}
-        for i, lang in enumerate(self.languages):
-            for word, count in counts[lang].items():
-                by_word.setdefault(word, np.zeros(size))[i] += count
-                for n in grams:
-                    for gram in cut(word, n):
-                        by_gram[n].setdefault(gram, np.zeros(size))[i] += count
-        self.words = logs(by_word, size)
-        self.by_gram = {n: logs(by_gram[n], size) for n in grams}
-        self.unknown = np.zeros(size)
-
-    def score(self, word: str) -> np.ndarray:
-        """Log probability of ``word`` in each language, less their mean."""
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        for n in self.grams:
-            table = self.by_gram[n]
-            found = [table[g] for g in cut(word, n) if g in table]
-            if found:
-                return sum(found) / len(found)
-        return self.unknown
+    """Log probabilities by language of words and of letter n-grams; as large as its sample of documents."""
+
+    def __init__(self, languages: list[str], words: tuple, grams: dict[int, tuple]):
+        """``words`` and ``grams`` of each length: hashes, numbers of their languages, counts."""
+        self.languages = languages
+        self.words = Table(*words, len(languages))
+        self.by_gram = {n: Table(*columns, len(languages)) for n, columns in grams.items()}
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """Log probability of each word in each language, up to a number per word; zeros if nothing of it is known."""
+        out = np.zeros((len(words), len(self.languages)))
+        at = self.words.find(hashes(words))
+        known = np.flatnonzero(at >= 0)
+        self.words.add(out, known, at[known], np.ones(len(known)))
+        left = np.flatnonzero(at < 0)
+        for n, table in self.by_gram.items():
+            if not len(left):
+                break
+            grams = [cut(words[i], n) for i in left]
+            owner = np.repeat(left, [len(g) for g in grams])
+            at = table.find(hashes([g for own in grams for g in own]))
+            owner, at = owner[at >= 0], at[at >= 0]
+            found = np.bincount(owner, minlength=len(words))
+            table.add(out, owner, at, 1 / found[owner])
+            left = left[found[left] == 0]
+        return out
 
 
 def cut(word: str, n: int) -> list[str]:
@@ -66,66 +103,90 @@ def cut(word: str, n: int) -> list[str]:
     return [word[i : i + n] for i in range(len(word) - n + 1)]
 
 
-def logs(counts: dict[str, np.ndarray], size: int) -> dict[str, np.ndarray]:
-    """Smoothed log frequencies, centred over the languages."""
-    total = np.sum(list(counts.values()), axis=0) if counts else np.zeros(size)
-    base = np.log(total + 0.5 * max(1, len(counts)))
-    out = {}
-    for key, value in counts.items():
-        p = np.log(value + 0.5) - base
-        out[key] = p - p.mean()
-    return out
-
-
-def learn(docs: DataFrame, where: Column, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = SAMPLE_DOCS, words: int = WORDS) -> Model:
-    """A model from the labelled rows that satisfy ``where``.
-
-    Whole texts of about ``sample`` rows per language, picked by a hash of the
-    id; words are counted by Spark and only the ``words`` most frequent of each
-    language reach the driver.
+class Predictor:
+    """Predicts texts a slice at a time; scores of words are remembered up to a limit."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.place: dict[str, int] = {}
+        self.known = np.empty((0, len(model.languages)))
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        new = sorted(set(words) - self.place.keys())
+        if new:
+            if len(self.place) + len(new) > REMEMBERED:
+                self.place.clear()
+                self.known = self.known[:0]
+                new = sorted(set(words))
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+            self.known = np.concatenate([self.known, self.model.scores(new)])
+        return np.array([self.place[w] for w in words], np.int64)
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """Predicted language and its probability for each text."""
+        names, scores = [NONE] * len(texts), np.zeros(len(texts))
+        for first in range(0, len(texts) if self.model.languages else 0, TEXTS_AT_ONCE):
+            words = [LETTERS.findall(t.lower()) if t else [] for t in texts[first : first + TEXTS_AT_ONCE]]
+            rows = np.repeat(np.arange(len(words)), [len(w) for w in words])
+            if not len(rows):
+                continue
+            # each word of a text once, with how often it occurs there
+            row, place, n = counted(rows, self._places([w for own in words for w in own]))
+            total = np.bincount(row, weights=n, minlength=len(words))
+            told = np.flatnonzero(total)
+            sums = np.add.reduceat(self.known[place] * n[:, None], np.searchsorted(row, told), axis=0)
+            mean = sums / total[told, None]
+            mean = (mean - mean.max(axis=1, keepdims=True)) * np.minimum(EVIDENCE, total[told])[:, None]
+            # values that differ by rounding alone are equal, and the first language in order is taken
+            best = np.argmax(mean >= -1e-9, axis=1)
+            scores[first + told] = 1 / np.exp(mean).sum(axis=1)
+            for i, b in zip(told, best, strict=True):
+                names[first + i] = self.model.languages[b]
+        return names, scores
+
+
+def counted(rows: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs, sorted, and how often each occurs."""
+    order = np.lexsort((places, rows))
+    rows, places = rows[order], places[order]
+    first = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (places[1:] != places[:-1])])
+    return rows[first], places[first], np.diff(np.r_[first, len(rows)]).astype(float)
+
+
+def learn(
+    docs: DataFrame, where: Column, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = SAMPLE_DOCS, sample_total: int = SAMPLE_TOTAL
+) -> Model:
+    """A model of every language among the labelled rows that satisfy ``where``.
+
+    Whole texts of about ``sample`` rows per language, ``sample_total`` in all,
+    picked by a hash of the id.  Spark counts all their words and n-grams; the
+    counts, as large as the sample, make the model on the driver.
     """
     rows = docs.filter(where & col(lang_col).isNotNull() & col(text_col).isNotNull()).select(
         col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"), F.xxhash64(col(id_col).cast("string")).alias("draw")
     )
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return Model({})
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, sample / r["n"]))])
-    picked = rows.filter(F.pmod("draw", F.lit(1_000_003)) < F.element_at(share, F.col("lang")) * 1_000_003)
-    found = (
-        picked.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
-        .filter("word <> ''")
-        .groupBy("lang", "word")
-        .agg(F.count("*").alias("n"))
-    )
-    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("rank") <= words)
-    by_lang: dict[str, dict[str, int]] = defaultdict(dict)
-    for lang, word, n in best.select("lang", "word", "n").toLocalIterator():
-        by_lang[lang][word] = n
-    for r in counts:
-        by_lang.setdefault(r["lang"], {})
-    return Model(dict(by_lang))
-
-
-def predict_text(model: Model, text: str | None, memo: dict[str, np.ndarray]) -> tuple[str, float]:
-    """Predicted language and its probability."""
-    found = Counter(LETTERS.findall(text.lower())) if text else None
-    if not found or not model.languages:
-        return NONE, 0.0
-    vectors = []
-    for word in found:
-        v = memo.get(word)
-        if v is None:
-            v = model.score(word)
-            if len(memo) < 300_000:
-                memo[word] = v
-        vectors.append(v)
-    weight = np.fromiter(found.values(), float, len(found))
-    total = weight.sum()
-    mean = weight @ np.asarray(vectors) / total
-    mean = (mean - mean.max()) * min(EVIDENCE, total)
-    best = int(np.argmax(mean))
-    return model.languages[best], float(1 / np.exp(mean).sum())
+    # one row per language
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    languages = sorted(r["lang"] for r in counts)
+    if not languages:
+        none = np.empty(0, np.int64)
+        return Model([], (none, none, none), {n: (none, none, none) for n in GRAMS})
+    each = min(sample, max(1, sample_total // len(languages)))
+    number = {lang: i for i, lang in enumerate(languages)}
+    shares = docs.sparkSession.createDataFrame([(r["lang"], number[r["lang"]], min(1.0, each / r["n"])) for r in counts], "lang string, number long, share double")
+    picked = rows.join(shares, "lang").filter(F.pmod("draw", F.lit(1_000_003)) < F.col("share") * 1_000_003)
+    words = picked.select("number", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("key")).filter("key <> ''")
+    words = materialize(words.groupBy("number", "key").agg(F.count("*").alias("n")), "words")
+    found = {0: words}
+    for n in GRAMS:
+        marked = words.withColumn("key", F.concat(F.lit("<"), "key", F.lit(">"))) if n > 1 else words
+        found[n] = marked.filter(F.char_length("key") >= n).select("number", F.explode(F.expr(f"transform(sequence(1, char_length(key) - {n - 1}), i -> substring(key, i, {n}))")).alias("key"), "n")
+    columns = {}
+    for n, table in found.items():
+        # numbers only: eight bytes a key, whatever its length
+        got = table.groupBy("number", F.xxhash64("key").alias("hash")).agg(F.sum("n").alias("n")).toArrow()
+        columns[n] = tuple(got.column(c).to_numpy() for c in ("hash", "number", "n"))
+    return Model(languages, columns.pop(0), columns)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,16 +195,16 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     ``score`` is the probability of the predicted language.  Null text, text
     without a letter and an empty model give ``und`` and 0; ties go to the
     language first in order; repeated rows are predicted each; other columns
-    are ignored; an empty table gives no rows.  The model is bounded by its
-    parameters and sent to the executors once.
+    are ignored; an empty table gives no rows.  The model is as large as its
+    sample of documents and sent to the executors once.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict[str, np.ndarray] = {}
+        predictor = Predictor(shared.value)
         for frame in frames:
-            found = [predict_text(shared.value, text, memo) for text in frame["text"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "held_out": frame["held_out"], "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]})
+            names, scores = predictor(frame["text"].tolist())
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "held_out": frame["held_out"], "lang_pred": names, "score": scores})
 
     rows = docs.select(col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), col(text_col).cast("string").alias("text"))
     return rows.mapInPandas(work, "doc_id long, held_out boolean, lang_pred string, score double")
@@ -154,13 +215,13 @@ def identify(docs: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
     return predict(docs, learn(docs, ~held_out(id_col), id_col=id_col, **settings), id_col)
 
 
-def told(model: Model, text: str | None, memo: dict[str, np.ndarray], least: float) -> bool:
-    """Whether a text has a letter and a language that is told with more than an equal chance, and with ``least``."""
-    if not model.languages:
-        return bool(text and LETTERS.search(text))
-    lang, score = predict_text(model, text, memo)
-    even = 1 / len(model.languages)
-    return lang != NONE and score >= least and (len(model.languages) == 1 or score > even + 1e-9)
+def told(predictor: Predictor, texts: list[str | None], least: float) -> list[bool]:
+    """Whether each text has a letter and a language that is told with more than an equal chance, and with ``least``."""
+    languages = predictor.model.languages
+    if not languages:
+        return [bool(text and LETTERS.search(text)) for text in texts]
+    even = 1 / len(languages)
+    return [lang != NONE and score >= least and (len(languages) == 1 or score > even + 1e-9) for lang, score in zip(*predictor(texts), strict=True)]
 
 
 def keep_known(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -172,11 +233,12 @@ def keep_known(docs: DataFrame, least: float = 0.0, id_col: str = "doc_id", text
     to learn, or none, every text with a letter stays.
     """
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, ~held_out(id_col), id_col=id_col, text_col=text_col))
-    memo: dict[str, np.ndarray] = {}
 
     @F.pandas_udf("boolean")
-    def known(texts: pd.Series) -> pd.Series:
-        return pd.Series([told(model.value, text, memo, least) for text in texts], dtype=bool)
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predictor = Predictor(model.value)
+        for texts in batches:
+            yield pd.Series(told(predictor, texts.tolist(), least), dtype=bool)
 
     mark = fresh(docs.columns, "known")[0]
     return docs.withColumn(mark, known(col(text_col).cast("string"))).filter(col(mark)).drop(mark)
