@@ -27,8 +27,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
-    # a plan's shuffle files go when it has run, not when the driver happens to collect its garbage
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     # a union that keeps its sides' partitioning fails where adaptive execution has merged partitions of one side only
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     root = os.path.dirname(os.path.dirname(os.path.abspath(fleetlens.__file__)))

@@ -30,8 +30,8 @@ MISSED = 1e-10
 CLASS_RATIO = 1.3
 #: Fragments in which overlaps are counted.
 COUNT_BITS = 3
-#: Bits of the parity sketch that rules out pairs before their overlap is counted.
-SKETCH_BITS = 9
+#: Least bits of the parity sketch that rules out pairs before their overlap is counted; larger sets have about a bit per n-gram.
+SKETCH_BITS = 512
 #: Members of a signature that the others are compared with, one after the other, before all pairs are.
 LEADERS = 3
 
@@ -119,18 +119,18 @@ def set_starts(row: np.ndarray, n: int) -> np.ndarray:
 
 def profiles(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, node, n, sketch`` of every row of ``docs`` (doc_id, text)."""
-    bits = 1 << SKETCH_BITS
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, raw, at in slices(batches):
             row, value = shingle_sets(raw, at, width)
-            n = len(ids)
-            odd = np.bincount(row * bits + (value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=n * bits) & 1
-            sketch = np.packbits(odd.astype(np.uint8).reshape(n, bits), axis=1).view(np.int64)
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, sketch.size + 1, bits // 64, dtype=np.int32)), pa.array(sketch.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [ids_column(ids), pa.array(node_ids(row, value, n)), pa.array(np.bincount(row, minlength=n).astype(np.int64)), flat], names=["doc_id", "node", "n", "sketch"]
-            )
+            n = np.bincount(row, minlength=len(ids)).astype(np.int64)
+            bits = np.left_shift(1, np.ceil(np.log2(np.maximum(n, SKETCH_BITS))).astype(np.int64))
+            start = np.r_[0, np.cumsum(bits)]
+            place = start[row] + (value & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+            odd = np.bincount(place, minlength=start[-1]) & 1
+            sketch = np.packbits(odd.astype(np.uint8)).view(np.int64)
+            flat = pa.ListArray.from_arrays(pa.array((start // 64).astype(np.int32)), pa.array(sketch))
+            yield pa.RecordBatch.from_arrays([ids_column(ids), pa.array(node_ids(row, value, len(ids))), pa.array(n), flat], names=["doc_id", "node", "n", "sketch"])
 
     return docs.mapInArrow(work, "doc_id long, node long, n long, sketch array<long>")
 
@@ -218,11 +218,19 @@ def stars(docs: DataFrame, width: int, cut: Cut, buckets: int) -> DataFrame:
 def close_enough(cut: Cut) -> Column:
     """False for pairs (na, nb, sa, sb) whose sizes or sketches rule them out.
 
-    A bit of a sketch is the parity of the n-grams in its range, so the bits
-    in which two sketches differ count no more than the n-grams that do.
+    A bit of a sketch is the parity of the n-grams that fall on it, so the bits
+    in which two sketches differ count no more than the n-grams that do.  Sets of
+    similar size have sketches of one length, or one is twice as long and folds
+    to the other's: parities of its two halves add up.
     """
     low, high = F.least("na", "nb"), F.greatest("na", "nb")
-    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
+    width = F.least(F.size("sa"), F.size("sb"))
+
+    def folded(sketch: str) -> Column:
+        halves = F.zip_with(F.slice(sketch, F.lit(1), width), F.slice(sketch, width + 1, width), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(sketch) > width, halves).otherwise(F.col(sketch))
+
+    apart = F.aggregate(F.zip_with(folded("sa"), folded("sb"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
     return (low * 100 >= high * cut.percent) & (apart * (100 + cut.percent) <= (F.col("na") + F.col("nb")) * (100 - cut.percent))
 
 
