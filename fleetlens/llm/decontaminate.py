@@ -132,7 +132,8 @@ def _row(doc_id: int, text: bytes, n_words: int, runs: list[list[int]], names) -
 
 def item_groups(benchmark: DataFrame, id_col: str, text_col: str, words_each: int) -> Iterator[list[tuple[str | None, str]]]:
     """The items in groups of at most ``words_each`` words, one group at a time; a longer item is a group of its own."""
-    rows = benchmark.select(col(id_col).cast("string").alias("name"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text")).distinct()
+    rows = benchmark.select(col(id_col).cast("string").alias("name"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = materialize(rows.distinct(), "items")
     group: list = []
     room = words_each
     for row in rows.toLocalIterator():

@@ -26,9 +26,33 @@ def test_stages_in_turn(spark, tmp_path):
 
 
 def test_edges(spark):
-    for docs in (edges(spark), empty(spark)):
-        for name, stage in corpus_pipeline.STAGES[:-1]:
-            out = stage(spark, docs, SF)
-            assert out.columns == docs.columns
-            docs = out
-        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= 0
+    """Nulls, empty and long texts, repeats and clashing names through every stage; the kept rows are told by hand."""
+    want = {
+        # texts without a letter go; rows 10 and 11 and both rows 8 are exact copies
+        "language": ["4", "5", "6", "7", "8", "8", "None", "10", "11"],
+        "exact_dedup": ["4", "5", "6", "7", "8", "11"],
+        # 7 is 6 with one more word
+        "ngram_jaccard": ["4", "5", "6", "8", "11"],
+    }
+    docs = edges(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, docs = docs, stage(spark, docs, SF)
+        assert docs.columns == before.columns
+        ids = [str(r.doc_id) for r in docs.collect()]
+        if name in want:
+            assert sorted(ids) == sorted(want[name]), name
+        assert set(ids) <= {str(r.doc_id) for r in before.collect()}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    # every kept document whole, in pieces that follow one another
+    assert {r.doc_id for r in packed} == {r.doc_id for r in docs.collect()}
+    for doc_id in {r.doc_id for r in packed}:
+        own = sorted((r.piece, r.start, r.length) for r in packed if r.doc_id == doc_id)
+        assert [p for p, *_ in own] == list(range(len(own)))
+        assert all(a[1] + a[2] == b[1] for a, b in zip(own, own[1:]))
+
+
+def test_empty_tables(spark):
+    docs = empty(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, SF).columns == docs.columns and stage(spark, docs, SF).count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
