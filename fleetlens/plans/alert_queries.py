@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetlens.operators import alerts
+from fleetlens.operators.severity_index import classify_by_index
 from fleetlens.plans.model import AS_OF, METRIC_OF, MODEL, NAMESPACE_OF, S, STATE_OF, padded
 from fleetlens.plans.registry import query
 
@@ -45,6 +46,10 @@ query("R1_classify_severity", "SELECT id, namespace, severity FROM {_classified}
     lambda t: alerts.classify_severity(t["alarms"], t["notification_rules"]).select("id", "namespace", "severity")
 )
 
+query("R1_severity_index", "SELECT id, namespace, severity FROM {_classified}")(
+    lambda t: classify_by_index(t["alarms"], t["notification_rules"]).select("id", "namespace", "severity")
+)
+
 MODEL.raw(
     "_failing",
     """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.operators import alerts as R
 from fleetlens.operators import upsert as U
+from fleetlens.operators.severity_index import classify_by_index
 from fleetlens.streaming import alerts as A
 
 T0 = dt.datetime(2024, 1, 1)
@@ -39,6 +40,29 @@ def test_rule_bounds(spark, metric, threshold, want):
     assert R.classify_severity(other, rules).first().severity == "Medium"
 
 
+def test_interval_index_equals_rules(spark):
+    """3 000 rules with open, closed, single-point and empty ranges; thresholds on, between and beyond their bounds."""
+    rng = random.Random(11)
+    bound = lambda: rng.choice([None, float(rng.randrange(60)), rng.randrange(600) / 10])
+    rules = [(i, rng.choice("AB"), rng.choice([None, "m", "n"]), bound(), bound(), f"S{i}", rng.random() < 0.7) for i in range(3000)]
+    # with that many rules the first ones win nearly everywhere, so half of the tables is small
+    small = [(i, "C", rng.choice([None, "m"]), lo, lo + rng.choice([0.0, 0.5, 3.0, -1.0]), f"S{i}", True) for i, lo in enumerate(rng.randrange(60) * 1.0 for _ in range(12))]
+    rules += [(10_000 + r[0], *r[1:]) for r in small]
+    values = [None, -1.0, 1e9] + [v for k in range(60) for v in (float(k), k + 0.25)]
+    alarms = [(i, n, m, v, "x") for i, (n, m, v) in enumerate((n, m, v) for n in "ABCD" for m in (None, "m", "n", "z") for v in values)]
+    alarms = spark.createDataFrame(alarms, "id long, namespace string, metric_name string, threshold double, severity string")
+    for subset in (rules, [r for r in rules if r[0] >= 10_000], []):
+        frame = spark.createDataFrame(subset, RULE_DDL)
+        got = {r.id: r.severity for r in classify_by_index(alarms, frame).collect()}
+        for a in alarms.collect():
+            fits = [
+                r for r in subset
+                if r[6] and r[1] == a.namespace and (r[2] is None or r[2] == a.metric_name)
+                and (a.threshold is None or ((r[3] is None or a.threshold >= r[3]) and (r[4] is None or a.threshold <= r[4])))
+            ]
+            assert got[a.id] == (min(fits)[5] if fits else "Medium")
+
+
 @pytest.mark.parametrize("statuses, want", [("FFF", 1), ("PFFF", 1), ("FFP", 0), ("FF", 0), ("FPFF", 0)])
 def test_consecutive_failures(spark, statuses, want):
     rows = [(1, i, at(i), {"F": "FAILED", "P": "PASSED"}[s]) for i, s in enumerate(statuses)]
