@@ -10,17 +10,32 @@ from fleetlens.session import materialize
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; texts without a letter go, and those without any evidence for a language."""
+    """Documents whose language is told; texts without a letter go, and those without any evidence for a language.
+
+    Null and empty texts have no letter, so they go.  Rows that repeat an id are
+    judged each by itself; without labels every text with a letter stays; an
+    empty table gives no rows.
+    """
     return language.keep_known(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts.
+
+    Texts are equal without their blanks; the longest stays, then the smallest
+    id, a null id last.  A null text is an empty one.  A row that repeats an id
+    and text stays once; an empty table gives no rows.
+    """
     return exact.drop_exact(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 0.8 or more on five-word shingles."""
+    """One document of each group linked by a Jaccard similarity of 0.8 or more on five-word shingles.
+
+    The one with the group's smallest id stays.  Texts without a word (null,
+    empty) link with nothing and stay, rows with a null id stay too; an empty
+    table gives no rows.
+    """
     return jaccard.keep_first(docs)
 
 
@@ -30,12 +45,18 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The budget is 75 percent of all tokens (``mixing.BUDGET_PERCENT``), so
     about a quarter goes at every size; ``mixing.WEIGHTS`` deals it out: web 5,
     books 3, forum 2; en 6, fr 2, de 2, es 1; src0 2; any other node 1.
+    A null language or source is a node of its own, texts without a token come
+    along in their place, an empty table gives no rows.
     """
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in sequences of 2048 tokens."""
+    """Where each piece of each document lies in sequences of 2048 tokens.
+
+    A null text is an empty one (its end id alone); rows that repeat an id are
+    packed each; an empty table gives no rows.
+    """
     return packing.pack(docs)
 
 
