@@ -27,6 +27,7 @@ HEADLINE = (
     "R2_consecutive_failures",
     "R6_rate_limit",
     "S6_upsert_partial",
+    "S1_read_payloads",
     "S9_write_timeseries",
     "C3_cost_report_monthly",
     "C7_finding_rollup",

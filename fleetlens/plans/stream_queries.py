@@ -220,6 +220,30 @@ query(
     )
 )
 
+
+
+@query(
+    "M8_purge_stored",
+    f"""
+    WITH points AS (SELECT DISTINCT {_POINT_KEY} FROM {{cloudwatch_metrics}}),
+    edge AS (SELECT max(collected_at) - INTERVAL 15 DAY AS limit_at FROM points)
+    SELECT count(*) FILTER (collected_at < limit_at) AS deleted, count(*) FILTER (collected_at >= limit_at) AS left_over, 0 AS deleted_again,
+      count(*) FILTER (collected_at >= limit_at + INTERVAL 10 DAY) AS recent
+    FROM points, edge
+    """,
+)
+def purged(t):
+    """Retention on a stored table: whole weeks go, the one at the edge is rewritten, and a second run finds nothing."""
+    spark, path = t["events"].sparkSession, shared_dir(t["events"].sparkSession, "purged")
+    points = t["cloudwatch_metrics"]
+    ts.write_timeseries(points, path, ("id",))
+    as_of = points.agg(F.max("collected_at")).first()[0]
+    deleted, again = ts.purge(spark, path, as_of, 15), ts.purge(spark, path, as_of, 15)
+    recent = ts.read_since(spark, path, as_of - dt.timedelta(days=5)).agg(F.count("*").alias("recent"))
+    left = ts.read_timeseries(spark, path).agg(F.count("*").alias("left_over"))
+    return left.join(recent, F.lit(True)).select(F.lit(deleted).alias("deleted"), "left_over", F.lit(again).alias("deleted_again"), "recent")
+
+
 # T1 - T7 -------------------------------------------------------------------
 
 
