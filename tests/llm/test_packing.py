@@ -77,3 +77,40 @@ def test_shards_and_loose_sequences(spark, monkeypatch):
     used = check_places(got, 1024)
     assert len({(r.doc_id, r.piece) for r in got}) == len(got)
     assert used <= 1.05 * sum(r.length for r in got) / 1024 + 2
+
+
+def fewest(lengths, capacity):
+    """The least number of bins, over all subsets of the items: (bins, room used in the last one) of each subset."""
+    n = len(lengths)
+    best = [(1, 0)] + [None] * ((1 << n) - 1)
+    for subset in range(1, 1 << n):
+        options = []
+        for i in range(n):
+            if subset >> i & 1:
+                bins, used = best[subset ^ (1 << i)]
+                options.append((bins, used + lengths[i]) if used + lengths[i] <= capacity else (bins + 1, lengths[i]))
+        best[subset] = min(options)
+    return best[-1][0]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_as_few_as_possible_on_small_cases(seed):
+    rng = np.random.default_rng(seed)
+    lengths = rng.integers(220, 480, 12)
+    found = min(packing.fitness(packing.evolve(lengths, 1000, island, [], generations=200), lengths, 1000)[0] for island in range(8))
+    assert found == fewest(lengths.tolist(), 1000)
+
+
+def test_islands_need_fewer_sequences_than_best_fit(spark):
+    """Lengths of a quarter to under a half of a sequence: best-fit decreasing is off the bound, and evolution with migration is nearer."""
+    rng = np.random.default_rng(9)
+    lengths = rng.integers(250, 450, 600)
+    plain = np.empty(len(lengths), np.int64)
+    first = packing.best_fit(lengths.tolist(), np.argsort(-lengths, kind="stable").tolist(), plain, packing.Bins(1000), 0)
+    items = spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "row long, length int")
+    rows = packing.pack_lengths(items, 1000, label="test").collect()
+    assert sorted(r.row for r in rows) == list(range(600))
+    fill = {}
+    for r in rows:
+        fill[r.shard, r.bin] = fill.get((r.shard, r.bin), 0) + int(lengths[r.row])
+    assert max(fill.values()) <= 1000 and len(fill) < first
