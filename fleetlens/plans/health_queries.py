@@ -17,18 +17,18 @@ MODEL.raw(
 MODEL.raw(
     "_alarm_health",
     """
-    SELECT l.product_id, count(*) AS alarm_total, sum(CASE WHEN x.state = 'OK' THEN 1 ELSE 0 END) AS alarm_ok,
-      sum(CASE WHEN x.state = 'INSUFFICIENT_DATA' THEN 1 ELSE 0 END) AS alarm_warning,
-      sum(CASE WHEN x.state = 'ALARM' THEN 1 ELSE 0 END) AS alarm_critical
+    SELECT l.product_id, count(*) AS alarm_total, count(*) FILTER (x.state = 'OK') AS alarm_ok,
+      count(*) FILTER (x.state = 'INSUFFICIENT_DATA') AS alarm_warning,
+      count(*) FILTER (x.state = 'ALARM') AS alarm_critical
     FROM {alarms} x JOIN {product_accounts} l USING (account_id) GROUP BY l.product_id
     """,
 )
 MODEL.raw(
     "_finding_health",
     """
-    SELECT l.product_id, coalesce(sum(s.critical_count), 0) AS security_findings_critical,
-      coalesce(sum(s.high_count), 0) AS security_findings_high,
-      coalesce(sum(s.medium_count), 0) AS security_findings_medium
+    SELECT l.product_id, sum(ifnull(s.critical_count, 0)) AS security_findings_critical,
+      sum(ifnull(s.high_count, 0)) AS security_findings_high,
+      sum(ifnull(s.medium_count, 0)) AS security_findings_medium
     FROM {security} s JOIN {product_accounts} l USING (account_id) GROUP BY l.product_id
     """,
 )
