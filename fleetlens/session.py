@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
+import gc
 import os
 import re
 import tempfile
@@ -112,3 +113,6 @@ def scratch(spark: SparkSession):
         for path in paths:
             place = spark._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        # Spark lets go of a plan's broadcasts and shuffle files when the driver collects its garbage, which a driver at rest may not do for long
+        gc.collect()
+        spark._jvm.System.gc()
