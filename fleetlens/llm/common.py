@@ -15,7 +15,7 @@ import fleetlens
 from fleetlens.session import configure
 
 #: Rows up to which the driver lets a side be broadcast; beyond it the same join shuffles.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 100_000
 #: Stands for a null id inside numpy arrays.
 NULL_ID = -(1 << 63)
 #: Bytes of text that a Python task works on at once.
