@@ -8,6 +8,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +28,12 @@ SPILL = 0.5
 BLOCK = 1024
 #: Pairs whose common leaves are looked up at once.
 PAIRS_AT_ONCE = 20_000
-#: Lengths whose directions a task keeps.
-LENGTHS = 16
+#: Vectors of each length, and of each dense leaf, that splits are learned from.
+SAMPLE, LEAF_SAMPLE = 20_000, 4096
+#: Learned vectors that a node needs to be split; times ``leaf`` that make a leaf dense; levels of a tree at most.
+FEWEST, DENSE, LEVELS = 32, 4, 48
+#: Lines of (tree, length) that a process keeps.
+LINES = 256
 SEED = 29
 
 
@@ -37,6 +43,7 @@ def usable(vector: str = "vector"):
     return F.coalesce(F.col(vector).isNotNull() & ~bad & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
+@lru_cache(LINES)
 def directions(tree: int, depth: int, size: int) -> np.ndarray:
     """The unit vectors along which a tree splits, one per level."""
     out = np.random.default_rng([SEED, tree, size]).standard_normal((depth, size))
@@ -49,52 +56,112 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
+def margin_of(size: int, cosine: float) -> float:
+    """Half the width of the strip around a split whose vectors go to both halves."""
+    return SPILL * math.sqrt(2 - 2 * cosine) / math.sqrt(size)
+
+
+def fit(x: np.ndarray, number: int, tree: int, share: float, leaf: int, margin: float) -> dict[int, float]:
+    """Splits below node ``number`` learned from some of its vectors: the median of each node that is split.
+
+    ``share`` is how many vectors of the node each given one stands for.  A node
+    is split while it stands for more than ``leaf`` vectors, has enough of the
+    given ones to tell a median, and its middle half is wider than the strip.
+    """
+    lines, splits, todo = directions(tree, LEVELS, x.shape[1]), {}, [(number, np.arange(len(x)))]
+    while todo:
+        number, rows = todo.pop()
+        level = number.bit_length() - 1
+        if len(rows) * share <= leaf or len(rows) < FEWEST or level >= LEVELS:
+            continue
+        along = x[rows] @ lines[level]
+        low, middle, high = np.quantile(along, [0.25, 0.5, 0.75])
+        if high - low <= 2 * margin:
+            continue
+        splits[number] = float(middle)
+        todo += [(2 * number, rows[along <= middle + margin]), (2 * number + 1, rows[along > middle - margin])]
+    return splits
+
+
+def descend(x: np.ndarray, number: int, tree: int, splits: dict[int, float], margin: float) -> Iterator[tuple[int, np.ndarray]]:
+    """``(node, rows)`` of every node below ``number`` that is not split and holds some of the rows."""
+    lines, todo = directions(tree, LEVELS, x.shape[1]), [(number, np.arange(len(x)))]
+    while todo:
+        number, rows = todo.pop()
+        if not len(rows):
+            continue
+        middle = splits.get(number)
+        if middle is None:
+            yield number, rows
+            continue
+        along = x[rows] @ lines[number.bit_length() - 1]
+        todo += [(2 * number, rows[along <= middle + margin]), (2 * number + 1, rows[along > middle - margin])]
+
+
+def matrix(frame: pd.DataFrame, size: int) -> np.ndarray:
+    return unit(np.concatenate(frame["vector"].to_numpy()).astype(float).reshape(len(frame), size))
+
+
 def grow(nodes: DataFrame, cosine: float, trees: int, leaf: int) -> DataFrame:
     """``size, node, leaf`` for every leaf of every tree that a vector is in.
 
     Vectors of each length (``size``) have a forest of their own; a leaf's
-    number tells it only from the others of its length.  Trees grow level by
-    level for all nodes and lengths at once: a node of more than
-    ``leaf`` vectors is split at the median of its projections, and vectors
-    close to the median go to both halves.  A node whose projections lie
-    closer together than the overlap is left as it is.
+    number tells it only from the others of its length.  The splits of all trees
+    come from about ``SAMPLE`` vectors, picked by hash, and one pass gives every
+    vector its leaves: at each split the half of its projection, or both
+    halves when it lies close to the median.  Leaves that turn out larger than
+    ``DENSE`` times ``leaf`` are split further, all at once, each by a sample of
+    its own; what has too narrow a middle stays as it is.
     """
-    most = nodes.groupBy("size").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    depth = max(1, math.ceil(math.log2(max(2, most / leaf))) + 4)
-    margin = F.lit(SPILL * math.sqrt(2 - 2 * cosine)) / F.sqrt("size")
+    spark = nodes.sparkSession
+    forests: dict[int, list[dict[int, float]]] = {}
+    # one row per length
+    for size, n in nodes.groupBy("size").agg(F.count("*")).collect():
+        picked = nodes.filter((F.col("size") == size) & (F.pmod(F.xxhash64("k1", F.lit(SEED)), F.lit(n)) < SAMPLE)).select("vector").toPandas()
+        x = matrix(picked, size) if len(picked) else np.empty((0, size))
+        forests[size] = [fit(x, 1, t, n / max(1, len(x)), leaf, margin_of(size, cosine)) for t in range(trees)]
+    shared = spark.sparkContext.broadcast(forests)
 
-    def project(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lines = lru_cache(LENGTHS)(lambda size: [directions(t, depth, size) for t in range(trees)])
+    def first(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for mixed in frames:
             for size, frame in mixed.groupby("size"):
-                x = unit(np.array(frame["vector"].tolist(), float).reshape(len(frame), size))
-                for t, line in enumerate(lines(int(size))):
-                    yield pd.DataFrame({"size": frame["size"], "node": frame["node"], "leaf": np.int64(t), "along": pd.Series(list(x @ line.T), frame.index)})
-
-    # a leaf's number: its path of halves behind a leading one, times the trees, plus the tree
-    rows = nodes.select("size", "node", "vector").mapInPandas(project, "size int, node long, leaf long, along array<double>")
-    rows = materialize(rows.withColumn("leaf", F.col("leaf") + trees), "trees")
-    done = None
-    for level in range(depth):
-        place = F.element_at("along", level + 1)
-        stats = rows.groupBy("size", "leaf").agg(F.count("*").alias("n"), F.percentile_approx(place, [0.25, 0.5, 0.75], 1000).alias("q"))
-        stats = stats.withColumn("splits", (F.col("n") > leaf) & (F.col("q")[2] - F.col("q")[0] > 2 * margin)).select("size", "leaf", "splits", F.col("q")[1].alias("middle"))
-        marked = rows.join(stats, ["size", "leaf"])
-        half = F.col("leaf") - F.col("leaf") % trees
-        halves = F.array_compact(
-            F.array(
-                F.when(place <= F.col("middle") + margin, half * 2 + F.col("leaf") % trees),
-                F.when(place > F.col("middle") - margin, half * 2 + trees + F.col("leaf") % trees),
-            )
-        )
-        both = marked.select("splits", "size", "node", "along", F.when(F.col("splits"), halves).otherwise(F.array("leaf")).alias("next"))
-        both = materialize(both.select("splits", "size", "node", F.explode("next").alias("leaf"), "along"), f"level{level}")
-        ready = both.filter(~F.col("splits")).select("size", "node", "leaf")
-        done = ready if done is None else done.union(ready)
-        rows = both.filter("splits").select("size", "node", "leaf", "along")
-        if rows.isEmpty():
-            return done
-    return done.union(rows.select("size", "node", "leaf"))
+                x, node = matrix(frame, int(size)), frame["node"].to_numpy()
+                for t, splits in enumerate(shared.value[int(size)]):
+                    for number, rows in descend(x, 1, t, splits, margin_of(int(size), cosine)):
+                        yield pd.DataFrame({"size": np.int32(size), "node": node[rows], "leaf": number * trees + t})
+
+    member = materialize(nodes.select("size", "node", "vector").mapInPandas(first, "size int, node long, leaf long"), "member0")
+    settled = spark.createDataFrame([], "size int, leaf long")
+    for turn in range(1, LEVELS):
+        counts = member.groupBy("size", "leaf").agg(F.count("*").alias("n")).filter(F.col("n") > DENSE * leaf)
+        dense = materialize(counts.join(settled, ["size", "leaf"], "left_anti"), f"dense{turn}")
+        if dense.isEmpty():
+            return member
+        # the vectors of dense leaves; of each leaf a bounded sample meets in one task
+        inside = member.join(dense, ["size", "leaf"]).join(nodes.select("node", "vector"), "node")
+        sample = inside.filter(F.pmod(F.xxhash64("node", "leaf"), F.col("n")) < LEAF_SAMPLE).select("size", "leaf", "n", "vector")
+
+        def learn(frame: pd.DataFrame) -> pd.DataFrame:
+            size, own, n = int(frame["size"].iloc[0]), int(frame["leaf"].iloc[0]), int(frame["n"].iloc[0])
+            splits = fit(matrix(frame, size), own // trees, own % trees, n / len(frame), leaf, margin_of(size, cosine))
+            return pd.DataFrame({"size": [size], "leaf": [own], "numbers": [list(splits)], "middles": [list(splits.values())]})
+
+        def further(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for mixed in frames:
+                for (size, own), frame in mixed.groupby(["size", "leaf"]):
+                    splits = dict(zip(map(int, frame["numbers"].iloc[0]), frame["middles"].iloc[0], strict=True))
+                    node = frame["node"].to_numpy()
+                    for number, rows in descend(matrix(frame, int(size)), int(own) // trees, int(own) % trees, splits, margin_of(int(size), cosine)):
+                        yield pd.DataFrame({"size": np.int32(size), "node": node[rows], "leaf": number * trees + int(own) % trees})
+
+        learned = materialize(sample.groupBy("size", "leaf").applyInPandas(learn, "size int, leaf long, numbers array<long>, middles array<double>"), f"splits{turn}")
+        split = learned.filter(F.size("numbers") > 0)
+        settled = settled.union(learned.filter(F.size("numbers") == 0).select("size", "leaf"))
+        if split.isEmpty():
+            return member
+        deeper = inside.join(split, ["size", "leaf"]).select("size", "node", "leaf", "vector", "numbers", "middles").mapInPandas(further, "size int, node long, leaf long")
+        member = materialize(member.join(split.select("size", "leaf"), ["size", "leaf"], "left_anti").select("size", "node", "leaf").union(deeper), f"member{turn}")
+    return member
 
 
 def roots(linked: np.ndarray) -> np.ndarray:
@@ -108,41 +175,41 @@ def roots(linked: np.ndarray) -> np.ndarray:
         label = low
 
 
-def compare(frame: pd.DataFrame, cosine: float) -> pd.DataFrame:
+def compare(table: pa.Table, cosine: float) -> pa.Table:
     """Links inside one block pair of a leaf: a spanning set of them, and how many links each vector has.
 
     A link counts only in the smallest leaf that its two vectors share, so no
     pair leaves the task and none counts twice.
     """
-    here, first, second = int(frame["leaf"].iloc[0]), int(frame["one"].iloc[0]), int(frame["two"].iloc[0])
-    frame = frame.sort_values("node")
-    node, weight, block = (frame[c].to_numpy() for c in ("node", "weight", "block"))
-    x = unit(np.array(frame["vector"].tolist(), float))
+    here, first, second = (table.column(c)[0].as_py() for c in ("leaf", "one", "two"))
+    table = table.take(pc.sort_indices(table, sort_keys=[("node", "ascending")])).combine_chunks()
+    node, weight, block = (table.column(c).to_numpy() for c in ("node", "weight", "block"))
+    x = unit(table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(node), -1))
     links = x @ x.T >= cosine
     np.fill_diagonal(links, False)
     if first != second:
         links &= block[:, None] != block[None, :]
     label = roots(links)
     tied = np.flatnonzero(label != np.arange(len(label)))
-    out = [pd.DataFrame({"a": node[label[tied]], "b": node[tied], "n": np.int64(0)})]
+    out = [(node[label[tied]], node[tied], np.zeros(len(tied), np.int64))]
     a, b = np.nonzero(np.triu(links))
     if len(a):
-        leaves = frame["leaves"].tolist()
-        wide = max(map(len, leaves))
-        table = np.full((len(leaves), wide), -1, np.int64)
-        for i, own in enumerate(leaves):
-            table[i, : len(own)] = own
+        # a node's leaves in ascending order, filled up with what no leaf is
+        own = table.column("leaves").combine_chunks()
+        size = np.diff(own.offsets.to_numpy())
+        wide = np.full((len(node), int(size.max())), -1, np.int64)
+        wide[np.arange(wide.shape[1]) < size[:, None]] = own.flatten().to_numpy()
         count = np.zeros(len(node), np.int64)
         for at in range(0, len(a), PAIRS_AT_ONCE):
             i, j = a[at : at + PAIRS_AT_ONCE], b[at : at + PAIRS_AT_ONCE]
-            common = ((table[i][:, :, None] == table[j][:, None, :]).any(axis=2)) & (table[i] >= 0)
-            least = np.where(common, table[i], np.iinfo(np.int64).max).min(axis=1)
-            own = least == here
-            np.add.at(count, i[own], weight[j[own]])
-            np.add.at(count, j[own], weight[i[own]])
+            common = ((wide[i][:, :, None] == wide[j][:, None, :]).any(axis=2)) & (wide[i] >= 0)
+            least = np.where(common, wide[i], np.iinfo(np.int64).max).min(axis=1)
+            here_first = least == here
+            np.add.at(count, i[here_first], weight[j[here_first]])
+            np.add.at(count, j[here_first], weight[i[here_first]])
         some = np.flatnonzero(count)
-        out.append(pd.DataFrame({"a": node[some], "b": node[some], "n": count[some]}))
-    return pd.concat(out, ignore_index=True)
+        out.append((node[some], node[some], count[some]))
+    return pa.table(dict(zip(("a", "b", "n"), (np.concatenate(c) for c in zip(*out, strict=True)), strict=True)))
 
 
 def near_vectors(
@@ -177,7 +244,7 @@ def near_vectors(
     # a block meets every block of its leaf, itself included
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("size", "node", "leaf", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")).join(full, "node")
-    found = dealt.groupBy("size", "leaf", "one", "two").applyInPandas(lambda frame: compare(frame, cosine), "a long, b long, n long")
+    found = dealt.groupBy("size", "leaf", "one", "two").applyInArrow(lambda table: compare(table, cosine), "a long, b long, n long")
     found = materialize(found, "near")
 
     links = components(found.filter("a <> b").select("a", "b"), "vecs")
