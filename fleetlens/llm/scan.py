@@ -72,7 +72,7 @@ def shingles(hashes: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarra
     value = np.zeros(n, np.uint64)
     for k in range(width):
         part = hashes[k:] * np.uint64((0x9E3779B97F4A7C15 * (2 * k + 1)) % (1 << 64))
-        value[: n - k] += part[: max(0, n - k)]
+        value[: max(0, n - k)] += part[: max(0, n - k)]
     whole = np.zeros(n, bool)
     if n >= width:
         whole[: n - width + 1] = row[: n - width + 1] == row[width - 1 :]
