@@ -215,6 +215,11 @@ def stars(docs: DataFrame, width: int, cut: Cut, buckets: int) -> DataFrame:
     return packed.groupBy("bucket").applyInArrow(meet, "sig long, a long, b long")
 
 
+def sizes_fit(cut: Cut) -> Column:
+    """False for pairs (na, nb) whose sizes alone rule them out."""
+    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * cut.percent
+
+
 def close_enough(cut: Cut) -> Column:
     """False for pairs (na, nb, sa, sb) whose sizes or sketches rule them out.
 
@@ -223,7 +228,6 @@ def close_enough(cut: Cut) -> Column:
     similar size have sketches of one length, or one is twice as long and folds
     to the other's: parities of its two halves add up.
     """
-    low, high = F.least("na", "nb"), F.greatest("na", "nb")
     width = F.least(F.size("sa"), F.size("sb"))
 
     def folded(sketch: str) -> Column:
@@ -231,7 +235,7 @@ def close_enough(cut: Cut) -> Column:
         return F.when(F.size(sketch) > width, halves).otherwise(F.col(sketch))
 
     apart = F.aggregate(F.zip_with(folded("sa"), folded("sb"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, c: s + c)
-    return (low * 100 >= high * cut.percent) & (apart * (100 + cut.percent) <= (F.col("na") + F.col("nb")) * (100 - cut.percent))
+    return sizes_fit(cut) & (apart * (100 + cut.percent) <= (F.col("na") + F.col("nb")) * (100 - cut.percent))
 
 
 def segments(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -268,10 +272,10 @@ def overlapping(pairs: DataFrame, parts: DataFrame, cut: Cut) -> DataFrame:
 
 
 def possible(pairs: DataFrame, nodes: DataFrame, cut: Cut) -> DataFrame:
-    """The pairs (a, b) that sizes and sketches leave, with their sizes."""
-    left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").filter(close_enough(cut)).select("a", "b", "na", "nb")
+    """The pairs (a, b, na, nb, and more columns) that sketches leave."""
+    left = nodes.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
+    right = nodes.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
+    return pairs.join(left, "a").join(right, "b").filter(close_enough(cut)).select(pairs.columns)
 
 
 def still_open(member: DataFrame) -> DataFrame:
@@ -317,7 +321,9 @@ def _similar_groups(texts: DataFrame, width: int, cut: Cut) -> DataFrame:
         profile.filter("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes"
     )
     found = materialize(stars(texts, width, cut, buckets_for(texts)), "stars")
-    pairs = materialize(possible(found.select("a", "b").distinct(), nodes, cut), "pairs")
+    sizes = nodes.select("node", "n")
+    pairs = found.select("a", "b").distinct().join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
+    pairs = materialize(possible(pairs.filter(sizes_fit(cut)), nodes, cut), "pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     parts = materialize(segments(texts, nodes.join(ends, "node", "left_semi"), width), "segments")
     tied = components(overlapping(pairs, parts, cut), "tied")
@@ -328,12 +334,9 @@ def _similar_groups(texts: DataFrame, width: int, cut: Cut) -> DataFrame:
     member = member.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
     member = materialize(still_open(materialize(member, "members")), "open")
     if not member.isEmpty():
-        member = materialize(member.join(nodes.select("node", "n", "sketch"), "node"), "sized")
-        ends = member.select("node").distinct().join(parts.select("node").distinct(), "node", "left_anti")
-        parts = materialize(parts.union(segments(texts, nodes.join(ends, "node", "left_semi"), width)), "segments2")
-    end = F.struct("node", "component", "n", "sketch")
-    sides = [F.col(f"x.{c}").alias(f"{n}a") for c, n in (("component", "c"), ("n", "n"), ("sketch", "s"))]
-    sides += [F.col(f"y.{c}").alias(f"{n}b") for c, n in (("component", "c"), ("n", "n"), ("sketch", "s"))]
+        member = materialize(member.join(nodes.select("node", "n"), "node"), "sized")
+    end = F.struct("node", "component", "n")
+    sides = [F.col(f"{side}.{c}").alias(f"{n}{name}") for side, name in (("x", "a"), ("y", "b")) for c, n in (("component", "c"), ("n", "n"))]
     for turn in range(LEADERS + 1):
         if member.isEmpty():
             break
@@ -345,8 +348,13 @@ def _similar_groups(texts: DataFrame, width: int, cut: Cut) -> DataFrame:
             # what is left: all pairs across components
             ahead = member.select("sig", end.alias("x")).join(member.select("sig", end.alias("y")), "sig").filter("x.node < y.node")
         ahead = ahead.filter("x.component <> y.component").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), *sides)
-        ahead = ahead.filter(close_enough(cut)).select("a", "b", "na", "nb", "ca", "cb").distinct()
-        similar = overlapping(materialize(ahead, f"ahead{turn}"), parts, cut)
+        ahead = materialize(possible(ahead.filter(sizes_fit(cut)).distinct(), nodes, cut), f"ahead{turn}")
+        # only what has come through the sketches is taken apart
+        ends = ahead.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(parts.select("node").distinct(), "node", "left_anti")
+        ends = materialize(ends, f"ends{turn}")
+        if not ends.isEmpty():
+            parts = parts.union(materialize(segments(texts, nodes.join(few(ends), "node", "left_semi"), width), f"segments{turn}"))
+        similar = overlapping(ahead, parts, cut)
         # the components known so far are the nodes of what is still to be tied together
         merged = components(similar.select(F.col("ca").alias("a"), F.col("cb").alias("b")), f"tied{turn}")
         if not merged.isEmpty():
