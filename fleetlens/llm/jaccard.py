@@ -32,7 +32,7 @@ CLASS_RATIO = 1.3
 COUNT_BITS = 3
 #: Least bits of the parity sketch that rules out pairs before their overlap is counted; larger sets have about a bit per n-gram.
 SKETCH_BITS = 512
-#: Members of a signature that the others are compared with, one after the other, before all pairs are.
+#: Members of a signature that the others are compared with, one after the other, before rare n-grams tell what to compare.
 LEADERS = 3
 
 
@@ -290,6 +290,39 @@ def moved(rows: DataFrame, merged: DataFrame) -> DataFrame:
     return rows.join(few(to), "component", "left").withColumn("component", F.coalesce("_to", "component")).drop("_to")
 
 
+def rare_grams(member: DataFrame, parts: DataFrame, cut: Cut) -> DataFrame:
+    """``gram, node, component, n, place, home``: the rarest n-grams of each set in ``member`` (node, component, n).
+
+    The n-grams of a set are put in order by the number of sets in ``member``
+    that hold them.  A similar set has the set's first common n-gram so early in
+    this order that the ones behind it can still make up the overlap; later
+    n-grams, and those that no other set holds, give no row.  ``place`` counts from 0;
+    ``home`` is a component that holds most of the sets of an n-gram, and
+    n-grams of one component alone are left out.
+    """
+    own = materialize(member.select("node", "component", "n").distinct(), "own")
+    grams = parts.join(few(own.select("node")), "node", "left_semi").select("node", F.explode("grams").alias("gram"))
+    held = materialize(grams.groupBy("gram").agg(F.count("*").alias("held")).filter("held > 1"), "held")
+    order = grams.join(few(held), "gram").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("held", "gram"))).alias("order")).join(few(own), "node")
+    # those that no other set holds come first
+    order = order.withColumn("alone", F.col("n") - F.size("order"))
+    reach = F.col("n") - F.ceil(F.col("n") * cut.percent / 100) + 1 - F.col("alone")
+    first = order.select("node", "component", "n", "alone", F.posexplode(F.slice("order", F.lit(1), F.greatest(reach, F.lit(0)).cast("int"))))
+    rare = materialize(first.select(F.col("col.gram").alias("gram"), "node", "component", "n", (F.col("alone") + F.col("pos")).alias("place")), "rare")
+    sides = rare.groupBy("gram", "component").agg(F.count("*").alias("sets")).groupBy("gram")
+    sides = sides.agg(F.max_by("component", F.struct("sets", "component")).alias("home"), F.count("*").alias("components"))
+    return rare.join(few(materialize(sides.filter("components > 1").select("gram", "home"), "homes")), "gram")
+
+
+def across(rare: DataFrame, cut: Cut) -> DataFrame:
+    """``x, y`` (node, component, n): pairs of different components that share one of their rare n-grams, and whose sizes and its places let them be similar."""
+    side = F.struct("node", "component", "n", "place", "home")
+    # sets at home meet only those of other components
+    away = rare.filter("component <> home").select("gram", side.alias("x"))
+    pairs = away.join(rare.select("gram", side.alias("y")), "gram").filter("x.component <> y.component AND (y.component = y.home OR x.node < y.node)")
+    return pairs.filter(F.least(F.expr("x.n - x.place"), F.expr("y.n - y.place")) * (100 + cut.percent) >= F.expr("x.n + y.n") * cut.percent)
+
+
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row.
 
@@ -301,7 +334,8 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     Every component is found from verified links: sets that share a signature
     are first compared with one of them, then those in other components with
     another one, a few times; where members of a signature still lie in
-    different components, all pairs across these are compared.  A link could
+    different components, those are compared that share one of their rarest
+    n-grams, as similar sets have to.  A link could
     be missed only if n-grams hash so unevenly that no more fragments are filled
     than n-grams differ; there are so many fragments that the chance is below
     ``MISSED`` for a pair of sets of any size.
@@ -337,30 +371,39 @@ def _similar_groups(texts: DataFrame, width: int, cut: Cut) -> DataFrame:
         member = materialize(member.join(nodes.select("node", "n"), "node"), "sized")
     end = F.struct("node", "component", "n")
     sides = [F.col(f"{side}.{c}").alias(f"{n}{name}") for side, name in (("x", "a"), ("y", "b")) for c, n in (("component", "c"), ("n", "n"))]
+
+    def taken_apart(ends: DataFrame, label: str) -> DataFrame:
+        """``parts`` with those of the sets in ``ends`` (node)."""
+        new = materialize(ends.distinct().join(parts.select("node").distinct(), "node", "left_anti"), f"ends-{label}")
+        if new.isEmpty():
+            return parts
+        # a row with the id of a set may hold another one, which may be there already
+        found = segments(texts, nodes.join(few(new), "node", "left_semi"), width).join(few(new), "node", "left_semi")
+        return parts.union(materialize(found, f"segments-{label}"))
+
     for turn in range(LEADERS + 1):
         if member.isEmpty():
             break
         if turn < LEADERS:
             # all members of other components against one member, another one each time
             lead = materialize(member.groupBy("sig").agg(F.min_by(end, F.xxhash64("node", F.lit(turn))).alias("y")), f"lead{turn}")
-            ahead = member.select("sig", end.alias("x")).join(few(lead), "sig")
+            ahead = member.select("sig", end.alias("x")).join(few(lead), "sig").filter("x.component <> y.component")
         else:
-            # what is left: all pairs across components
-            ahead = member.select("sig", end.alias("x")).join(member.select("sig", end.alias("y")), "sig").filter("x.node < y.node")
-        ahead = ahead.filter("x.component <> y.component").select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), *sides)
+            # what is left: sets of different components are compared if they share an n-gram that is rare among these sets
+            parts = taken_apart(member.select("node"), "rare")
+            ahead = across(rare_grams(member, parts, cut), cut)
+        ahead = ahead.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), *sides)
         ahead = materialize(possible(ahead.filter(sizes_fit(cut)).distinct(), nodes, cut), f"ahead{turn}")
         # only what has come through the sketches is taken apart
-        ends = ahead.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(parts.select("node").distinct(), "node", "left_anti")
-        ends = materialize(ends, f"ends{turn}")
-        if not ends.isEmpty():
-            parts = parts.union(materialize(segments(texts, nodes.join(few(ends), "node", "left_semi"), width), f"segments{turn}"))
+        parts = taken_apart(ahead.select(F.explode(F.array("a", "b")).alias("node")), str(turn))
         similar = overlapping(ahead, parts, cut)
         # the components known so far are the nodes of what is still to be tied together
         merged = components(similar.select(F.col("ca").alias("a"), F.col("cb").alias("b")), f"tied{turn}")
         if not merged.isEmpty():
             alone = merged.join(tied.select("node"), "node", "left_anti")
             tied = materialize(moved(tied, merged).select("node", "component").union(alone), f"named{turn}")
-            member = materialize(still_open(moved(member, merged)), f"open{turn}")
+            if turn < LEADERS:
+                member = materialize(still_open(moved(member, merged)), f"open{turn}")
 
     named = nodes.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))

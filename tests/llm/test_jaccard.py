@@ -86,6 +86,47 @@ def test_hot_group_stays_linear(spark):
     assert {c for _, c in got(docs(spark, rows), width=3, percent=90).values()} == {0}
 
 
+def test_sets_that_share_a_passage_are_not_all_compared(spark, monkeypatch):
+    """Half of each set is in all of them, the rest only in a near copy: signatures are hot, similar sets few."""
+    common = [f"c{i}" for i in range(12)]
+    rows = []
+    for base in range(120):
+        own = [f"o{base}-{i}" for i in range(12)]
+        for copy in range(2):
+            rows.append((len(rows), " ".join(common + own[: 12 - copy]), "en", "s", 0))
+    compared, possible = [], jaccard.possible
+
+    def counted(pairs, *more):
+        compared.append(pairs.count())
+        return possible(pairs, *more)
+
+    monkeypatch.setattr(jaccard, "possible", counted)
+    want = brute([(r[0], r[1]) for r in rows], 1, 80)
+    assert got(docs(spark, rows), width=1, percent=80) == want and len({c for _, c in want.values()}) == 120
+    assert sum(compared) < 40 * len(rows)
+
+
+def test_rare_grams_keep_every_link(spark):
+    """Each pair of similar sets in different components shares a rare n-gram at places that pass."""
+    rng = np.random.default_rng(11)
+    sets = [sorted(int(v) for v in rng.choice(30, int(rng.integers(1, 14)), replace=False)) for _ in range(150)]
+    member = spark.createDataFrame([(i, int(rng.integers(4)), len(s)) for i, s in enumerate(sets)], "node long, component long, n long")
+    parts = spark.createDataFrame([(i, p, [v for v in s if v % 2 == p]) for i, s in enumerate(sets) for p in range(2)], "node long, part int, grams array<long>")
+    component = {r.node: r.component for r in member.collect()}
+    for percent in (60, 80, 90):
+        cut = jaccard.Cut(percent)
+        found = jaccard.across(jaccard.rare_grams(member, parts, cut), cut).selectExpr("x.node AS a", "y.node AS b").collect()
+        found = {(min(r), max(r)) for r in found}
+        similar = {
+            (a, b)
+            for b, t in enumerate(sets)
+            for a, s in enumerate(sets[:b])
+            if component[a] != component[b] and 100 * len({*s} & {*t}) >= percent * len({*s} | {*t})
+        }
+        assert similar and similar <= found and len(found) < 150 * 149 / 4
+        assert all(component[a] != component[b] for a, b in found)
+
+
 def test_fragments_outnumber_differences():
     for percent in (80, 90):
         cut = jaccard.Cut(percent)
