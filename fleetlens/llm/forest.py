@@ -26,8 +26,8 @@ LEAF = 256
 SPILL = 0.5
 #: Vectors per block when a leaf that can't be split is compared.
 BLOCK = 1024
-#: Pairs whose common leaves are looked up at once.
-PAIRS_AT_ONCE = 20_000
+#: Leaves whose vectors are looked up at once.
+LEAVES_AT_ONCE = 2048
 #: Vectors of each length, and of each dense leaf, that splits are learned from.
 SAMPLE, LEAF_SAMPLE = 20_000, 4096
 #: Learned vectors that a node needs to be split; times ``leaf`` that make a leaf dense; levels of a tree at most.
@@ -98,6 +98,13 @@ def descend(x: np.ndarray, number: int, tree: int, splits: dict[int, float], mar
         todo += [(2 * number, rows[along <= middle + margin]), (2 * number + 1, rows[along > middle - margin])]
 
 
+def placed(size: int, node: np.ndarray, found: Iterator[tuple[int, np.ndarray]], tree: int, trees: int) -> pd.DataFrame:
+    """``size, node, leaf`` of all that a descent has found, as one frame."""
+    numbers, rows = zip(*found, strict=True)
+    leaf = np.repeat(np.array(numbers, np.int64) * trees + tree, [len(r) for r in rows])
+    return pd.DataFrame({"size": np.int32(size), "node": node[np.concatenate(rows)], "leaf": leaf})
+
+
 def matrix(frame: pd.DataFrame, size: int) -> np.ndarray:
     return unit(np.concatenate(frame["vector"].to_numpy()).astype(float).reshape(len(frame), size))
 
@@ -127,8 +134,7 @@ def grow(nodes: DataFrame, cosine: float, trees: int, leaf: int) -> DataFrame:
             for size, frame in mixed.groupby("size"):
                 x, node = matrix(frame, int(size)), frame["node"].to_numpy()
                 for t, splits in enumerate(shared.value[int(size)]):
-                    for number, rows in descend(x, 1, t, splits, margin_of(int(size), cosine)):
-                        yield pd.DataFrame({"size": np.int32(size), "node": node[rows], "leaf": number * trees + t})
+                    yield placed(int(size), node, descend(x, 1, t, splits, margin_of(int(size), cosine)), t, trees)
 
     member = materialize(nodes.select("size", "node", "vector").mapInPandas(first, "size int, node long, leaf long"), "member0")
     settled = spark.createDataFrame([], "size int, leaf long")
@@ -151,8 +157,8 @@ def grow(nodes: DataFrame, cosine: float, trees: int, leaf: int) -> DataFrame:
                 for (size, own), frame in mixed.groupby(["size", "leaf"]):
                     splits = dict(zip(map(int, frame["numbers"].iloc[0]), frame["middles"].iloc[0], strict=True))
                     node = frame["node"].to_numpy()
-                    for number, rows in descend(matrix(frame, int(size)), int(own) // trees, int(own) % trees, splits, margin_of(int(size), cosine)):
-                        yield pd.DataFrame({"size": np.int32(size), "node": node[rows], "leaf": number * trees + int(own) % trees})
+                    found = descend(matrix(frame, int(size)), int(own) // trees, int(own) % trees, splits, margin_of(int(size), cosine))
+                    yield placed(int(size), node, found, int(own) % trees, trees)
 
         learned = materialize(sample.groupBy("size", "leaf").applyInPandas(learn, "size int, leaf long, numbers array<long>, middles array<double>"), f"splits{turn}")
         split = learned.filter(F.size("numbers") > 0)
@@ -192,21 +198,27 @@ def compare(table: pa.Table, cosine: float) -> pa.Table:
     label = roots(links)
     tied = np.flatnonzero(label != np.arange(len(label)))
     out = [(node[label[tied]], node[tied], np.zeros(len(tied), np.int64))]
-    a, b = np.nonzero(np.triu(links))
-    if len(a):
-        # a node's leaves in ascending order, filled up with what no leaf is
+    linked = np.flatnonzero(links.any(axis=1))
+    if len(linked):
+        # leaves smaller than this one that several linked vectors are in; two that share none of them count here
         own = table.column("leaves").combine_chunks()
-        size = np.diff(own.offsets.to_numpy())
-        wide = np.full((len(node), int(size.max())), -1, np.int64)
-        wide[np.arange(wide.shape[1]) < size[:, None]] = own.flatten().to_numpy()
+        offsets, leaves = own.offsets.to_numpy(), own.flatten().to_numpy()
+        row = np.repeat(np.arange(len(node)), np.diff(offsets))
+        place = np.full(len(node), -1)
+        place[linked] = np.arange(len(linked))
+        inside = (leaves < here) & (place[row] >= 0)
+        _, number, often = np.unique(leaves[inside], return_inverse=True, return_counts=True)
+        several = often[number] > 1
+        _, number = np.unique(number[several], return_inverse=True)
+        row = place[row[inside][several]]
+        met = np.zeros((len(linked), len(linked)), np.float32)
+        for at in range(0, int(number.max(initial=-1)) + 1, LEAVES_AT_ONCE):
+            now = (number >= at) & (number < at + LEAVES_AT_ONCE)
+            holds = np.zeros((len(linked), LEAVES_AT_ONCE), np.float32)
+            holds[row[now], number[now] - at] = 1
+            met += holds @ holds.T
         count = np.zeros(len(node), np.int64)
-        for at in range(0, len(a), PAIRS_AT_ONCE):
-            i, j = a[at : at + PAIRS_AT_ONCE], b[at : at + PAIRS_AT_ONCE]
-            common = ((wide[i][:, :, None] == wide[j][:, None, :]).any(axis=2)) & (wide[i] >= 0)
-            least = np.where(common, wide[i], np.iinfo(np.int64).max).min(axis=1)
-            here_first = least == here
-            np.add.at(count, i[here_first], weight[j[here_first]])
-            np.add.at(count, j[here_first], weight[i[here_first]])
+        count[linked] = np.where(links[np.ix_(linked, linked)] & (met == 0), weight[linked], 0).sum(axis=1)
         some = np.flatnonzero(count)
         out.append((node[some], node[some], count[some]))
     return pa.table(dict(zip(("a", "b", "n"), (np.concatenate(c) for c in zip(*out, strict=True)), strict=True)))

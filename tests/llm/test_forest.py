@@ -1,4 +1,7 @@
+import time
+
 import numpy as np
+import pyarrow as pa
 from cases import SF
 
 from fleetlens.llm import forest
@@ -60,6 +63,30 @@ def test_leaf_that_cannot_be_split_is_compared_in_blocks(spark, monkeypatch):
     assert {(r.n_links, r.component_id) for r in got} == {(199, 0)}
 
 
+def test_pairs_count_in_their_smallest_leaf():
+    """A dense leaf is counted by matrices: 1500 vectors of which all are linked take seconds, not minutes."""
+    rng = np.random.default_rng(5)
+    n, here = 1500, 50
+    leaves = [sorted({here, *map(int, rng.choice(np.r_[20:50, 51:90], 24, replace=False))}) if i % 3 else [here] for i in range(n)]
+    x, weight = clusters(rng, 1, 16, n, 0.05), rng.integers(1, 4, n)
+    table = pa.table({"leaf": [here] * n, "one": [0] * n, "two": [0] * n, "node": np.arange(n), "weight": weight, "block": [0] * n, "vector": list(x.astype(float)), "leaves": leaves})
+    begun = time.process_time()
+    found = forest.compare(table, 0.9)
+    assert time.process_time() - begun < 6
+    got = {r["a"]: r["n"] for r in found.to_pylist() if r["a"] == r["b"]}
+    small = np.zeros((n, here))
+    for i, own in enumerate(leaves):
+        small[i, [v for v in own if v < here]] = 1
+    first = (small @ small.T == 0) & ~np.eye(n, dtype=bool)
+    want = (first * weight[None, :]).sum(axis=1)
+    assert got == {i: int(w) for i, w in enumerate(want) if w}
+
+
+def test_a_batch_gives_one_frame_per_tree():
+    found = forest.placed(8, np.array([5, 6, 7]), iter([(2, np.array([0, 1])), (3, np.array([1, 2]))]), 1, 6)
+    assert found.to_dict("list") == {"size": [8] * 4, "node": [5, 6, 6, 7], "leaf": [13, 13, 19, 19]}
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     vectors = [None, [0, 0], [1, None], [nan, 1], [inf, 1], [1, 0], [2, 0], [1, 0], [1e-30, 0], [-1, 0], [0.95, 0.3], [1, 2, 3], [], [1, 0]]
