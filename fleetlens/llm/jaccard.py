@@ -314,13 +314,21 @@ def rare_grams(member: DataFrame, parts: DataFrame, cut: Cut) -> DataFrame:
     return rare.join(few(materialize(sides.filter("components > 1").select("gram", "home"), "homes")), "gram")
 
 
-def across(rare: DataFrame, cut: Cut) -> DataFrame:
-    """``x, y`` (node, component, n): pairs of different components that share one of their rare n-grams, and whose sizes and its places let them be similar."""
-    side = F.struct("node", "component", "n", "place", "home")
+def across(rare: DataFrame, nodes: DataFrame, cut: Cut) -> DataFrame:
+    """``x, y`` (node, component, n): pairs of different components that share one of their rare n-grams and may be similar.
+
+    Sizes, places and sketches, folded to ``SKETCH_BITS``, rule out the others
+    as pairs are formed; ``nodes`` has the sketches.
+    """
+    fold = F.expr(f"transform(sequence(0, {SKETCH_BITS // 64 - 1}), i -> aggregate(filter(sketch, (v, j) -> j % {SKETCH_BITS // 64} = i), 0L, (a, v) -> a ^ v))")
+    rare = materialize(rare.join(nodes.select("node", fold.alias("fold")), "node"), "across")
+    side = F.struct("node", "component", "n", "place", "home", "fold")
     # sets at home meet only those of other components
     away = rare.filter("component <> home").select("gram", side.alias("x"))
     pairs = away.join(rare.select("gram", side.alias("y")), "gram").filter("x.component <> y.component AND (y.component = y.home OR x.node < y.node)")
-    return pairs.filter(F.least(F.expr("x.n - x.place"), F.expr("y.n - y.place")) * (100 + cut.percent) >= F.expr("x.n + y.n") * cut.percent)
+    pairs = pairs.filter(F.least(F.expr("x.n - x.place"), F.expr("y.n - y.place")) * (100 + cut.percent) >= F.expr("x.n + y.n") * cut.percent)
+    apart = F.expr("aggregate(zip_with(x.fold, y.fold, (p, q) -> bit_count(p ^ q)), 0, (s, c) -> s + c)")
+    return pairs.filter(apart * (100 + cut.percent) <= F.expr("x.n + y.n") * (100 - cut.percent))
 
 
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -391,7 +399,7 @@ def _similar_groups(texts: DataFrame, width: int, cut: Cut) -> DataFrame:
         else:
             # what is left: sets of different components are compared if they share an n-gram that is rare among these sets
             parts = taken_apart(member.select("node"), "rare")
-            ahead = across(rare_grams(member, parts, cut), cut)
+            ahead = across(rare_grams(member, parts, cut), nodes, cut)
         ahead = ahead.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), *sides)
         ahead = materialize(possible(ahead.filter(sizes_fit(cut)).distinct(), nodes, cut), f"ahead{turn}")
         # only what has come through the sketches is taken apart
