@@ -77,12 +77,12 @@ def buckets_for(docs: DataFrame, text_col: str = "text", bytes_each: int = 16 <<
 
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a text column and where each row starts; null counts as empty."""
+    """Bytes of a text or binary column and where each row starts; a null text counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
         column = pc.fill_null(column, "")
-    wide = pa.types.is_large_string(column.type)
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, places, data = column.buffers()
     if not len(column) or places is None:
         return np.empty(0, np.uint8), np.zeros(len(column) + 1, np.int64)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import buckets_for, col, few, fresh, ids_column, mix, slices, text_rows
+from fleetlens.llm.common import buckets_for, buffers, col, few, fresh, ids_column, mix, slices, text_rows
 from fleetlens.llm.components import components
 from fleetlens.llm.scan import shingle_sets
 from fleetlens.session import materialize, scratch
@@ -34,6 +34,8 @@ COUNT_BITS = 3
 SKETCH_BITS = 512
 #: Members of a signature that the others are compared with, one after the other, before rare n-grams tell what to compare.
 LEADERS = 3
+#: Parts in which a bucket of signatures is sorted, one after the other.
+SORT_BITS = 4
 
 
 class Cut:
@@ -135,6 +137,55 @@ def profiles(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(work, "doc_id long, node long, n long, sketch array<long>")
 
 
+def unpacked(table: pa.Table, name: str, kind) -> list[np.ndarray]:
+    """The packed arrays of a column as one array per chunk, without a copy."""
+    return [buffers(chunk)[0].view(kind) for chunk in table.column(name).chunks]
+
+
+def tied_in_bucket(table: pa.Table, buckets: int) -> pa.Table:
+    """``sig, a, b`` of a bucket's rows (bucket, sigs, nodes, more): nodes that share a signature, tied to the smallest of them.
+
+    A bucket from ``buckets`` on holds ties already.  Besides the table itself
+    and the result, only a part of the signatures is held at a time.
+    """
+    if table.column("bucket")[0].as_py() >= buckets:
+        found = [list(c) for c in zip(*(unpacked(table, name, kind) for name, kind in (("sigs", np.uint64), ("nodes", np.int64), ("more", np.int64))), strict=True)]
+    else:
+        packs = []
+        for sig, node, more in zip(unpacked(table, "sigs", np.uint64), unpacked(table, "nodes", np.int64), unpacked(table, "more", np.uint32), strict=True):
+            # the highest byte of a signature tells its part
+            packs.append((sig, node, np.repeat(np.arange(len(node), dtype=np.uint32), more), sig.view(np.uint8)[7::8] >> (8 - SORT_BITS)))
+        found = []
+        for part in range(1 << SORT_BITS):
+            at = [np.flatnonzero(parts == part) for *_, parts in packs]
+            sig = np.concatenate([s[i] for (s, *_), i in zip(packs, at, strict=True)])
+            node = np.concatenate([v[own[i]] for (_, v, own, _), i in zip(packs, at, strict=True)])
+            found.append(tied_nodes(sig, node))
+    sig, a, b = (np.concatenate(c) if len(c) > 1 else c[0] for c in zip(*found, strict=True))
+    by = np.lexsort((b, a))
+    return pa.table({"sig": pa.array(sig.view(np.int64)[by]), "a": pa.array(a[by]), "b": pa.array(b[by])})
+
+
+def tied_nodes(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(signature, smallest node, other node)`` of the signatures that several nodes have."""
+    by = np.argsort(sig, kind="stable")
+    sig, node = sig[by], node[by]
+    again = np.zeros(len(sig), bool)
+    again[1:] = sig[1:] == sig[:-1]
+    shared = again.copy()
+    shared[:-1] |= again[1:]
+    sig, node = sig[shared], node[shared]
+    by = np.lexsort((node, sig))
+    sig, node = sig[by], node[by]
+    lead = np.ones(len(sig), bool)
+    lead[1:] = sig[1:] != sig[:-1]
+    head = node[lead][np.cumsum(lead) - 1] if len(sig) else node
+    new = np.ones(len(sig), bool)
+    new[1:] = lead[1:] | (node[1:] != node[:-1])
+    tied = new & (node != head)
+    return sig[tied], head[tied], node[tied]
+
+
 def stars(docs: DataFrame, width: int, cut: Cut, buckets: int) -> DataFrame:
     """``sig, a, b``: sets that share a signature, each tied to the smallest node that has it.
 
@@ -184,32 +235,7 @@ def stars(docs: DataFrame, width: int, cut: Cut, buckets: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["bucket", "sigs", "nodes", "more"])
 
     def meet(table: pa.Table) -> pa.Table:
-        def joined(name: str, kind) -> np.ndarray:
-            return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-
-        sig = joined("sigs", np.uint64)
-        if table.column("bucket")[0].as_py() >= buckets:
-            a, b = joined("nodes", np.int64), joined("more", np.int64)
-        else:
-            node = np.repeat(joined("nodes", np.int64), joined("more", np.uint32))
-            by = np.argsort(sig, kind="stable")
-            sig, node = sig[by], node[by]
-            again = np.zeros(len(sig), bool)
-            again[1:] = sig[1:] == sig[:-1]
-            shared = again.copy()
-            shared[:-1] |= again[1:]
-            sig, node = sig[shared], node[shared]
-            by = np.lexsort((node, sig))
-            sig, node = sig[by], node[by]
-            lead = np.ones(len(sig), bool)
-            lead[1:] = sig[1:] != sig[:-1]
-            head = node[lead][np.cumsum(lead) - 1] if len(sig) else node
-            new = np.ones(len(sig), bool)
-            new[1:] = lead[1:] | (node[1:] != node[:-1])
-            tied = new & (node != head)
-            sig, a, b = sig[tied], head[tied], node[tied]
-        by = np.lexsort((b, a))
-        return pa.table({"sig": pa.array(sig[by].view(np.int64)), "a": pa.array(a[by]), "b": pa.array(b[by])})
+        return tied_in_bucket(table, buckets)
 
     packed = docs.mapInArrow(send, "bucket long, sigs binary, nodes binary, more binary")
     return packed.groupBy("bucket").applyInArrow(meet, "sig long, a long, b long")

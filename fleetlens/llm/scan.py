@@ -18,9 +18,11 @@ LOWER[65:91] += 32
 BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 FACTOR = 0x2545F4914F6CDD1D
 INVERSE = pow(FACTOR, -1, 1 << 64)
+#: Bytes of words hashed at once; each takes eight bytes in several arrays.
+HASHED_AT_ONCE = 1 << 18
 
 
-@lru_cache(2)
+@lru_cache(4)
 def _powers(n: int, factor: int) -> np.ndarray:
     out = np.full(n, factor, np.uint64)
     out[0] = 1
@@ -29,7 +31,7 @@ def _powers(n: int, factor: int) -> np.ndarray:
 
 def powers(n: int, factor: int) -> np.ndarray:
     """``factor ** i`` modulo 2**64 for ``i < n``."""
-    size = 1 << 21
+    size = HASHED_AT_ONCE if n <= HASHED_AT_ONCE else 1 << 21
     while size < n:
         size <<= 1
     return _powers(size, factor)[:n]
@@ -53,17 +55,24 @@ def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of every word, with A-Z as a-z."""
-    if not len(start):
-        return np.empty(0, np.uint64)
-    n = len(raw)
-    total = BYTE_VALUE[LOWER[raw]]
-    total *= powers(n, FACTOR)
-    np.cumsum(total, out=total)
-    value = total[end - 1]
-    value[start > 0] -= total[start[start > 0] - 1]
-    value *= powers(n, INVERSE)[start]
-    return mix(value + (end - start).astype(np.uint64))
+    """64-bit hash of every word, with A-Z as a-z; words come in order and none overlaps another."""
+    out = np.empty(len(start), np.uint64)
+    first = 0
+    while first < len(start):
+        # a word's hash depends on its own bytes alone, so any run of words can be done by itself
+        base = start[first]
+        last = max(first + 1, int(np.searchsorted(end, base + HASHED_AT_ONCE, side="right")))
+        begins, ends = start[first:last] - base, end[first:last] - base
+        total = BYTE_VALUE[LOWER[raw[base : end[last - 1]]]]
+        n = len(total)
+        total *= powers(n, FACTOR)
+        np.cumsum(total, out=total)
+        value = total[ends - 1]
+        value[begins > 0] -= total[begins[begins > 0] - 1]
+        value *= powers(n, INVERSE)[begins]
+        out[first:last] = mix(value + (ends - begins).astype(np.uint64))
+        first = last
+    return out
 
 
 def shingles(hashes: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

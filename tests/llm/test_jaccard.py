@@ -1,15 +1,17 @@
 import re
+import tracemalloc
 import uuid
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import EDGES, SF, docs, edges, empty, texts
 
 from fleetlens import session
 from fleetlens.llm import jaccard
 from fleetlens.llm.queries import QUERIES
-from fleetlens.llm.scan import shingle_sets
+from fleetlens.llm.scan import HASHED_AT_ONCE, shingle_sets, word_hashes, words
 
 LOWER = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
 
@@ -147,6 +149,68 @@ def test_shingle_sets_across_rows():
     assert set(value[row == 3]) < set(value[row == 0]) and not set(value[row == 4]) & set(value[row == 0])
 
 
+def most_held(work):
+    """Result of ``work`` and the most bytes that it held at once."""
+    work()
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_word_hashes_hold_little():
+    """A slice's words are hashed in blocks: no array of eight bytes per byte of text, and the same hash wherever a word stands."""
+    rng = np.random.default_rng(7)
+    data = [b"%d" % i for i in rng.integers(1, 10 ** rng.integers(1, 12, 250_000))]
+    data[1000] = b"Long" * HASHED_AT_ONCE
+    raw = np.frombuffer(b" ".join(data), np.uint8)
+    start, end, _ = words(raw, np.array([0, len(raw)]))
+    alone = {w: word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0] for w in data[:2000]}
+    got = word_hashes(raw, start, end)
+    assert len(got) == len(data) and all(g == alone[w] for w, g in zip(data, got.tolist(), strict=True) if w in alone)
+    plain = np.frombuffer(b" ".join(data[:1000] + data[1001:]), np.uint8)
+    start, end, _ = words(plain, np.array([0, len(plain)]))
+    got, held = most_held(lambda: word_hashes(plain, start, end))
+    assert len(plain) > 1 << 20 and held < 8 * len(plain)
+
+
+@pytest.mark.parametrize("rows", [1, 5])
+def test_bucket_of_signatures_holds_little(rows):
+    """A bucket is sorted in parts, so it takes less than its signatures do again; ties are those of a plain sort."""
+    rng = np.random.default_rng(rows)
+    n, own, buckets = 400_000, 4000, 16
+    sigs = [rng.integers(0, 1 << 64, n, np.uint64) for _ in range(rows)]
+    # some signatures twice and more, one in every fiftieth place
+    for sig in sigs:
+        sig[: n // 50] = sigs[0][n // 100 : n // 100 + n // 50]
+        sig[::50] = sigs[0][5]
+    nodes = [rng.integers(-(1 << 62), 1 << 62, own) for _ in range(rows)]
+    more = np.full(own, n // own, np.uint32)
+    batches = [
+        pa.RecordBatch.from_arrays(
+            [pa.array([3]), pa.array([s.tobytes()], pa.binary()), pa.array([v.tobytes()], pa.binary()), pa.array([more.tobytes()], pa.binary())],
+            names=["bucket", "sigs", "nodes", "more"],
+        )
+        for s, v in zip(sigs, nodes, strict=True)
+    ]
+    table = pa.Table.from_batches(batches)
+    found, held = most_held(lambda: jaccard.tied_in_bucket(table, buckets))
+    holders = {}
+    for s, v in zip(sigs, nodes, strict=True):
+        for sig, node in zip(s.view(np.int64).tolist(), np.repeat(v, n // own).tolist(), strict=True):
+            holders.setdefault(sig, set()).add(node)
+    want = {(sig, min(held), node) for sig, held in holders.items() if len(held) > 1 for node in held if node != min(held)}
+    got = list(zip(*(found.column(c).to_pylist() for c in ("sig", "a", "b")), strict=True))
+    assert len(got) == len(set(got)) and set(got) == want
+    assert held < 8 * n * rows * 1.5
+
+    # ties found in a slice of text come through as they are
+    ties = pa.table({"bucket": [buckets], "sigs": [sigs[0][:9].tobytes()], "nodes": [nodes[0][:9].tobytes()], "more": [nodes[0][9:18].tobytes()]})
+    rows = jaccard.tied_in_bucket(ties, buckets).to_pylist()
+    assert {(r["sig"], r["a"], r["b"]) for r in rows} == set(zip(sigs[0][:9].view(np.int64).tolist(), nodes[0][:9].tolist(), nodes[0][9:18].tolist(), strict=True))
+
+
 def test_edges(spark):
     rows = jaccard.similar_groups(edges(spark), 5, 80).collect()
     assert len(rows) == len(EDGES)
