@@ -62,7 +62,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def _stage(work):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        return work(prepare(spark), docs, sf_dir)
+        return work(prepare(spark, lean=True), docs, sf_dir)
 
     run_stage.__doc__ = work.__doc__
     return run_stage

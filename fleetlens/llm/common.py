@@ -20,19 +20,32 @@ BROADCAST_ROWS = 100_000
 NULL_ID = -(1 << 63)
 #: Bytes of text that a Python task works on at once.
 SLICE_BYTES = 1 << 21
+#: Rows and bytes that travel to and from Python at once: of one operator, and of several in one session (lean).
+BATCH, LEAN_BATCH = (2000, 32 << 20), (1024, 4 << 20)
+#: Python workers of a lean session give freed memory back instead of keeping it for their next task.
+LEAN_WORKERS = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(2 << 20)}
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings of these operators; executors started elsewhere find the package."""
+def prepare(spark: SparkSession, lean: bool = False) -> SparkSession:
+    """Session settings of these operators; executors started elsewhere find the package.
+
+    ``lean`` is for several operators one after the other, whose leftovers in
+    executors and Python workers would add up: smaller batches, and memory that
+    workers give back.  Results are the same; what the session's environment
+    says of allocators already holds.
+    """
     configure(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    rows, size = LEAN_BATCH if lean else BATCH
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     # a union that keeps its sides' partitioning fails where adaptive execution has merged partitions of one side only
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     root = os.path.dirname(os.path.dirname(os.path.abspath(fleetlens.__file__)))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    if lean:
+        spark.sparkContext.environment.update({k: v for k, v in LEAN_WORKERS.items() if k not in spark.sparkContext.environment})
     return spark
 
 

@@ -1,5 +1,11 @@
+import re
+from pathlib import Path
+
 import corpus_pipeline
+import numpy as np
+import pandas as pd
 from cases import SF, edges, empty
+from pyspark.sql import functions as F
 
 from fleetlens.llm.queries import QUERIES
 
@@ -56,3 +62,29 @@ def test_empty_tables(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns and stage(spark, docs, SF).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
+
+
+def test_memory_of_workers(spark):
+    """After a stage batches are small, and what a Python worker frees is given back, other than its smallest pieces."""
+
+    def held():
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+    def work(frames):
+        for frame in frames:
+            np.ones(3 << 20)
+            before, large, pins = held(), [], []
+            for _ in range(8):
+                large.append(np.ones(1 << 20))
+                pins.append(bytearray(4000))
+            full = held()
+            large.clear()
+            yield pd.DataFrame({"rows": [len(frame)], "mb": [frame["text"].str.len().sum() / (1 << 20)], "taken": [full - before], "left": [held() - before], "pins": [len(pins)]})
+
+    corpus_pipeline.STAGES[1][1](spark, edges(spark), SF)
+    long = spark.range(0, 3000, 1, 1).select(F.when(F.col("id") < 100, F.repeat(F.lit("x"), 200_000)).otherwise("y").alias("text"))
+    found = long.mapInPandas(work, "rows long, mb double, taken double, left double, pins long").collect()
+    assert sum(r.rows for r in found) == 3000
+    assert max(r.rows for r in found) <= 1024
+    assert max(r.mb for r in found) < 5
+    assert all(r.taken > 60 and r.left < 8 for r in found)
