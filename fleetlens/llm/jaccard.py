@@ -367,8 +367,8 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
     Every component is found from verified links: sets that share a signature
     are first compared with one of them, then those in other components with
-    another one, a few times; where members of a signature still lie in
-    different components, those are compared that share one of their rarest
+    another one, a few times; where members of a signature that have not met all
+    others still lie in different components, those are compared that share one of their rarest
     n-grams, as similar sets have to.  A link could
     be missed only if n-grams hash so unevenly that no more fragments are filled
     than n-grams differ; there are so many fragments that the chance is below
@@ -421,7 +421,10 @@ def _similar_groups(texts: DataFrame, width: int, cut: Cut) -> DataFrame:
         if turn < LEADERS:
             # all members of other components against one member, another one each time
             lead = materialize(member.groupBy("sig").agg(F.min_by(end, F.xxhash64("node", F.lit(turn))).alias("y")), f"lead{turn}")
-            ahead = member.select("sig", end.alias("x")).join(few(lead), "sig").filter("x.component <> y.component")
+            met = member.join(few(lead), "sig")
+            ahead = met.select(end.alias("x"), "y").filter("x.component <> y.component")
+            # that one has met all others of its signature; they are left to meet each other
+            member = met.filter("node <> y.node").select(member.columns)
         else:
             # what is left: sets of different components are compared if they share an n-gram that is rare among these sets
             parts = taken_apart(member.select("node"), "rare")
@@ -436,8 +439,9 @@ def _similar_groups(texts: DataFrame, width: int, cut: Cut) -> DataFrame:
         if not merged.isEmpty():
             alone = merged.join(tied.select("node"), "node", "left_anti")
             tied = materialize(moved(tied, merged).select("node", "component").union(alone), f"named{turn}")
-            if turn < LEADERS:
-                member = materialize(still_open(moved(member, merged)), f"open{turn}")
+            member = moved(member, merged)
+        if turn < LEADERS:
+            member = materialize(still_open(member), f"open{turn}")
 
     named = nodes.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))

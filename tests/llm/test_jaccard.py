@@ -108,6 +108,26 @@ def test_sets_that_share_a_passage_are_not_all_compared(spark, monkeypatch):
     assert sum(compared) < 40 * len(rows)
 
 
+def test_members_that_met_all_others_are_done(spark, monkeypatch):
+    """Four sets share signatures and no two are similar: after three of them have met all others no pair is left."""
+    passage = [f"c{i}" for i in range(40)]
+    rows = []
+    for base in range(3):
+        rows += [(4 * base + copy, " ".join([f"p{base}-{w}" for w in passage] + [f"o{base}-{copy}-{i}" for i in range(12)]), "en", "s", 0) for copy in range(4)]
+    found = jaccard.stars(docs(spark, rows).select("doc_id", "text"), 1, jaccard.Cut(80), 16).groupBy("sig").count()
+    assert found.filter("count > 1").count() > 0
+    left = []
+
+    def rare(member, parts, cut, whole=jaccard.rare_grams):
+        left.append(member.count())
+        return whole(member, parts, cut)
+
+    monkeypatch.setattr(jaccard, "rare_grams", rare)
+    want = brute([(r[0], r[1]) for r in rows], 1, 80)
+    assert got(docs(spark, rows), width=1, percent=80) == want and len({c for _, c in want.values()}) == 12
+    assert not left
+
+
 def test_rare_grams_keep_every_link(spark):
     """Each pair of similar sets in different components shares a rare n-gram at places that pass."""
     rng = np.random.default_rng(11)
