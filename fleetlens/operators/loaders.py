@@ -473,6 +473,36 @@ def _loads() -> dict[str, Load]:
 
 LOADS = _loads()
 
+#: The section of a document that a table's rows come from, where it has another name.
+_SECTION_OF = {
+    **dict.fromkeys(("accounts", "contact_info", "alternate_contacts", "products", "product_accounts"), "account"),
+    **dict.fromkeys(("config_reports", "non_compliant_resources"), "config"),
+    **dict.fromkeys(("cost_reports", "service_costs", "cost_forecasts"), "cost"),
+    **dict.fromkeys(
+        "security findings guard_duty_findings kms_keys waf_rules waf_rules_detailed cloudtrail_logs "
+        "secrets_manager_secrets certificates inspector_findings".split(),
+        "security",
+    ),
+    **dict.fromkeys(("inventory_instances", "inventory_applications", "inventory_patches"), "inventory"),
+    "services": "service",
+    "marketplace_usage": "marketplace",
+    "trusted_advisor_checks": "trusted_advisor",
+    "health_events": "health",
+    "application_signals": "application",
+    "resilience_hub_apps": "resilience_hub",
+    "ri_sp_daily_savings": "ri_sp_savings",
+    "log_messages": "logs",
+    "alarm_history": "alarms",
+    "canary_runs": "canaries",
+    "error_summaries": "error_logs",
+    "db_events": "db_insights",
+}
+
+
+def section_of(table: str) -> str:
+    return _SECTION_OF.get(table, table)
+
+
 #: Parents by natural key alone, not by account.
 _GLOBAL_PARENTS = frozenset({"inventory_instances"})
 
@@ -513,6 +543,10 @@ class Loader:
             return self.store.read(table)
         return self.base[table] if table in self.base else empty_table(self.spark, table)
 
+    def documents(self, table: str) -> DataFrame:
+        """The documents that rows of ``table`` come from; its section is all they have to hold."""
+        return self.payloads
+
     def state(self, table: str) -> DataFrame:
         if table not in self._states:
             self._states[table] = self._settle(table, self._build(table))
@@ -537,18 +571,18 @@ class Loader:
     def updates(self, table: str) -> DataFrame:
         """Update rows of ``table`` with references and ids filled in."""
         if table == "accounts":
-            rows = account_updates(self.payloads)
+            rows = account_updates(self.documents(table))
             return rows.drop("_account", "_region").withColumn("id", row_id(table))
         if table == "log_messages":
             logs = self.stored("logs").join(self._account_ids(), "account_id")
             known = self.store is not None or "logs" in self.base
-            rows = log_message_updates(self.payloads, self.as_of, logs if known else None)
+            rows = log_message_updates(self.documents(table), self.as_of, logs if known else None)
             parent = ("logs", "log_id", ("date_created",))
         elif table == "logs":
-            rows, parent = log_updates(self.payloads, self.as_of), None
+            rows, parent = log_updates(self.documents(table), self.as_of), None
         else:
             load = LOADS[table]
-            rows, parent = load.updates(self.payloads), load.parent
+            rows, parent = load.updates(self.documents(table)), load.parent
         rows = self._with_account(rows)
         if parent:
             parent_table, reference, keys = parent
@@ -570,7 +604,7 @@ class Loader:
 
     def _products(self) -> DataFrame:
         stored = self.stored("products").withColumn("_lname", F.lower("name"))
-        updates = product_updates(self.payloads).withColumn("id", F.xxhash64(F.lit("products"), F.col("_lname")))
+        updates = product_updates(self.documents("products")).withColumn("id", F.xxhash64(F.lit("products"), F.col("_lname")))
         merged = upsert(
             stored, updates, ("_lname",), "full", ORDER, {"created_at": str(self.as_of), "updated_at": str(self.as_of)}
         )
@@ -579,7 +613,7 @@ class Loader:
     def _product_accounts(self) -> DataFrame:
         ids = self.state("products").groupBy(F.lower("name").alias("_lname")).agg(F.min("id").alias("product_id"))
         links = (
-            self._with_account(current_links(self.payloads))
+            self._with_account(current_links(self.documents("product_accounts")))
             .join(ids, "_lname")
             .select("product_id", "account_id")
             .distinct()
@@ -597,7 +631,7 @@ class Loader:
 
     def stats(self, table: str) -> DataFrame:
         """S7 for one table of the batch."""
-        skipped = skipped_incidents(self.payloads) if table == "incidents" else None
+        skipped = skipped_incidents(self.documents(table)) if table == "incidents" else None
         return upsert_stats(self.stored(table), self.updates(table), TABLES[table].key, skipped)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import posixpath
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs
@@ -29,24 +29,28 @@ PATH_PATTERN = r"([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})_([^/]+)\.json$"
 ORDER = ("_date", "_path", "_pos")
 
 
-def parse_payloads(raw: DataFrame) -> DataFrame:
+def parse_payloads(raw: DataFrame, sections: Iterable[str] = SECTIONS) -> DataFrame:
     """Columns of a document from its ``value`` text and ``file_path``.
 
     Each section stays raw JSON text here, so a load parses only the sections
-    it needs and one malformed section does not spoil the others.
+    it needs and one malformed section does not spoil the others.  ``sections``
+    names those to be columns; ``account`` always is one.  A generator hands the
+    parsed text on: no filter or column after it makes Spark parse it again.
     """
-    sections = ", ".join(f"`{s}` string" for s in SECTIONS)
+    sections = tuple(dict.fromkeys(("account", *sections)))
+    kinds = ", ".join(f"`{s}` string" for s in sections)
     part = lambda i: F.regexp_extract("file_path", PATH_PATTERN, i)
+    once = F.array(F.struct(F.json_object_keys("value").alias("_keys"), F.from_json("value", kinds).alias("_doc")))
     return (
-        raw.withColumn("_doc", F.from_json("value", sections))
+        raw.select("file_path", F.explode(once).alias("_once"))
         .select(
             F.col("file_path").alias("_path"),
             part(1).alias("path_account"),
             part(2).alias("path_region"),
             F.try_to_timestamp(part(3)).cast("date").alias("_date"),
             part(4).alias("path_interval"),
-            F.json_object_keys("value").alias("_keys"),
-            *[F.col(f"_doc.{s}").alias(s) for s in SECTIONS],
+            F.col("_once._keys").alias("_keys"),
+            *[F.col(f"_once._doc.{s}").alias(s) for s in sections],
         )
         .withColumn("_account", F.get_json_object("account", "$.account_id"))
         .withColumn("_region", F.coalesce(F.get_json_object("account", "$.region"), F.lit("")))
