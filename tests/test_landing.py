@@ -10,6 +10,7 @@ from fleetlens.sources import payloads as P
 SF = "/root/testdata/sf0.001"
 LOADS = {
     "L5_load_cost_forecasts": "cost",
+    "L7_load_patches": "inventory",
 }
 
 
