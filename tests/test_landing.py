@@ -11,6 +11,7 @@ SF = "/root/testdata/sf0.001"
 LOADS = {
     "L5_load_cost_forecasts": "cost",
     "L7_load_patches": "inventory",
+    "L3_load_non_compliant": "config",
 }
 
 
