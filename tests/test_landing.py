@@ -12,6 +12,7 @@ LOADS = {
     "L5_load_cost_forecasts": "cost",
     "L7_load_patches": "inventory",
     "L3_load_non_compliant": "config",
+    "L19_load_alarms": "alarms",
 }
 
 
