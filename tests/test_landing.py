@@ -13,6 +13,7 @@ LOADS = {
     "L7_load_patches": "inventory",
     "L3_load_non_compliant": "config",
     "L19_load_alarms": "alarms",
+    "L7_load_instances": "inventory",
 }
 
 
