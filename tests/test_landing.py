@@ -14,6 +14,7 @@ LOADS = {
     "L3_load_non_compliant": "config",
     "L19_load_alarms": "alarms",
     "L7_load_instances": "inventory",
+    "L13_load_resources": "service_resources",
 }
 
 
