@@ -15,6 +15,7 @@ LOADS = {
     "L19_load_alarms": "alarms",
     "L7_load_instances": "inventory",
     "L13_load_resources": "service_resources",
+    "L3_load_config": "config",
 }
 
 
