@@ -16,6 +16,7 @@ LOADS = {
     "L7_load_instances": "inventory",
     "L13_load_resources": "service_resources",
     "L3_load_config": "config",
+    "L17_load_savings": "ri_sp_savings",
 }
 
 
