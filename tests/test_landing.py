@@ -17,6 +17,7 @@ LOADS = {
     "L13_load_resources": "service_resources",
     "L3_load_config": "config",
     "L17_load_savings": "ri_sp_savings",
+    "L8_load_marketplace": "marketplace",
 }
 
 
