@@ -18,6 +18,7 @@ LOADS = {
     "L3_load_config": "config",
     "L17_load_savings": "ri_sp_savings",
     "L8_load_marketplace": "marketplace",
+    "L18_load_logs": "logs",
 }
 
 
