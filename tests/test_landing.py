@@ -19,6 +19,7 @@ LOADS = {
     "L17_load_savings": "ri_sp_savings",
     "L8_load_marketplace": "marketplace",
     "L18_load_logs": "logs",
+    "L22_load_db_events": "db_insights",
 }
 
 
