@@ -20,6 +20,7 @@ LOADS = {
     "L8_load_marketplace": "marketplace",
     "L18_load_logs": "logs",
     "L22_load_db_events": "db_insights",
+    "L21_load_errors": "error_logs",
 }
 
 
