@@ -77,6 +77,11 @@ def materialize(df, label: str, outer: bool = False, **options):
     scopes = _SCOPES.get()[: -1 if outer else None]
     if scopes:
         scopes[-1].append(path)
+    return land(df, path, **options)
+
+
+def land(df, path: str, **options):
+    """Write a new table under ``path`` and read it back."""
     with _swept(df.sparkSession):
         df.write.mode("errorifexists").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

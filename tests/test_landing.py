@@ -6,6 +6,7 @@ from fleetlens.plans import payload_queries
 from fleetlens.plans.catalog import queries
 from fleetlens.plans.model import tables
 from fleetlens.sources import payloads as P
+from fleetlens.sources.versions import exists
 
 SF = "/root/testdata/sf0.001"
 LOADS = {
@@ -33,6 +34,7 @@ def landed(monkeypatch, spark, name):
         return df
 
     monkeypatch.setattr(payload_queries, "materialize", noted)
+    monkeypatch.setattr(payload_queries, "land", lambda df, path, **options: df)
     monkeypatch.setattr(payload_queries, "_STAGED", {})
     queries()[name](spark, SF)
     return wrote
@@ -55,3 +57,17 @@ def test_documents_are_whole_and_parsed_once(spark):
     assert all(every.filter(every[s].isNull()).count() == 0 for s in ("inventory", "incidents"))
     plan = few.select("_path", "account", "cost")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1 and plan.count("jsonObjectKeys") == 1
+
+
+def test_updates_go_when_they_are_merged(spark, monkeypatch):
+    paths = []
+    write = payload_queries.land
+
+    def noted(df, path, **options):
+        paths.append(path)
+        return write(df, path, **options)
+
+    monkeypatch.setattr(payload_queries, "land", noted)
+    monkeypatch.setattr(payload_queries, "_STAGED", {})
+    assert queries()["L3_load_non_compliant"](spark, SF).count() > 0
+    assert len(paths) == 6 and not any(exists(spark, path) for path in paths)
